@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from reelhouse import schemas, settings
 from reelhouse.operators import audit
 from reelhouse.plans.roots import Roots
-from reelhouse.plans.status import Run, TableStatus
+from reelhouse.plans.status import Run, Seen, TableStatus
 from reelhouse.sinks import lineage, tables
 from reelhouse.sources import json_items, storage
 
@@ -31,16 +32,21 @@ def ingest_source(
     items = json_items.read_items(spark, path, schemas.RAW_ITEMS[spec.kind], layout)
     if items is None:
         return None
-    good, corrupt = json_items.split_corrupt(items)
+    unreadable = Seen()
+    watched = unreadable.watch(items, F.col(schemas.CORRUPT).isNotNull())
+    good, _ = json_items.split_corrupt(watched)
+    written = tables.replace_partition(
+        audit.ingestion_columns(good, spec.label, run_ts), roots.bronze, spec.table, run_ts.date()
+    )
+    _, corrupt = json_items.split_corrupt(items)
     tables.quarantine(
         audit.ingestion_columns(corrupt, spec.label, run_ts).drop("ingestion_date"),
         roots.quarantine,
         spec.table.replace("bronze", "quarantine_bronze", 1),
         run_ts.date(),
+        any_rows=unreadable.any(),
     )
-    return tables.replace_partitions(
-        audit.ingestion_columns(good, spec.label, run_ts), roots.bronze, spec.table
-    )
+    return written
 
 
 def build_bronze(
@@ -52,7 +58,11 @@ def build_bronze(
 ) -> list[TableStatus]:
     run = Run(spark, "bronze")
     for spec in sources:
-        run.build(spec.table, lambda: ingest_source(spark, roots, spec, run_ts, layout))
+        run.build(
+            spec.table,
+            lambda: ingest_source(spark, roots, spec, run_ts, layout),
+            run_date=run_ts.date(),
+        )
     lineage.record(
         spark, roots.lineage, "bronze", roots.raw, roots.bronze, run.lineage_rows(), run_ts
     )

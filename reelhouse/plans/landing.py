@@ -6,7 +6,7 @@ the columns of the request they answer (``schemas.response_page``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from reelhouse import schemas
 from reelhouse.functions import parse
-from reelhouse.operators import audit, dedup
+from reelhouse.operators import audit, columns, dedup
 from reelhouse.plans.bronze import raw_folder
 from reelhouse.plans.roots import Roots
-from reelhouse.plans.status import Run, TableStatus
+from reelhouse.plans.status import Run, Seen, TableStatus
 from reelhouse.settings import DEFAULT_MARK
 from reelhouse.sinks import landing, lineage, snapshots, tables
 from reelhouse.sources import json_items, marks, storage
@@ -58,13 +58,17 @@ def land(
     known = read_marks(spark, roots)
     published = F.try_to_timestamp(F.col("snippet.publishedAt"))
 
-    def items_of(answer: DataFrame | None) -> DataFrame | None:
+    unusable = {kind.name: Seen() for kind in fields(Pages)}
+
+    def items_of(name: str) -> DataFrame | None:
+        answer = getattr(pages, name)
         if answer is None:
             return None
-        return audit.item_columns(json_items.explode_pages(answer), batch, run_ts)
+        watched = unusable[name].watch(answer, json_items.page_problem().isNotNull())
+        return audit.item_columns(json_items.explode_pages(watched), batch, run_ts)
 
-    def since_marks(answer: DataFrame | None, source_type: str, key: str) -> DataFrame | None:
-        items = items_of(answer)
+    def since_marks(name: str, source_type: str, key: str) -> DataFrame | None:
+        items = items_of(name)
         if items is None:
             return None
         dated = items.withColumns({"_published": published, "_key": F.col(key)})
@@ -73,18 +77,20 @@ def land(
         )
         return fresh.drop("_published", "_key")
 
-    def write(name: str, items: DataFrame | None, answer: DataFrame | None = None) -> None:
+    def write(name: str, items: DataFrame | None) -> None:
         def job() -> str | None:
             if items is None:
                 return None
+            path = landing.write_items(items, storage.join(folder, f"raw_{name}"))
+            answer = getattr(pages, name)
             if answer is not None:
                 tables.quarantine(
                     json_items.rejected_pages(answer), roots.quarantine,
-                    f"quarantine_pages_{name}", run_ts.date(),
+                    f"quarantine_pages_{name}", run_ts.date(), any_rows=unusable[name].any(),
                 )
-            return landing.write_items(items, storage.join(folder, f"raw_{name}"))
+            return path
 
-        run.build(name, job)
+        run.build(name, job, counted=False)
 
     def landed(name: str, kind: str) -> DataFrame | None:
         """What this run wrote: later steps read it back instead of redoing it."""
@@ -93,30 +99,24 @@ def land(
             return None
         return spark.read.schema(schemas.RAW_ITEMS[kind]).json(path)
 
-    write("trending", items_of(pages.trending), pages.trending)
-    write("trending_by_category", items_of(pages.trending_by_category), pages.trending_by_category)
-    write(
-        "channel_videos",
-        since_marks(pages.channel_videos, "channel", "snippet.channelId"),
-        pages.channel_videos,
-    )
-    write(
-        "keyword_videos",
-        since_marks(pages.keyword_videos, "keyword", "_source_keyword"),
-        pages.keyword_videos,
-    )
+    write("trending", items_of("trending"))
+    write("trending_by_category", items_of("trending_by_category"))
+    write("channel_videos", since_marks("channel_videos", "channel", "snippet.channelId"))
+    write("keyword_videos", since_marks("keyword_videos", "keyword", "_source_keyword"))
 
     found = [landed(name, "search") for name in ("channel_videos", "keyword_videos")]
-    stats = items_of(pages.video_stats)
+    stats = items_of("video_stats")
     if stats is not None:
         stats = _only_requested(stats, [df for df in found if df is not None])
     in_order = [landed("trending", "video"), landed("trending_by_category", "video"), stats]
     in_order = [df for df in in_order if df is not None]
-    unique = dedup.first_seen(in_order, "id") if in_order else None
-    write("video_stats", unique, pages.video_stats)
-
-    write("channel_stats", items_of(pages.channel_stats), pages.channel_stats)
-    write("categories", items_of(pages.categories), pages.categories)
+    unique = None
+    if in_order:
+        keyed = [df.withColumn("_id", parse.video_id(F.col("id"))) for df in in_order]
+        unique = dedup.first_seen(keyed, "_id").drop("_id")
+    write("video_stats", unique)
+    write("channel_stats", items_of("channel_stats"))
+    write("categories", items_of("categories"))
 
     new_marks = []
     for df, source_type, key in zip(
@@ -141,7 +141,7 @@ def land(
 def _only_requested(stats: DataFrame, found: list[DataFrame]) -> DataFrame:
     """Statistics of the videos the searches turned up."""
     if not found:
-        return stats.where(F.lit(False))
+        return columns.empty_like(stats)
     ids = [df.select(F.col("id.videoId").alias("id")) for df in found]
     requested = ids[0]
     for more in ids[1:]:

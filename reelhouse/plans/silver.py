@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelhouse import settings
 from reelhouse.operators import flatten, quality
 from reelhouse.plans.roots import Roots
-from reelhouse.plans.status import Run, TableStatus
+from reelhouse.plans.status import Run, Seen, TableStatus
 from reelhouse.sinks import lineage, tables
 from reelhouse.sources import layers
 
@@ -51,9 +52,16 @@ def refine(
     bronze = layers.read_table(spark, roots.bronze, spec.bronze)
     if bronze is None:
         return None
-    clean, bad = quality.run_checks(spec.flatten(bronze, keep_unparsed=True), spec.rules)
-    tables.quarantine(bad, roots.quarantine, spec.quarantine, run_ts.date())
-    return tables.overwrite(clean, roots.silver, spec.table)
+    judged = quality.judge(spec.flatten(bronze, keep_unparsed=True), spec.rules)
+    rejected = Seen()
+    watched = rejected.watch(judged, F.col(quality.ISSUE).isNotNull())
+    clean = quality.uniqueness(quality.passed(watched), spec.rules.key)
+    written = tables.overwrite(clean, roots.silver, spec.table)
+    tables.quarantine(
+        quality.quarantined(judged), roots.quarantine, spec.quarantine, run_ts.date(),
+        any_rows=rejected.any(),
+    )
+    return written
 
 
 def build_silver(spark: SparkSession, roots: Roots, run_ts: datetime) -> list[TableStatus]:

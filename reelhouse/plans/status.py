@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 WRITTEN, SKIPPED, FAILED = "written", "skipped", "failed"
 
@@ -37,8 +39,14 @@ class Run:
     pipeline: str
     statuses: list[TableStatus] = field(default_factory=list)
 
-    def build(self, table: str, job: Callable[[], str | None]) -> None:
-        """``job`` writes the table and returns its path, None when its input is missing."""
+    def build(
+        self, table: str, job: Callable[[], str | None], run_date: date | None = None,
+        counted: bool = True,
+    ) -> None:
+        """``job`` writes the table and returns its path, None when its input is missing.
+
+        With ``run_date`` only that ingestion date's rows are counted.
+        """
         try:
             path = job()
         except Exception as error:  # noqa: BLE001 - isolation of tables is the point
@@ -47,16 +55,38 @@ class Run:
         if path is None:
             self._add(table, SKIPPED)
             return
-        self._add(table, WRITTEN, path=path, rows=self._rows(path))
+        rows = self._rows(path, run_date) if counted else None
+        self._add(table, WRITTEN, path=path, rows=rows)
 
-    def _rows(self, path: str) -> int:
+    def _rows(self, path: str, run_date: date | None) -> int:
         """Rows now in the table. A count without columns is answered from the
         Parquet footers, and unlike an accumulator it stays exact when tasks are
         run again after a lost executor."""
-        return self.spark.read.parquet(path).count()
+        written = self.spark.read.parquet(path)
+        if run_date is not None:
+            written = written.where(F.col("ingestion_date") == F.lit(run_date))
+        return written.count()
 
     def _add(self, table: str, status: str, **rest) -> None:
         self.statuses.append(TableStatus(self.pipeline, table, status, **rest))
 
     def lineage_rows(self) -> list[tuple[str, str, int | None, str | None]]:
         return [(s.table, s.status, s.rows, s.error) for s in self.statuses]
+
+
+class Seen:
+    """Whether a write came across rows of some kind, learned from the write itself.
+
+    It spares the second scan that would look for them. The count behind it may
+    be too high when tasks are repeated, but it is zero only if there are none.
+    """
+
+    def __init__(self) -> None:
+        self._observation = Observation()
+
+    def watch(self, df: DataFrame, condition: Column) -> DataFrame:
+        return df.observe(self._observation, F.count_if(condition).alias("rows"))
+
+    def any(self) -> bool:
+        """To be asked after the action on the watched frame has ended."""
+        return self._observation.get.get("rows", 0) > 0

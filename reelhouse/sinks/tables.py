@@ -11,8 +11,8 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from reelhouse.operators.columns import empty_like
 from reelhouse.sources import storage
 
 BY_DATE = ("ingestion_date",)
@@ -79,7 +79,30 @@ def overwrite_fact(df: DataFrame, root: str, table: str = "fact_video_performanc
     return overwrite(df, root, table, ("year", "month"))
 
 
-def quarantine(df: DataFrame, root: str, table: str, run_date: date) -> str:
-    """Keep the rejected rows of one run; repeating the run replaces them."""
-    dated = df.withColumn("quarantine_date", F.lit(run_date))
-    return replace_partitions(dated, root, table, ("quarantine_date",))
+def partition_folder(root: str, table: str, column: str, value: date) -> str:
+    return storage.join(root, table, f"{column}={value}")
+
+
+def replace_partition(
+    df: DataFrame, root: str, table: str, value: date, column: str = "ingestion_date"
+) -> str:
+    """Make ``df`` the content of one partition, also when it has no rows."""
+    df.drop(column).write.mode("overwrite").parquet(partition_folder(root, table, column, value))
+    return storage.join(root, table)
+
+
+def quarantine(
+    df: DataFrame, root: str, table: str, run_date: date, any_rows: bool = True
+) -> str | None:
+    """Keep the rejected rows of one run; repeating the run replaces them.
+
+    Nothing is written, and ``df`` is not evaluated, when the caller knows that
+    there are none; rows an earlier attempt of the run left are removed then.
+    """
+    column = "quarantine_date"
+    if not any_rows:
+        folder = partition_folder(root, table, column, run_date)
+        if not storage.exists(df.sparkSession, folder):
+            return None
+        df = empty_like(df)
+    return replace_partition(df, root, table, run_date, column)

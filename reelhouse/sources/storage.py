@@ -5,6 +5,7 @@ Works for any scheme Hadoop knows (hdfs, s3a, file), unlike ``os.path``.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -44,8 +45,10 @@ def scratch(spark: SparkSession, name: str) -> str:
 
     Only a session that names none, as in tests, gets a local one.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="reelhouse-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
     return join(shared, f"{name}-{uuid.uuid4().hex}")
+
+
+@functools.cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="reelhouse-")
