@@ -153,8 +153,7 @@ def dirty_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"), F.lit("."),
             F.lpad(_text("l_linenumber"), 3, "0"), F.lit("."),
             F.lpad(_text("l_partkey"), 12, "0"), F.lit("."),
-            F.lpad(_text("l_suppkey"), 12, "0"), F.lit("."),
-            _text("l_extendedprice"),
+            F.lpad(_text("l_suppkey"), 12, "0"),
         ).alias("ingestion_timestamp"),
     )
 
@@ -250,3 +249,20 @@ def to_pages(items: DataFrame, number: Column, **request: Column) -> DataFrame:
         .agg(F.collect_list("item").alias("items"))
         .select("items", F.lit(None).cast("string").alias("nextPageToken"), *request)
     )
+
+
+def keyword_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword search answers over all orders, with unusable ones among them: an
+    empty list for every nation and no list at all for every region."""
+    search = search_items(videos(spark, sf_dir))
+    keyword = F.split_part("snippet.title", F.lit(" #"), F.lit(1))
+    pages = to_pages(search, F.col("id.videoId").cast("bigint"), _source_keyword=keyword)
+    items_type = pages.schema["items"].dataType
+    token = F.lit(None).cast("string").alias("nextPageToken")
+    empty = table(spark, sf_dir, "nation").select(
+        F.array().cast(items_type).alias("items"), token, F.col("n_name").alias("_source_keyword")
+    )
+    missing = table(spark, sf_dir, "region").select(
+        F.lit(None).cast(items_type).alias("items"), token, F.col("r_name").alias("_source_keyword")
+    )
+    return pages.unionByName(empty).unionByName(missing)

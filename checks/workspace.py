@@ -44,14 +44,6 @@ def write_pages(spark: SparkSession, sf_dir: str, base: str) -> Pages:
     listed = inputs.video_items(again.where("_source_category = '0'"))
     per_category = inputs.video_items(again.where("_source_category <> '0'"))
     search = inputs.search_items(flat)
-    nothing = inputs.table(spark, sf_dir, "nation").select(
-        F.array().cast(schemas.response_page("search")["items"].dataType).alias("items"),
-        F.lit(None).cast("string").alias("nextPageToken"),
-        F.col("n_name").alias("_source_keyword"),
-    )
-    keyword_pages = inputs.to_pages(
-        search, _number("id.videoId"), _source_keyword=F.split_part("snippet.title", F.lit(" #"), F.lit(1))
-    ).unionByName(nothing)
     return Pages(
         trending=_keep(
             spark, base, "trending", "video",
@@ -66,7 +58,9 @@ def write_pages(spark: SparkSession, sf_dir: str, base: str) -> Pages:
         channel_videos=_keep(
             spark, base, "channel_videos", "search", inputs.to_pages(search, _number("id.videoId"))
         ),
-        keyword_videos=_keep(spark, base, "keyword_videos", "search", keyword_pages),
+        keyword_videos=_keep(
+            spark, base, "keyword_videos", "search", inputs.keyword_pages(spark, sf_dir)
+        ),
         video_stats=_keep(
             spark, base, "video_stats", "video",
             inputs.to_pages(inputs.video_items(flat), _number("id")),

@@ -22,11 +22,15 @@ def existing_partitions(df: DataFrame, wanted: Sequence[str]) -> list[str]:
     return [name for name in wanted if name in df.columns]
 
 
-def _write(df: DataFrame, path: str, mode: str, partitions: Sequence[str],
-           rebalance: bool, **options: str) -> str:
+def by_partition(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rows of one partition value together, in tasks of an even size."""
+    return df.hint("rebalance", *partitions) if partitions else df
+
+
+def _write(
+    df: DataFrame, path: str, mode: str, partitions: Sequence[str], **options: str
+) -> str:
     columns = existing_partitions(df, partitions)
-    if rebalance and columns:
-        df = df.hint("rebalance", *columns)
     writer = df.write.mode(mode).options(**options)
     if columns:
         writer = writer.partitionBy(*columns)
@@ -37,10 +41,10 @@ def _write(df: DataFrame, path: str, mode: str, partitions: Sequence[str],
 def append(df: DataFrame, root: str, table: str, partitions: Sequence[str] = BY_DATE) -> str:
     """Add rows; nothing that is there changes. Running it twice adds them twice.
 
-    No rebalancing: a run's rows share one ingestion date, so the tasks that
-    scanned them can write them as they are.
+    A run's rows share one ingestion date, so the tasks that scanned them write
+    them as they are; rows of many dates should go through ``by_partition`` first.
     """
-    return _write(df, storage.join(root, table), "append", partitions, rebalance=False)
+    return _write(df, storage.join(root, table), "append", partitions)
 
 
 def replace_partitions(
@@ -49,8 +53,7 @@ def replace_partitions(
     """Replace the partitions ``df`` has rows for and leave all others: an append
     that may be repeated."""
     return _write(
-        df, storage.join(root, table), "overwrite", partitions, rebalance=False,
-        partitionOverwriteMode="dynamic",
+        df, storage.join(root, table), "overwrite", partitions, partitionOverwriteMode="dynamic"
     )
 
 
@@ -58,8 +61,9 @@ def overwrite(
     df: DataFrame, root: str, table: str, partitions: Sequence[str] = BY_DATE
 ) -> str:
     """Replace the whole table. ``df`` must not read from it."""
+    together = by_partition(df, existing_partitions(df, partitions))
     return _write(
-        df, storage.join(root, table), "overwrite", partitions, rebalance=True,
+        together, storage.join(root, table), "overwrite", partitions,
         partitionOverwriteMode="static",
     )
 
