@@ -745,7 +745,7 @@ def sink_append_partitioned(spark, sf_dir):
 
 @query
 def sink_replace_partitions(spark, sf_dir):
-    """The finished orders' months rewritten with those orders only, others kept."""
+    """The months from 2000 on rewritten, the others kept."""
     rows, root = _silver(spark, sf_dir), storage.scratch(spark, "replace")
     tables.overwrite(rows, root, "videos")
     late = rows.where(F.col("ingestion_date") >= F.lit("2000-01-01")).withColumn(

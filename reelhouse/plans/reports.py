@@ -65,16 +65,20 @@ def _top_videos(star: Star, keep: Column, by: str, rows: int) -> DataFrame:
     return described.orderBy(*ranking)
 
 
-_ENGAGEMENT = F.round("engagement_rate", 4).alias("engagement_rate")
-_PER_DAY = F.round("view_velocity", 2).alias("views_per_day")
-_PUBLISHED = F.col("published_at").cast("string").alias("published_at")
+def _rounded(name: str, digits: int, alias: str | None = None) -> Column:
+    return F.round(name, digits).alias(alias or name)
+
+
+def _published() -> Column:
+    return F.col("published_at").cast("string").alias("published_at")
 
 
 def top_trending_videos(star: Star, rows: int = 20) -> DataFrame:
     best = _top_videos(star, F.col("views").isNotNull(), "views", rows)
     return best.select(
         "title", "channel_title", "category_name", "views", "likes", "comment_count",
-        _ENGAGEMENT, _PER_DAY, _PUBLISHED,
+        _rounded("engagement_rate", 4), _rounded("view_velocity", 2, "views_per_day"),
+        _published(),
     )
 
 
@@ -82,14 +86,16 @@ def most_engaging_videos(star: Star, min_views: int = 10000, rows: int = 20) ->
     best = _top_videos(star, F.col("views") > min_views, "engagement_rate", rows)
     return best.select(
         "title", "channel_title", "category_name", "views", "likes", "comment_count",
-        _ENGAGEMENT, F.round("like_ratio", 4).alias("like_ratio_pct"),
+        _rounded("engagement_rate", 4), _rounded("like_ratio", 4, "like_ratio_pct"),
     )
 
 
 def fastest_growing_videos(star: Star, rows: int = 20) -> DataFrame:
     best = _top_videos(star, F.col("view_velocity").isNotNull(), "view_velocity", rows)
     return best.select(
-        "title", "channel_title", "category_name", "views", _PER_DAY, _PUBLISHED, _ENGAGEMENT,
+        "title", "channel_title", "category_name", "views",
+        _rounded("view_velocity", 2, "views_per_day"), _published(),
+        _rounded("engagement_rate", 4),
     )
 
 

@@ -10,150 +10,199 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 
+_STRING, _LONG, _INT = T.StringType(), T.LongType(), T.IntegerType()
+_DOUBLE, _BOOLEAN = T.DoubleType(), T.BooleanType()
+_DATE, _TIMESTAMP = T.DateType(), T.TimestampType()
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
 
+def _of(kind: T.DataType, *names: str) -> list[T.StructField]:
+    return [T.StructField(name, kind) for name in names]
 
-_ITEM_AUDIT = (
-    "_batch_id string, _api_endpoint string, _ingestion_ts string, _source_system string,"
-    " _source_category string, _source_keyword string"
-)
 
-# Nested items as the API answers them; every count is text.
+def _text(*names: str) -> list[T.StructField]:
+    return _of(_STRING, *names)
+
+
+def _row(*parts: list[T.StructField]) -> T.StructType:
+    return T.StructType([field for part in parts for field in part])
+
+
+def columns(schema: T.StructType) -> list[str]:
+    return [field.name for field in schema.fields]
+
+
+# --- raw: nested items as the API answers them; every count is text --------------
+
+_RUN_AUDIT = ("_batch_id", "_ingestion_ts", "_source_system")
+_REQUEST_AUDIT = ("_api_endpoint", "_source_category", "_source_keyword")
+_ITEM_AUDIT = _text(*_RUN_AUDIT, *_REQUEST_AUDIT)
+_THUMBNAILS = _of(_row(_of(_row(_text("url")), "high")), "thumbnails")
+
 RAW_ITEMS = {
-    "video": _struct(
-        "id string,"
-        " snippet struct<title: string, channelId: string, channelTitle: string,"
-        "  categoryId: string, publishedAt: string, description: string,"
-        "  tags: array<string>, thumbnails: struct<high: struct<url: string>>>,"
-        " contentDetails struct<duration: string>,"
-        " statistics struct<viewCount: string, likeCount: string,"
-        "  commentCount: string, favoriteCount: string>," + _ITEM_AUDIT
+    "video": _row(
+        _text("id"),
+        _of(
+            _row(
+                _text("title", "channelId", "channelTitle", "categoryId", "publishedAt"),
+                _text("description"),
+                _of(T.ArrayType(_STRING), "tags"),
+                _THUMBNAILS,
+            ),
+            "snippet",
+        ),
+        _of(_row(_text("duration")), "contentDetails"),
+        _of(_row(_text("viewCount", "likeCount", "commentCount", "favoriteCount")), "statistics"),
+        _ITEM_AUDIT,
     ),
-    "channel": _struct(
-        "id string,"
-        " snippet struct<title: string, description: string, country: string,"
-        "  publishedAt: string>,"
-        " statistics struct<subscriberCount: string, viewCount: string,"
-        "  videoCount: string>," + _ITEM_AUDIT
+    "channel": _row(
+        _text("id"),
+        _of(_row(_text("title", "description", "country", "publishedAt")), "snippet"),
+        _of(_row(_text("subscriberCount", "viewCount", "videoCount")), "statistics"),
+        _ITEM_AUDIT,
     ),
-    "category": _struct(
-        "id string, snippet struct<title: string, assignable: boolean>," + _ITEM_AUDIT
+    "category": _row(
+        _text("id"), _of(_row(_text("title"), _of(_BOOLEAN, "assignable")), "snippet"), _ITEM_AUDIT
     ),
-    "search": _struct(
-        "id struct<videoId: string>,"
-        " snippet struct<title: string, channelId: string, channelTitle: string,"
-        "  publishedAt: string, description: string,"
-        "  thumbnails: struct<high: struct<url: string>>>," + _ITEM_AUDIT
+    "search": _row(
+        _of(_row(_text("videoId")), "id"),
+        _of(
+            _row(
+                _text("title", "channelId", "channelTitle", "publishedAt", "description"),
+                _THUMBNAILS,
+            ),
+            "snippet",
+        ),
+        _ITEM_AUDIT,
     ),
 }
 
 
 def response_page(kind: str) -> T.StructType:
     """One API answer: the items of a request plus what the request was for."""
-    audit = ("_batch_id", "_ingestion_ts", "_source_system")
-    item = T.StructType(
-        [f for f in RAW_ITEMS[kind].fields if not f.name.startswith("_")]
-    )
-    request = [f for f in RAW_ITEMS[kind].fields if f.name.startswith("_") and f.name not in audit]
-    return T.StructType(
-        [T.StructField("items", T.ArrayType(item)), T.StructField("nextPageToken", T.StringType())]
-        + request
-    )
+    fields = RAW_ITEMS[kind].fields
+    item = T.StructType([f for f in fields if not f.name.startswith("_")])
+    return _row(_of(T.ArrayType(item), "items"), _text("nextPageToken", *_REQUEST_AUDIT))
+
 
+# --- bronze and silver ---------------------------------------------------------
 
-_INGESTION = "ingestion_timestamp string, source string"
-_PARTITION = "ingestion_date date"
+_INGESTED = _of(_DATE, "ingestion_date") + _text("ingestion_timestamp", "source")
 
 
 def bronze(kind: str) -> T.StructType:
-    return T.StructType(
-        RAW_ITEMS[kind].fields + _struct(f"{_INGESTION}, {_PARTITION}").fields
-    )
+    return _row(RAW_ITEMS[kind].fields, _INGESTED)
 
 
-_VIDEO = (
-    "video_id string, title string, channel_id string, channel_title string,"
-    " category_id string, published_at timestamp, description string, duration string,"
-    " tag_count int, views bigint, likes bigint, comment_count bigint,"
-    f" favorite_count bigint, thumbnail_url string, {_PARTITION}, {_INGESTION}"
+_SILVER_VIDEO = _row(
+    _text("video_id", "title", "channel_id", "channel_title", "category_id"),
+    _of(_TIMESTAMP, "published_at"),
+    _text("description", "duration"),
+    _of(_INT, "tag_count"),
+    _of(_LONG, "views", "likes", "comment_count", "favorite_count"),
+    _text("thumbnail_url"),
+    _INGESTED,
 )
-_SEARCH = (
-    "video_id string, title string, channel_id string, channel_title string,"
-    " published_at timestamp, description string, thumbnail_url string,"
-    f" source_keyword string, {_PARTITION}, {_INGESTION}"
+_SILVER_SEARCH = _row(
+    _text("video_id", "title", "channel_id", "channel_title"),
+    _of(_TIMESTAMP, "published_at"),
+    _text("description", "thumbnail_url", "source_keyword"),
+    _INGESTED,
 )
 
 SILVER = {
-    "silver_video_stats": _struct(_VIDEO),
-    "silver_trending": _struct(_VIDEO),
-    "silver_trending_by_category": _struct(_VIDEO),
-    "silver_channel_stats": _struct(
-        "channel_id string, channel_name string, description string, country string,"
-        " published_at timestamp, subscriber_count bigint, total_views bigint,"
-        f" video_count bigint, {_PARTITION}, {_INGESTION}"
+    "silver_video_stats": _SILVER_VIDEO,
+    "silver_trending": _SILVER_VIDEO,
+    "silver_trending_by_category": _SILVER_VIDEO,
+    "silver_channel_stats": _row(
+        _text("channel_id", "channel_name", "description", "country"),
+        _of(_TIMESTAMP, "published_at"),
+        _of(_LONG, "subscriber_count", "total_views", "video_count"),
+        _INGESTED,
     ),
-    "silver_categories": _struct(
-        f"category_id string, category_name string, assignable boolean, {_PARTITION}, {_INGESTION}"
+    "silver_categories": _row(
+        _text("category_id", "category_name"), _of(_BOOLEAN, "assignable"), _INGESTED
     ),
-    "silver_keyword_videos": _struct(_SEARCH),
-    "silver_channel_videos": _struct(_SEARCH),
+    "silver_keyword_videos": _SILVER_SEARCH,
+    "silver_channel_videos": _SILVER_SEARCH,
 }
 
+# --- gold and warehouse --------------------------------------------------------
+
 GOLD = {
-    "gold_video_engagement": _struct(
-        "video_id string, title string, channel_id string, channel_title string,"
-        " category_id string, category_name string, published_at timestamp, duration string,"
-        " tag_count int, views bigint, likes bigint, comment_count bigint,"
-        " favorite_count bigint, thumbnail_url string, engagement_rate double,"
-        " like_ratio double, view_velocity double, days_since_published int, year int,"
-        f" month int, {_PARTITION}, ingestion_timestamp string"
+    "gold_video_engagement": _row(
+        _text("video_id", "title", "channel_id", "channel_title", "category_id", "category_name"),
+        _of(_TIMESTAMP, "published_at"),
+        _text("duration"),
+        _of(_INT, "tag_count"),
+        _of(_LONG, "views", "likes", "comment_count", "favorite_count"),
+        _text("thumbnail_url"),
+        _of(_DOUBLE, "engagement_rate", "like_ratio", "view_velocity"),
+        _of(_INT, "days_since_published", "year", "month"),
+        _of(_DATE, "ingestion_date"),
+        _text("ingestion_timestamp"),
     ),
-    "gold_channel_performance": _struct(
-        "channel_id string, channel_title string, total_videos bigint, total_views bigint,"
-        " total_likes bigint, total_comments bigint, avg_views double, max_views bigint,"
-        f" min_views bigint, avg_engagement_rate double, {_PARTITION}"
+    "gold_channel_performance": _row(
+        _text("channel_id", "channel_title"),
+        _of(_LONG, "total_videos", "total_views", "total_likes", "total_comments"),
+        _of(_DOUBLE, "avg_views"),
+        _of(_LONG, "max_views", "min_views"),
+        _of(_DOUBLE, "avg_engagement_rate"),
+        _of(_DATE, "ingestion_date"),
     ),
-    "gold_category_performance": _struct(
-        "category_id string, category_name string, total_videos bigint, total_views bigint,"
-        " total_likes bigint, avg_views double, max_views bigint,"
-        f" avg_engagement_rate double, {_PARTITION}"
+    "gold_category_performance": _row(
+        _text("category_id", "category_name"),
+        _of(_LONG, "total_videos", "total_views", "total_likes"),
+        _of(_DOUBLE, "avg_views"),
+        _of(_LONG, "max_views"),
+        _of(_DOUBLE, "avg_engagement_rate"),
+        _of(_DATE, "ingestion_date"),
     ),
 }
 
 WAREHOUSE = {
-    "dim_video": _struct(
-        "video_id string, title string, channel_id string, channel_title string,"
-        " category_id string, published_at timestamp, duration string, tag_count int,"
-        " thumbnail_url string"
+    "dim_video": _row(
+        _text("video_id", "title", "channel_id", "channel_title", "category_id"),
+        _of(_TIMESTAMP, "published_at"),
+        _text("duration"),
+        _of(_INT, "tag_count"),
+        _text("thumbnail_url"),
     ),
-    "dim_channel": _struct(
-        "channel_key bigint, channel_id string, channel_name string, country string,"
-        " subscriber_count bigint, total_views bigint, video_count bigint,"
-        " effective_start_date date, effective_end_date date, is_current boolean"
+    "dim_channel": _row(
+        _of(_LONG, "channel_key"),
+        _text("channel_id", "channel_name", "country"),
+        _of(_LONG, "subscriber_count", "total_views", "video_count"),
+        _of(_DATE, "effective_start_date", "effective_end_date"),
+        _of(_BOOLEAN, "is_current"),
     ),
-    "dim_category": _struct("category_id string, category_name string, assignable boolean"),
-    "dim_date": _struct(
-        "date_id string, full_date date, year int, month int, month_name string, quarter int,"
-        " day_of_week string, is_weekend boolean"
+    "dim_category": _row(_text("category_id", "category_name"), _of(_BOOLEAN, "assignable")),
+    "dim_date": _row(
+        _text("date_id"),
+        _of(_DATE, "full_date"),
+        _of(_INT, "year", "month"),
+        _text("month_name"),
+        _of(_INT, "quarter"),
+        _text("day_of_week"),
+        _of(_BOOLEAN, "is_weekend"),
     ),
-    "fact_video_performance": _struct(
-        "video_id string, channel_id string, category_id string, date_id string,"
-        " views bigint, likes bigint, comment_count bigint, favorite_count bigint,"
-        " tag_count int, engagement_rate double, like_ratio double, view_velocity double,"
-        " year int, month int"
+    "fact_video_performance": _row(
+        _text("video_id", "channel_id", "category_id", "date_id"),
+        _of(_LONG, "views", "likes", "comment_count", "favorite_count"),
+        _of(_INT, "tag_count"),
+        _of(_DOUBLE, "engagement_rate", "like_ratio", "view_velocity"),
+        _of(_INT, "year", "month"),
     ),
 }
 
-MARKS = _struct("source_type string, source_key string, last_ts timestamp")
-
-LINEAGE = _struct(
-    "pipeline string, source string, destination string,"
-    " tables array<struct<table: string, status: string, rows: bigint, error: string>>,"
-    " details map<string, string>, logged_at string, run_date date"
-)
+# --- state and log ---------------------------------------------------------------
 
+MARKS = _row(_text("source_type", "source_key"), _of(_TIMESTAMP, "last_ts"))
 
-def columns(schema: T.StructType) -> list[str]:
-    return [f.name for f in schema.fields]
+LINEAGE = _row(
+    _text("pipeline", "source", "destination"),
+    _of(
+        T.ArrayType(_row(_text("table", "status"), _of(_LONG, "rows"), _text("error"))), "tables"
+    ),
+    _of(T.MapType(_STRING, _STRING), "details"),
+    _text("logged_at"),
+    _of(_DATE, "run_date"),
+)
