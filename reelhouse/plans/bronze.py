@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -57,12 +58,13 @@ def build_bronze(
     layout: str = json_items.LINES,
 ) -> list[TableStatus]:
     run = Run(spark, "bronze")
-    for spec in sources:
-        run.build(
-            spec.table,
-            lambda: ingest_source(spark, roots, spec, run_ts, layout),
-            run_date=run_ts.date(),
-        )
+    run.build(
+        {
+            spec.table: partial(ingest_source, spark, roots, spec, run_ts, layout)
+            for spec in sources
+        },
+        run_date=run_ts.date(),
+    )
     lineage.record(
         spark, roots.lineage, "bronze", roots.raw, roots.bronze, run.lineage_rows(), run_ts
     )

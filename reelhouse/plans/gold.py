@@ -41,9 +41,13 @@ def build_gold(
         mart = marts.category_performance(stats, categories, run_ts.date())
         return tables.overwrite_gold(mart, roots.gold, "gold_category_performance")
 
-    run.build("gold_video_engagement", videos)
-    run.build("gold_channel_performance", channels)
-    run.build("gold_category_performance", by_category)
+    run.build(
+        {
+            "gold_video_engagement": videos,
+            "gold_channel_performance": channels,
+            "gold_category_performance": by_category,
+        }
+    )
     lineage.record(
         spark, roots.lineage, "gold", roots.silver, roots.gold, run.lineage_rows(), run_ts
     )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,20 +78,20 @@ def land(
         )
         return fresh.drop("_published", "_key")
 
-    def write(name: str, items: DataFrame | None) -> None:
-        def job() -> str | None:
-            if items is None:
-                return None
-            path = landing.write_items(items, storage.join(folder, f"raw_{name}"))
-            answer = getattr(pages, name)
-            if answer is not None:
-                tables.quarantine(
-                    json_items.rejected_pages(answer), roots.quarantine,
-                    f"quarantine_pages_{name}", run_ts.date(), any_rows=unusable[name].any(),
-                )
-            return path
-
-        run.build(name, job, counted=False)
+    def write(name: str, items: DataFrame | None) -> str | None:
+        if items is None:
+            return None
+        path = landing.write_items(items, storage.join(folder, f"raw_{name}"))
+        answer = getattr(pages, name)
+        if answer is not None:
+            tables.quarantine(
+                json_items.rejected_pages(answer), roots.quarantine,
+                f"quarantine_pages_{name}", run_ts.date(), any_rows=unusable[name].any(),
+            )
+        return path
+
+    def write_all(items: dict[str, DataFrame | None]) -> None:
+        run.build({name: partial(write, name, df) for name, df in items.items()}, counted=False)
 
     def landed(name: str, kind: str) -> DataFrame | None:
         """What this run wrote: later steps read it back instead of redoing it."""
@@ -99,10 +100,16 @@ def land(
             return None
         return spark.read.schema(schemas.RAW_ITEMS[kind]).json(path)
 
-    write("trending", items_of("trending"))
-    write("trending_by_category", items_of("trending_by_category"))
-    write("channel_videos", since_marks("channel_videos", "channel", "snippet.channelId"))
-    write("keyword_videos", since_marks("keyword_videos", "keyword", "_source_keyword"))
+    write_all(
+        {
+            "trending": items_of("trending"),
+            "trending_by_category": items_of("trending_by_category"),
+            "channel_videos": since_marks("channel_videos", "channel", "snippet.channelId"),
+            "keyword_videos": since_marks("keyword_videos", "keyword", "_source_keyword"),
+            "channel_stats": items_of("channel_stats"),
+            "categories": items_of("categories"),
+        }
+    )
 
     found = [landed(name, "search") for name in ("channel_videos", "keyword_videos")]
     stats = items_of("video_stats")
@@ -114,9 +121,7 @@ def land(
     if in_order:
         keyed = [df.withColumn("_id", parse.video_id(F.col("id"))) for df in in_order]
         unique = dedup.first_seen(keyed, "_id").drop("_id")
-    write("video_stats", unique)
-    write("channel_stats", items_of("channel_stats"))
-    write("categories", items_of("categories"))
+    write_all({"video_stats": unique})
 
     new_marks = []
     for df, source_type, key in zip(
@@ -127,10 +132,8 @@ def land(
             keyed = df.withColumn("_key", F.col(key))
             new_marks.append(marks.marks_from(keyed, source_type, "_key", at))
     if new_marks:
-        run.build(
-            "marks",
-            lambda: snapshots.write(marks.advance(known, *new_marks), roots.marks, "marks"),
-        )
+        advanced = marks.advance(known, *new_marks)
+        run.build({"marks": partial(snapshots.write, advanced, roots.marks, "marks")})
     lineage.record(
         spark, roots.lineage, "landing", "api pages", folder, run.lineage_rows(), run_ts,
         {"batch_id": batch},

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,8 +67,7 @@ def refine(
 
 def build_silver(spark: SparkSession, roots: Roots, run_ts: datetime) -> list[TableStatus]:
     run = Run(spark, "silver")
-    for spec in TABLES:
-        run.build(spec.table, lambda: refine(spark, roots, spec, run_ts))
+    run.build({spec.table: partial(refine, spark, roots, spec, run_ts) for spec in TABLES})
     lineage.record(
         spark, roots.lineage, "silver", roots.bronze, roots.silver, run.lineage_rows(), run_ts
     )

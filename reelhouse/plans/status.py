@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 WRITTEN, SKIPPED, FAILED = "written", "skipped", "failed"
+AT_ONCE = 4
 
 
 @dataclass(frozen=True)
@@ -31,32 +34,48 @@ class RunFailed(RuntimeError):
         super().__init__("; ".join(failed))
 
 
+Job = Callable[[], "str | None"]
+
+
 @dataclass
 class Run:
-    """Builds tables one by one; a failure is recorded and the next one built."""
+    """Builds the tables of one pipeline; a failure is recorded, the others are built."""
 
     spark: SparkSession
     pipeline: str
     statuses: list[TableStatus] = field(default_factory=list)
 
     def build(
-        self, table: str, job: Callable[[], str | None], run_date: date | None = None,
-        counted: bool = True,
+        self, jobs: Mapping[str, Job], run_date: date | None = None, counted: bool = True
     ) -> None:
-        """``job`` writes the table and returns its path, None when its input is missing.
+        """Run jobs that do not depend on each other, a few at a time, so that the
+        last tasks of one table do not leave the cluster idle.
 
+        A job writes its table and returns the path, None when its input is missing.
         With ``run_date`` only that ingestion date's rows are counted.
         """
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            done = [
+                pool.submit(
+                    inheritable_thread_target(self.spark)(self._attempt),
+                    table, job, run_date, counted,
+                )
+                for table, job in jobs.items()
+            ]
+            self.statuses += [attempt.result() for attempt in done]
+
+    def _attempt(
+        self, table: str, job: Job, run_date: date | None, counted: bool
+    ) -> TableStatus:
         try:
             path = job()
+            if path is None:
+                return TableStatus(self.pipeline, table, SKIPPED)
+            rows = self._rows(path, run_date) if counted else None
+            return TableStatus(self.pipeline, table, WRITTEN, path=path, rows=rows)
         except Exception as error:  # noqa: BLE001 - isolation of tables is the point
-            self._add(table, FAILED, error=f"{type(error).__name__}: {error}"[:500])
-            return
-        if path is None:
-            self._add(table, SKIPPED)
-            return
-        rows = self._rows(path, run_date) if counted else None
-        self._add(table, WRITTEN, path=path, rows=rows)
+            reason = f"{type(error).__name__}: {error}"[:500]
+            return TableStatus(self.pipeline, table, FAILED, error=reason)
 
     def _rows(self, path: str, run_date: date | None) -> int:
         """Rows now in the table. A count without columns is answered from the
@@ -67,9 +86,6 @@ class Run:
             written = written.where(F.col("ingestion_date") == F.lit(run_date))
         return written.count()
 
-    def _add(self, table: str, status: str, **rest) -> None:
-        self.statuses.append(TableStatus(self.pipeline, table, status, **rest))
-
     def lineage_rows(self) -> list[tuple[str, str, int | None, str | None]]:
         return [(s.table, s.status, s.rows, s.error) for s in self.statuses]
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,30 +56,31 @@ def build_warehouse(
 
     # The video mart has one row per video, so its dimension and fact need no
     # second deduplication, which would shuffle the whole mart twice more.
-    def write_dim(table: str, source: DataFrame | None, make) -> None:
-        run.build(
-            table,
-            lambda: None
-            if source is None
-            else tables.overwrite_dimension(make(source), roots.warehouse, table),
-        )
+    def dimension(table: str, source: DataFrame | None, make) -> str | None:
+        if source is None:
+            return None
+        return tables.overwrite_dimension(make(source), roots.warehouse, table)
 
-    write_dim("dim_video", gold, lambda g: dimensions.dim_video(g, deduplicate=False))
-    write_dim("dim_category", categories, dimensions.dim_category)
-    write_dim("dim_date", gold, dimensions.dim_date)
-    run.build(
-        "dim_channel",
-        lambda: None
-        if channels is None
-        else update_channel_history(spark, roots.warehouse, channels, run_ts, tracked),
-    )
+    def channel_history() -> str | None:
+        if channels is None:
+            return None
+        return update_channel_history(spark, roots.warehouse, channels, run_ts, tracked)
+
+    def fact() -> str | None:
+        if gold is None:
+            return None
+        rows = dimensions.fact_video_performance(gold, deduplicate=False)
+        return tables.overwrite_fact(rows, roots.warehouse)
+
+    videos = partial(dimensions.dim_video, deduplicate=False)
     run.build(
-        "fact_video_performance",
-        lambda: None
-        if gold is None
-        else tables.overwrite_fact(
-            dimensions.fact_video_performance(gold, deduplicate=False), roots.warehouse
-        ),
+        {
+            "dim_video": partial(dimension, "dim_video", gold, videos),
+            "dim_category": partial(dimension, "dim_category", categories, dimensions.dim_category),
+            "dim_date": partial(dimension, "dim_date", gold, dimensions.dim_date),
+            "dim_channel": channel_history,
+            "fact_video_performance": fact,
+        }
     )
     lineage.record(
         spark, roots.lineage, "warehouse", roots.gold, roots.warehouse, run.lineage_rows(),
