@@ -329,7 +329,7 @@ def dq_failed_columns(spark, sf_dir):
 @query
 def dq_unique_latest(spark, sf_dir):
     events = inputs.table(spark, sf_dir, "events")
-    latest = dedup.keep_latest(events, "user_id", "ts", [F.col("event_id").desc()])
+    latest = dedup.keep_latest(events, "user_id", "ts", ties=[F.col("event_id").desc()])
     return latest.select("user_id", "event_id", "event_type", "value")
 
 

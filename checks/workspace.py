@@ -20,6 +20,7 @@ from reelhouse.plans.run import run_all
 from reelhouse.sources import shards, storage
 
 _built: dict[tuple[str, str], Roots] = {}
+_stars: dict[tuple[str, str], Star] = {}
 
 
 def _number(item_id: str) -> Column:
@@ -95,7 +96,14 @@ def roots_for(spark: SparkSession, sf_dir: str) -> Roots:
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    roots = roots_for(spark, sf_dir)
+    """The warehouse, its files listed once and not again for each report."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stars:
+        _stars[key] = _open_star(spark, roots_for(spark, sf_dir))
+    return _stars[key]
+
+
+def _open_star(spark: SparkSession, roots: Roots) -> Star:
     get = lambda table: catalog.warehouse_table(spark, roots.warehouse, table)
     return Star(
         fact=get("fact_video_performance"),

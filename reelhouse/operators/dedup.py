@@ -31,18 +31,20 @@ def keep_latest(
     df: DataFrame,
     key: str | list[str],
     latest_by: str | None = "ingestion_timestamp",
-    prefer: list[Column] | None = None,
+    ties: list[Column] | None = None,
 ) -> DataFrame:
     """The latest row of each key; a frame without the key is left alone.
 
-    Ties are settled by ``prefer``, then by a hash of the row, so the survivor
-    is the same on every run and under any partitioning.
+    Ties are settled by a hash of the whole row, so the survivor is the same on
+    every run and under any partitioning. Where columns are known that tell all
+    rows of a key apart, giving them as ``ties`` instead lets the scan leave out
+    the columns nobody else reads.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if any(name not in df.columns for name in keys):
         return df
     order = [F.col(latest_by).desc_nulls_last()] if latest_by in df.columns else []
-    return _first_per_key(df, keys, order + (prefer or []) + [row_hash(df)])
+    return _first_per_key(df, keys, order + (ties or [row_hash(df)]))
 
 
 def unique_key(df: DataFrame, key: str, latest_by: str | None = "ingestion_timestamp") -> DataFrame:

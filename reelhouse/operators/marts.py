@@ -13,7 +13,7 @@ from reelhouse.operators import columns, dedup
 
 
 def combine_videos(stats: DataFrame, trending: DataFrame | None) -> DataFrame:
-    """Statistics and trending rows as one set, one row per video.
+    """Statistics and trending rows, each unique per video, as one such set.
 
     The later ingestion wins; on a tie the statistics row does.
     """
@@ -23,7 +23,7 @@ def combine_videos(stats: DataFrame, trending: DataFrame | None) -> DataFrame:
     both = columns.union_common(
         [stats.withColumn(rank, F.lit(0)), trending.withColumn(rank, F.lit(1))]
     )
-    return dedup.keep_latest(both, "video_id", prefer=[F.col(rank)]).drop(rank)
+    return dedup.keep_latest(both, "video_id", ties=[F.col(rank)]).drop(rank)
 
 
 def category_names(categories: DataFrame) -> DataFrame:

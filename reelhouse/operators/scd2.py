@@ -119,11 +119,8 @@ def merge(
         F.lit(OPEN_END).alias("effective_end_date"),
         F.lit(True).alias("is_current"),
     )
-    versions = F.array_compact(
-        F.array(
-            F.when(has_old & ~replaced, kept),
-            F.when((has_new & ~has_old) | differs, opened),
-        )
+    versions = F.array(
+        F.when(has_old & ~replaced, kept), F.when((has_new & ~has_old) | differs, opened)
     )
     open_side = current_versions(history).alias("o")
     decided = (
@@ -131,6 +128,7 @@ def merge(
             incoming.alias("n"), F.col(f"o.{KEY}") == F.col(f"n.{KEY}"), "full_outer"
         )
         .select(F.explode(versions).alias("version"))
+        .where(F.col("version").isNotNull())
         .select("version.*")
     )
     closed = history.where(~F.col("is_current"))

@@ -150,4 +150,4 @@ def _only_requested(stats: DataFrame, found: list[DataFrame]) -> DataFrame:
     for more in ids[1:]:
         requested = requested.unionByName(more)
     requested = requested.select(parse.video_id(F.col("id")).alias("id"))
-    return stats.join(requested, "id", "left_semi")
+    return stats.join(dedup.distinct_ids(requested, "id"), "id", "left_semi")

@@ -62,7 +62,9 @@ def _top_videos(star: Star, keep: Column, by: str, rows: int) -> DataFrame:
     described = best.join(
         star.dim_video.select("video_id", "title", "channel_title", "published_at"), "video_id"
     )
-    return described.orderBy(*ranking)
+    # With a limit the sort is a merge of small heaps; without one Spark would
+    # scan ``dim_video`` once more to sample sort ranges.
+    return described.orderBy(*ranking).limit(rows)
 
 
 def _rounded(name: str, digits: int, alias: str | None = None) -> Column:

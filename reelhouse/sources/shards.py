@@ -31,4 +31,5 @@ def label_shards(
     when that category has one: the same rows as a union over all parts, from a
     single scan."""
     own = F.when(F.col(category).isin(*listed), F.col(category))
-    return rows.withColumn(label, F.explode(F.array_compact(F.array(F.lit(all_label), own))))
+    labelled = rows.withColumn(label, F.explode(F.array(F.lit(all_label), own)))
+    return labelled.where(F.col(label).isNotNull())
