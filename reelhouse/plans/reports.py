@@ -59,7 +59,8 @@ def _top_videos(star: Star, keep: Column, by: str, rows: int) -> DataFrame:
     )
     known = named.join(star.dim_video.select("video_id"), "video_id", "left_semi")
     best = known.orderBy(*ranking).limit(rows)
-    described = best.join(
+    # Broadcast: ``best`` has at most ``rows`` rows, as many as the result itself.
+    described = F.broadcast(best).join(
         star.dim_video.select("video_id", "title", "channel_title", "published_at"), "video_id"
     )
     # With a limit the sort is a merge of small heaps; without one Spark would

@@ -40,12 +40,14 @@ def read_items(
 
 
 def split_corrupt(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readable items, unreadable text with its reason)."""
+    """(readable items, unreadable text with its reason and what could be read of it).
+
+    Spark refuses to read ``_corrupt_record`` without any other column, as in a
+    bare ``count()`` of either frame.
+    """
     corrupt = F.col(schemas.CORRUPT)
     good = items.where(corrupt.isNull()).drop(schemas.CORRUPT)
-    bad = items.where(corrupt.isNotNull()).select(
-        corrupt, F.lit("corrupt_record").alias("dq_issue")
-    )
+    bad = items.where(corrupt.isNotNull()).withColumn("dq_issue", F.lit("corrupt_record"))
     return good, bad
 
 
