@@ -826,7 +826,7 @@ def layer_row_counts(spark, sf_dir):
     ]
     found += [("gold", name, layers.read_table(spark, roots.gold, name)) for name in schemas.GOLD]
     found += [
-        ("warehouse", name, catalog.warehouse_table(spark, roots.warehouse, name))
+        ("warehouse", name, layers.read_table(spark, roots.warehouse, name))
         for name in schemas.WAREHOUSE
     ]
     parts = [

@@ -12,12 +12,11 @@ from pyspark.sql import functions as F
 
 from checks import inputs
 from reelhouse import schemas
-from reelhouse.plans import catalog
 from reelhouse.plans.landing import Pages
 from reelhouse.plans.reports import Star
 from reelhouse.plans.roots import Roots
 from reelhouse.plans.run import run_all
-from reelhouse.sources import shards, storage
+from reelhouse.sources import layers, shards, storage
 
 _built: dict[tuple[str, str], Roots] = {}
 _stars: dict[tuple[str, str], Star] = {}
@@ -104,7 +103,7 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def _open_star(spark: SparkSession, roots: Roots) -> Star:
-    get = lambda table: catalog.warehouse_table(spark, roots.warehouse, table)
+    get = lambda table: layers.read_table(spark, roots.warehouse, table)
     return Star(
         fact=get("fact_video_performance"),
         dim_video=get("dim_video"),

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from reelhouse import schemas
-from reelhouse.sinks import snapshots
-from reelhouse.sources import layers, storage
+from reelhouse.sources import layers
 
 # The second names the dashboard's SQL uses.
 ALIASES = {
@@ -22,17 +21,11 @@ ALIASES = {
 }
 
 
-def warehouse_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    if table == "dim_channel":
-        return snapshots.read(spark, root, table, schemas.WAREHOUSE[table])
-    return layers.read_table(spark, root, table)
-
-
 def register_views(
     spark: SparkSession, warehouse_root: str, gold_root: str | None = None, aliases: bool = False
 ) -> list[str]:
     """Register the tables that exist as temporary views; returns their names."""
-    found = {t: warehouse_table(spark, warehouse_root, t) for t in schemas.WAREHOUSE}
+    found = {t: layers.read_table(spark, warehouse_root, t) for t in schemas.WAREHOUSE}
     if gold_root is not None:
         found |= {t: layers.read_table(spark, gold_root, t) for t in schemas.GOLD}
     names = []
@@ -62,11 +55,8 @@ def create_external_tables(
     for table, schema in schemas.WAREHOUSE.items():
         name = f"`{database}`.`{table}`"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        if table == "dim_channel":
-            location = snapshots.newest(spark, warehouse_root, table)
-        else:
-            location = storage.join(warehouse_root, table)
-        if location is None or not storage.exists(spark, location):
+        location = layers.location(spark, warehouse_root, table)
+        if location is None:
             continue
         partitioned = table == "fact_video_performance"
         spark.sql(

@@ -20,8 +20,9 @@ from reelhouse.plans.bronze import raw_folder
 from reelhouse.plans.roots import Roots
 from reelhouse.plans.status import Run, Seen, TableStatus
 from reelhouse.settings import DEFAULT_MARK
-from reelhouse.sinks import landing, lineage, snapshots, tables
-from reelhouse.sources import json_items, marks, storage
+from reelhouse.sinks import landing, lineage, tables
+from reelhouse.sinks import snapshots as snapshots_out
+from reelhouse.sources import json_items, marks, snapshots, storage
 
 
 @dataclass(frozen=True)
@@ -37,8 +38,11 @@ class Pages:
     categories: DataFrame | None = None
 
 
-def read_marks(spark: SparkSession, roots: Roots) -> DataFrame:
-    saved = snapshots.read(spark, roots.marks, "marks", schemas.MARKS)
+def read_marks(
+    spark: SparkSession, roots: Roots, before: datetime | None = None
+) -> DataFrame:
+    """The newest marks, or those a run at ``before`` has to start from."""
+    saved = snapshots.read(spark, roots.marks, "marks", schemas.MARKS, before)
     return saved if saved is not None else spark.createDataFrame([], schemas.MARKS)
 
 
@@ -56,7 +60,7 @@ def land(
     run = Run(spark, "landing")
     batch = batch_id or audit.new_batch_id(run_ts)
     folder = raw_folder(roots, run_ts)
-    known = read_marks(spark, roots)
+    known = read_marks(spark, roots, before=run_ts)
     published = F.try_to_timestamp(F.col("snippet.publishedAt"))
 
     unusable = {kind.name: Seen() for kind in fields(Pages)}
@@ -133,7 +137,7 @@ def land(
             new_marks.append(marks.marks_from(keyed, source_type, "_key", at))
     if new_marks:
         advanced = marks.advance(known, *new_marks)
-        run.build({"marks": partial(snapshots.write, advanced, roots.marks, "marks")})
+        run.build({"marks": partial(snapshots_out.write, advanced, roots.marks, "marks", run_ts)})
     lineage.record(
         spark, roots.lineage, "landing", "api pages", folder, run.lineage_rows(), run_ts,
         {"batch_id": batch},

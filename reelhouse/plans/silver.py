@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, time
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +15,8 @@ from reelhouse.operators import flatten, quality
 from reelhouse.plans.roots import Roots
 from reelhouse.plans.status import Run, Seen, TableStatus
 from reelhouse.sinks import lineage, tables
-from reelhouse.sources import layers
+from reelhouse.sinks import snapshots as snapshots_out
+from reelhouse.sources import layers, snapshots
 
 
 @dataclass(frozen=True)
@@ -48,16 +49,40 @@ TABLES = (
 
 
 def refine(
-    spark: SparkSession, roots: Roots, spec: SilverSpec, run_ts: datetime
+    spark: SparkSession,
+    roots: Roots,
+    spec: SilverSpec,
+    run_ts: datetime,
+    from_scratch: bool = False,
+    keep: int = snapshots_out.KEEP,
 ) -> str | None:
+    """Bring one table up to the day of the run.
+
+    The state of the last earlier day is taken as it is, and only the bronze days
+    after it are read and checked: keeping the latest row per key of both gives
+    the rows that all of bronze would give. ``from_scratch`` reads all of bronze,
+    as a first run does, for instance after the rules have changed.
+    """
     bronze = layers.read_table(spark, roots.bronze, spec.bronze)
     if bronze is None:
         return None
-    judged = quality.judge(spec.flatten(bronze, keep_unparsed=True), spec.rules)
+    today = datetime.combine(run_ts.date(), time.min)
+    since = None if from_scratch else snapshots.newest(spark, roots.silver, spec.table, today)
+    days = F.col("ingestion_date") <= F.lit(run_ts.date())
+    if since is not None:
+        days &= F.col("ingestion_date") > F.lit(since.date())
+
+    judged = quality.judge(spec.flatten(bronze.where(days), keep_unparsed=True), spec.rules)
     rejected = Seen()
-    watched = rejected.watch(judged, F.col(quality.ISSUE).isNotNull())
-    clean = quality.uniqueness(quality.passed(watched), spec.rules.key)
-    written = tables.overwrite(clean, roots.silver, spec.table)
+    good = quality.passed(rejected.watch(judged, F.col(quality.ISSUE).isNotNull()))
+    if since is not None:
+        before = snapshots.read(
+            spark, roots.silver, spec.table, layers.schema_of(spec.table), before=today
+        )
+        good = before.unionByName(good)
+    clean = quality.uniqueness(good, spec.rules.key)
+    written = snapshots_out.write(clean, roots.silver, spec.table, run_ts, tables.BY_DATE)
+    snapshots_out.prune(spark, roots.silver, spec.table, keep)
     tables.quarantine(
         quality.quarantined(judged), roots.quarantine, spec.quarantine, run_ts.date(),
         any_rows=rejected.any(),
@@ -65,9 +90,16 @@ def refine(
     return written
 
 
-def build_silver(spark: SparkSession, roots: Roots, run_ts: datetime) -> list[TableStatus]:
+def build_silver(
+    spark: SparkSession, roots: Roots, run_ts: datetime, from_scratch: bool = False
+) -> list[TableStatus]:
     run = Run(spark, "silver")
-    run.build({spec.table: partial(refine, spark, roots, spec, run_ts) for spec in TABLES})
+    run.build(
+        {
+            spec.table: partial(refine, spark, roots, spec, run_ts, from_scratch)
+            for spec in TABLES
+        }
+    )
     lineage.record(
         spark, roots.lineage, "silver", roots.bronze, roots.silver, run.lineage_rows(), run_ts
     )

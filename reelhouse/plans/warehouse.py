@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, time
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +13,9 @@ from reelhouse.operators import columns, dimensions, scd2
 from reelhouse.plans.roots import Roots
 from reelhouse.plans.status import Run, TableStatus
 from reelhouse.settings import TRACKED_CHANNEL_COLUMNS
-from reelhouse.sinks import lineage, snapshots, tables
-from reelhouse.sources import layers
+from reelhouse.sinks import lineage, tables
+from reelhouse.sinks import snapshots as snapshots_out
+from reelhouse.sources import layers, snapshots
 
 
 def channel_input(spark: SparkSession, roots: Roots) -> DataFrame | None:
@@ -33,14 +34,18 @@ def update_channel_history(
     run_ts: datetime,
     tracked: Sequence[str] = TRACKED_CHANNEL_COLUMNS,
 ) -> str:
-    """Merge into the newest snapshot of ``dim_channel`` and write the next one."""
+    """Merge into ``dim_channel`` as the last earlier day left it."""
     new = scd2.prepare(incoming)
-    history = snapshots.read(spark, root, "dim_channel", schemas.WAREHOUSE["dim_channel"])
+    table = "dim_channel"
+    today = datetime.combine(run_ts.date(), time.min)
+    history = snapshots.read(spark, root, table, schemas.WAREHOUSE[table], before=today)
     if history is None:
         merged = scd2.first_load(new, run_ts.date())
     else:
         merged = scd2.merge(history, new, run_ts.date(), tracked)
-    return snapshots.write(merged, root, "dim_channel")
+    written = snapshots_out.write(merged, root, table, run_ts)
+    snapshots_out.prune(spark, root, table)
+    return written
 
 
 def build_warehouse(

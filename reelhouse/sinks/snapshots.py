@@ -1,46 +1,44 @@
-"""Tables that are rewritten from their own content.
-
-A table cannot be overwritten while a lazy plan still reads it. Each state is
-written to a new ``snapshot=<n>`` folder and readers take the newest one whose
-write was committed, so a failed run leaves the previous state in place.
-"""
+"""Writing snapshots; ``reelhouse.sources.snapshots`` says what they are."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
-
-from reelhouse import schemas
-from reelhouse.sources import storage
-
-_PREFIX = "snapshot="
-
-
-def _numbers(spark: SparkSession, root: str, table: str) -> list[int]:
-    names = storage.child_folders(spark, storage.join(root, table))
-    return sorted(int(n.removeprefix(_PREFIX)) for n in names if n.startswith(_PREFIX))
-
-
-def newest(spark: SparkSession, root: str, table: str) -> str | None:
-    """Folder of the newest complete snapshot."""
-    for number in reversed(_numbers(spark, root, table)):
-        path = storage.join(root, table, f"{_PREFIX}{number:06d}")
-        if storage.is_complete(spark, path):
-            return path
-    return None
-
-
-def read(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame | None:
-    path = newest(spark, root, table)
-    if path is None:
-        return None
-    return spark.read.schema(schema).parquet(path).select(schemas.columns(schema))
+from collections.abc import Sequence
+from datetime import datetime
 
+from pyspark.sql import DataFrame, SparkSession
 
-def write(df: DataFrame, root: str, table: str) -> str:
-    """Write the next snapshot. ``df`` may read the current one."""
-    spark = df.sparkSession
-    number = max(_numbers(spark, root, table), default=0) + 1
-    path = storage.join(root, table, f"{_PREFIX}{number:06d}")
-    df.write.mode("errorifexists").parquet(path)
-    return path
+from reelhouse.sinks import tables
+from reelhouse.sources import snapshots, storage
+
+KEEP = 3
+
+
+def write(
+    df: DataFrame, root: str, table: str, run_ts: datetime, partitions: Sequence[str] = ()
+) -> str:
+    """Write the snapshot of a run, replacing that of its earlier attempt.
+
+    ``df`` may read snapshots of earlier runs, not of this one. One run at a time
+    may write a table.
+    """
+    return tables.overwrite(df, storage.join(root, table), snapshots.name(run_ts), partitions)
+
+
+def prune(spark: SparkSession, root: str, table: str, keep: int = KEEP) -> list[str]:
+    """Delete the snapshots older than those of the newest ``keep`` days.
+
+    Days that have a complete snapshot are counted, not snapshots: a run starts
+    from the state of an earlier day, which has to survive however often it is
+    repeated. The kept ones also serve readers that opened one before the run.
+    """
+    if keep < 2:
+        raise ValueError("keep at least the day of the run and the one before it")
+    days, removed = set(), []
+    for run_ts in snapshots.run_times(spark, root, table):
+        path = snapshots.folder(root, table, run_ts)
+        if len(days) >= keep and run_ts.date() not in days:
+            storage.delete(spark, path)
+            removed.append(path)
+        elif storage.is_complete(spark, path):
+            days.add(run_ts.date())
+    return removed

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from reelhouse import schemas, settings
-from reelhouse.sources import storage
+from reelhouse.sources import snapshots, storage
 
 _KIND = {spec.table: spec.kind for spec in settings.SOURCES}
 
@@ -18,18 +18,34 @@ def schema_of(table: str) -> T.StructType:
     return schemas.bronze(_KIND[table])
 
 
+def is_snapshotted(table: str) -> bool:
+    return table in schemas.SILVER or table == "dim_channel"
+
+
+def location(spark: SparkSession, root: str, table: str) -> str | None:
+    """The folder the table's current files lie in."""
+    if not is_snapshotted(table):
+        path = storage.join(root, table)
+        return path if storage.exists(spark, path) else None
+    run_ts = snapshots.newest(spark, root, table)
+    return None if run_ts is None else snapshots.folder(root, table, run_ts)
+
+
 def read_table(
     spark: SparkSession, root: str, table: str, schema: T.StructType | None = None
 ) -> DataFrame | None:
-    """All partitions of a table, or None when it does not exist.
+    """All partitions of a table, of its newest state when it is kept as snapshots;
+    None when it does not exist.
 
     Lazy: filters on partition columns the caller adds prune folders, and only
     the columns used later are read.
     """
+    declared = schema or schema_of(table)
+    if is_snapshotted(table):
+        return snapshots.read(spark, root, table, declared)
     path = storage.join(root, table)
     if not storage.exists(spark, path):
         return None
-    declared = schema or schema_of(table)
     return spark.read.schema(declared).parquet(path).select(schemas.columns(declared))
 
 

@@ -36,6 +36,11 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/{_DONE}")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    hadoop, fs = _path(spark, path)
+    fs.delete(hadoop, True)
+
+
 def join(*parts: str) -> str:
     return "/".join([parts[0].rstrip("/"), *[p.strip("/") for p in parts[1:]]])
 

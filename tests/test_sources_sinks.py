@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from reelhouse import schemas, settings
 from reelhouse.operators import flatten
-from reelhouse.sinks import landing, lineage, snapshots, tables
-from reelhouse.sources import json_items, layers, marks, shards, storage
+from reelhouse.sinks import landing, lineage, tables
+from reelhouse.sinks import snapshots as snapshots_out
+from reelhouse.sources import json_items, layers, marks, shards, snapshots, storage
 from reelhouse.streaming import bronze_stream
 
 VIDEO = schemas.RAW_ITEMS["video"]
@@ -217,22 +218,43 @@ def test_quarantine(spark, rows, tmp_path):
 # --- snapshots and lineage ---------------------------------------------------------
 
 
-def test_snapshots_are_rewritten_from_themselves(spark, rows, tmp_path):
+RUNS = [datetime(2025, 1, day, 6) for day in range(1, 6)]
+
+
+def test_snapshots_are_computed_from_earlier_ones(spark, rows, tmp_path):
     root, schema = str(tmp_path), rows("n int", (1,)).schema
     assert snapshots.read(spark, root, "s", schema) is None
-    snapshots.write(rows("n int", (1,)), root, "s")
-    for expected in (2, 3):
-        current = snapshots.read(spark, root, "s", schema)
-        snapshots.write(current.select((F.col("n") + 1).cast("int").alias("n")), root, "s")
+    snapshots_out.write(rows("n int", (1,)), root, "s", RUNS[0])
+    for expected, run_ts in ((2, RUNS[1]), (3, RUNS[2]), (3, RUNS[2])):
+        earlier = snapshots.read(spark, root, "s", schema, before=run_ts)
+        grown = earlier.select((F.col("n") + 1).cast("int").alias("n"))
+        snapshots_out.write(grown, root, "s", run_ts)
         assert snapshots.read(spark, root, "s", schema).first().n == expected
 
 
 def test_incomplete_snapshots_are_passed_over(spark, rows, tmp_path):
     root, df = str(tmp_path), rows("n int", (1,))
-    snapshots.write(df, root, "s")
-    (tmp_path / "s" / "snapshot=000002").mkdir()
-    assert snapshots.newest(spark, root, "s").endswith("snapshot=000001")
-    assert snapshots.write(df, root, "s").endswith("snapshot=000003")
+    snapshots_out.write(df, root, "s", RUNS[0])
+    (tmp_path / "s" / snapshots.name(RUNS[1])).mkdir()
+    assert snapshots.newest(spark, root, "s") == RUNS[0]
+    assert snapshots.newest(spark, root, "s", before=RUNS[0]) is None
+
+
+def test_pruning_keeps_the_newest_complete_ones(spark, rows, tmp_path):
+    root, df = str(tmp_path), rows("n int", (1,))
+    for run_ts in (RUNS[0], RUNS[1], RUNS[3]):
+        snapshots_out.write(df, root, "s", run_ts)
+    for run_ts in (RUNS[2], RUNS[4]):
+        (tmp_path / "s" / snapshots.name(run_ts)).mkdir()
+    assert len(snapshots_out.prune(spark, root, "s", keep=2)) == 1
+    assert snapshots.run_times(spark, root, "s") == RUNS[:0:-1]
+    assert snapshots_out.prune(spark, root, "s", keep=2) == []
+    # Repeats within a day do not push out the day before.
+    again = [RUNS[3].replace(hour=hour) for hour in (7, 8, 9)]
+    for run_ts in again:
+        snapshots_out.write(df, root, "s", run_ts)
+    assert snapshots_out.prune(spark, root, "s", keep=2) == []
+    assert RUNS[1] in snapshots.run_times(spark, root, "s")
 
 
 def test_lineage(spark, tmp_path):
