@@ -721,3 +721,6 @@ oracle(
         ]
     ),
 )
+
+for _name in ("channel_performance", "summary_kpis"):
+    ORACLES[f"{_name}_distinct"] = ORACLES[_name]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 from pathlib import Path
 
@@ -58,6 +59,14 @@ on_star("monthly_trend", reports.monthly_trend_analysis)
 on_star("weekend_vs_weekday", reports.weekend_vs_weekday)
 on_star("tag_count_vs_views", reports.tag_count_vs_views)
 on_star("summary_kpis", reports.summary)
+# The same two without relying on one fact row per video.
+on_star(
+    "channel_performance_distinct",
+    lambda star: reports.channel_performance(replace(star, unique_videos=False)),
+)
+on_star(
+    "summary_kpis_distinct", lambda star: reports.summary(replace(star, unique_videos=False))
+)
 on_star("category_top10", reports.category_top)
 on_star("top_videos_dashboard", dashboard.top_videos)
 on_star("fastest_growing_dashboard", dashboard.velocity)

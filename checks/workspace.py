@@ -16,7 +16,7 @@ from reelhouse.plans.landing import Pages
 from reelhouse.plans.reports import Star
 from reelhouse.plans.roots import Roots
 from reelhouse.plans.run import run_all
-from reelhouse.sources import layers, shards, storage
+from reelhouse.sources import shards, storage
 
 _built: dict[tuple[str, str], Roots] = {}
 _stars: dict[tuple[str, str], Star] = {}
@@ -98,16 +98,5 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     """The warehouse, its files listed once and not again for each report."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stars:
-        _stars[key] = _open_star(spark, roots_for(spark, sf_dir))
+        _stars[key] = Star.from_warehouse(spark, roots_for(spark, sf_dir).warehouse)
     return _stars[key]
-
-
-def _open_star(spark: SparkSession, roots: Roots) -> Star:
-    get = lambda table: layers.read_table(spark, roots.warehouse, table)
-    return Star(
-        fact=get("fact_video_performance"),
-        dim_video=get("dim_video"),
-        dim_category=get("dim_category"),
-        dim_date=get("dim_date"),
-        dim_channel=get("dim_channel"),
-    )

@@ -19,17 +19,38 @@ from pyspark.sql import functions as F
 
 from reelhouse.functions.labels import day_type, tag_bucket
 from reelhouse.functions.metrics import steady_round
+from reelhouse.sources import layers
 
 
 @dataclass(frozen=True)
 class Star:
-    """The warehouse tables a report reads."""
+    """The warehouse tables a report reads.
+
+    ``unique_videos`` says that the fact has one row per video, as the warehouse
+    job writes it. Distinct videos are then counted as rows, in the scanning
+    tasks; otherwise the ids of the whole fact are shuffled to tell them apart.
+    """
 
     fact: DataFrame
     dim_video: DataFrame
     dim_category: DataFrame
     dim_date: DataFrame
     dim_channel: DataFrame | None = None
+    unique_videos: bool = False
+
+    def video_count(self) -> Column:
+        count = F.count if self.unique_videos else F.count_distinct
+        return count("video_id").alias("total_videos")
+
+    @classmethod
+    def from_warehouse(cls, spark: SparkSession, root: str) -> Star:
+        """The tables the warehouse job wrote under ``root``."""
+        names = ("dim_video", "dim_category", "dim_date", "dim_channel")
+        return cls(
+            fact=layers.read_or_empty(spark, root, "fact_video_performance"),
+            **{name: layers.read_or_empty(spark, root, name) for name in names},
+            unique_videos=True,
+        )
 
     @classmethod
     def from_views(cls, spark: SparkSession) -> Star:
@@ -164,7 +185,7 @@ def channel_performance(star: Star) -> DataFrame:
     return (
         star.fact.groupBy("channel_id")
         .agg(
-            F.count_distinct("video_id").alias("total_videos"),
+            star.video_count(),
             F.sum("views").alias("total_views"),
             F.sum("likes").alias("total_likes"),
             steady_round(F.avg("views"), 0).alias("avg_views"),
@@ -252,7 +273,7 @@ def tag_count_vs_views(star: Star) -> DataFrame:
 
 def summary(star: Star) -> DataFrame:
     return star.fact.where(F.col("views").isNotNull()).agg(
-        F.count_distinct("video_id").alias("total_videos"),
+        star.video_count(),
         F.sum("views").alias("total_views"),
         F.sum("likes").alias("total_likes"),
         steady_round(F.avg("engagement_rate"), 4).alias("avg_engagement"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +99,13 @@ def test_group_reports_total_before_they_join(shuffled, star, report):
     assert fact_side.count("HashAggregate") == 2
 
 
+def test_unique_facts_are_counted_without_shuffling_their_ids(star):
+    counted = replace(star, unique_videos=True)
+    for report in (reports.channel_performance, reports.summary):
+        assert plan(report(star)).count("Aggregate(") == 4
+        assert plan(report(counted)).count("Aggregate(") == 2
+
+
 def test_marts_keep_hash_aggregates(spark):
     stats = inputs.video_stats(spark, SF_DIR)
     text = plan(marts.channel_performance(stats, inputs.AS_OF))
