@@ -251,10 +251,10 @@ def to_pages(items: DataFrame, number: Column, **request: Column) -> DataFrame:
     )
 
 
-def keyword_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def keyword_pages(spark: SparkSession, sf_dir: str, flat: DataFrame | None = None) -> DataFrame:
     """Keyword search answers over all orders, with unusable ones among them: an
     empty list for every nation and no list at all for every region."""
-    search = search_items(videos(spark, sf_dir))
+    search = search_items(videos(spark, sf_dir) if flat is None else flat)
     keyword = F.split_part("snippet.title", F.lit(" #"), F.lit(1))
     pages = to_pages(search, F.col("id.videoId").cast("bigint"), _source_keyword=keyword)
     items_type = pages.schema["items"].dataType

@@ -7,6 +7,8 @@ warehouse. Report queries read its warehouse, as reports do.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,12 @@ from reelhouse.plans.roots import Roots
 from reelhouse.plans.run import run_all
 from reelhouse.sources import shards, storage
 
+_KINDS = {
+    "channel_videos": "search",
+    "keyword_videos": "search",
+    "channel_stats": "channel",
+    "categories": "category",
+}
 _built: dict[tuple[str, str], Roots] = {}
 _stars: dict[tuple[str, str], Star] = {}
 
@@ -26,54 +34,40 @@ def _number(item_id: str) -> Column:
     return F.col(item_id).cast("bigint")
 
 
-def _keep(spark: SparkSession, base: str, name: str, kind: str, pages: DataFrame) -> DataFrame:
-    path = storage.join(base, "pages", name)
-    pages.write.json(path)
-    return spark.read.schema(schemas.response_page(kind)).json(path)
-
-
 def write_pages(spark: SparkSession, sf_dir: str, base: str) -> Pages:
     """Response pages of one run over all orders, customers and nations."""
-    flat = inputs.videos(spark, sf_dir)
+    path = storage.join(base, "videos")
+    inputs.videos(spark, sf_dir).write.parquet(path)
+    flat = spark.read.parquet(path)
     # Trending lists carry the finished orders with a view more, and the lists
     # per category with two more; the first one a video is seen in counts.
     finished = flat.where("description = 'status F'")
     again = shards.label_shards(finished, "category_id").withColumn(
         "views", F.col("views") + F.when(F.col("_source_category") == "0", 1).otherwise(2)
     )
-    listed = inputs.video_items(again.where("_source_category = '0'"))
+    overall = inputs.video_items(again.where("_source_category = '0'"))
     per_category = inputs.video_items(again.where("_source_category <> '0'"))
     search = inputs.search_items(flat)
-    return Pages(
-        trending=_keep(
-            spark, base, "trending", "video",
-            inputs.to_pages(listed, _number("id"), _source_category=F.lit("0")),
-        ),
-        trending_by_category=_keep(
-            spark, base, "by_category", "video",
-            inputs.to_pages(
-                per_category, _number("id"), _source_category=F.col("snippet.categoryId")
-            ),
-        ),
-        channel_videos=_keep(
-            spark, base, "channel_videos", "search", inputs.to_pages(search, _number("id.videoId"))
+    to_pages = inputs.to_pages
+    pages = {
+        "trending": to_pages(overall, _number("id"), _source_category=F.lit("0")),
+        "trending_by_category": to_pages(
+            per_category, _number("id"), _source_category=F.col("snippet.categoryId")
         ),
-        keyword_videos=_keep(
-            spark, base, "keyword_videos", "search", inputs.keyword_pages(spark, sf_dir)
-        ),
-        video_stats=_keep(
-            spark, base, "video_stats", "video",
-            inputs.to_pages(inputs.video_items(flat), _number("id")),
-        ),
-        channel_stats=_keep(
-            spark, base, "channel_stats", "channel",
-            inputs.to_pages(inputs.channel_items(spark, sf_dir), _number("id")),
-        ),
-        categories=_keep(
-            spark, base, "categories", "category",
-            inputs.to_pages(inputs.category_items(spark, sf_dir), _number("id")),
-        ),
-    )
+        "channel_videos": to_pages(search, _number("id.videoId")),
+        "keyword_videos": inputs.keyword_pages(spark, sf_dir, flat),
+        "video_stats": to_pages(inputs.video_items(flat), _number("id")),
+        "channel_stats": to_pages(inputs.channel_items(spark, sf_dir), _number("id")),
+        "categories": to_pages(inputs.category_items(spark, sf_dir), _number("id")),
+    }
+
+    def keep(name: str) -> DataFrame:
+        path = storage.join(base, "pages", name)
+        pages[name].write.json(path)
+        return spark.read.schema(schemas.response_page(_KINDS.get(name, "video"))).json(path)
+
+    with ThreadPoolExecutor(4) as pool:
+        return Pages(**dict(zip(pages, pool.map(keep, pages), strict=True)))
 
 
 def build(spark: SparkSession, sf_dir: str) -> Roots:

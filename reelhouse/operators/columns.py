@@ -13,10 +13,6 @@ def select_existing(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
     return df.select([name for name in wanted if name in df.columns])
 
 
-def common_columns(left: DataFrame, right: DataFrame) -> list[str]:
-    return [name for name in left.columns if name in right.columns]
-
-
 def union_common(frames: list[DataFrame]) -> DataFrame:
     """Union by name on the columns all frames have, in the order of the first."""
     shared = frames[0].columns

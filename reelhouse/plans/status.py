@@ -80,8 +80,9 @@ class Run:
     def _rows(self, path: str, run_date: date | None) -> int:
         """Rows now in the table. A count without columns is answered from the
         Parquet footers, and unlike an accumulator it stays exact when tasks are
-        run again after a lost executor."""
-        written = self.spark.read.parquet(path)
+        run again after a lost executor. The schema is given because a table
+        without rows may have no file to take one from."""
+        written = self.spark.read.schema("ingestion_date date").parquet(path)
         if run_date is not None:
             written = written.where(F.col("ingestion_date") == F.lit(run_date))
         return written.count()

@@ -353,3 +353,20 @@ def test_silver_reads_new_days_only(spark, roots):
     assert {r.video_id: r.views for r in silver.collect()} == {"a": 7, "d": 100, "e": None}
     bad = spark.read.parquet(f"{roots.quarantine}/quarantine_video_stats")
     assert bad.count() == 2
+
+
+def test_empty_landing(spark, roots):
+    for name in ("raw_video_stats", "raw_trending", "raw_channel_stats", "raw_categories"):
+        put(roots, DAY1, name, "")
+    got = status_of(run_all(spark, roots, DAY1))
+    assert got["bronze_video_stats"] == got["silver_video_stats"] == (WRITTEN, 0)
+    assert got["fact_video_performance"] == got["dim_channel"] == (WRITTEN, 0)
+    star = reports.Star.from_warehouse(spark, roots.warehouse)
+    assert reports.top_trending_videos(star).collect() == []
+    assert reports.summary(star).first().total_videos == 0
+
+
+def test_reports_on_a_missing_warehouse_are_empty(spark, roots):
+    star = reports.Star.from_warehouse(spark, roots.warehouse)
+    for name, report in reports.REPORTS.items():
+        assert report(star).collect() == [], name
