@@ -5,8 +5,6 @@ Works for any scheme Hadoop knows (hdfs, s3a, file), unlike ``os.path``.
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,12 +46,10 @@ def join(*parts: str) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name in the shared folder the cluster names for checkpoints.
 
-    Only a session that names none, as in tests, gets a local one.
+    Where a session names none, the warehouse serves, which all executors share too.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
-    return join(shared, f"{name}-{uuid.uuid4().hex}")
-
-
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="reelhouse-")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return join(
+        shared or join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch"),
+        f"{name}-{uuid.uuid4().hex}",
+    )

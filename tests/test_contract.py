@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
-from checks import compare
+from checks import compare, queries
 from tests.conftest import SF_DIR
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+RUN, SQL = contract.queries(), contract.oracle_sql()
+QUERIES = {name: RUN[name] for name in queries.QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(SQL) <= set(RUN)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
