@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import exact, line_rules, mixing
+from reelhouse.llm import exact, line_rules, mixing, packing
 from reelhouse.llm.text import documents
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -26,6 +26,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(documents(spark, sf_dir))
+    return packing.pack(cut, carry={"ids_crc32": F.crc32("ids")})
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicate_groups(documents(spark, sf_dir))
 
@@ -33,6 +38,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_frequency": op1_line_frequency,
     "op3_mixing": op3_mixing,
+    "op8_packing": op8_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
