@@ -150,38 +150,80 @@ def _best_pattern(value: np.ndarray, size: np.ndarray, room: int) -> tuple[float
     return float(best[room]), pattern
 
 
-def solve(size: np.ndarray, demand: np.ndarray, room: int, rounds: int = 5000) -> tuple[np.ndarray, np.ndarray]:
+def _first_fit(size: np.ndarray, left: np.ndarray, room: int) -> list[tuple[np.ndarray, int]]:
+    """Plan that fills each sequence with the longest pieces that still fit."""
+    plan, left = [], left.copy()
+    while left.any():
+        pattern, space = np.zeros(len(size), np.int64), room
+        for k in range(len(size) - 1, -1, -1):
+            pattern[k] = min(left[k], space // size[k])
+            space -= pattern[k] * size[k]
+        used = pattern > 0
+        times = int((left[used] // pattern[used]).min())
+        plan.append((pattern, times))
+        left -= times * pattern
+    return plan
+
+
+def solve(
+    size: np.ndarray, demand: np.ndarray, room: int, gap: float = 1e-3, calm: float = 0.8
+) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (columns) and how often each is used, fractional, at least cost.
 
-    Starts from patterns of one length each. ``rounds`` bounds the pivots; stopping
-    early leaves a usable basis that wastes more.
+    The basis starts with patterns of one length each; those of first fit enter
+    next, then what the knapsack finds. It is asked at prices drawn towards those
+    with the best bound so far (``calm``), which keeps them from swinging. Prices
+    worth p sequences, whose best pattern is worth v, prove that no plan takes
+    fewer than p / v; the search ends within ``gap`` of that.
     """
     m = len(size)
     basis = np.diag(room // size).astype(float)
     inverse = np.linalg.inv(basis)
     usage = inverse @ demand
-    for turn in range(1, rounds + 1):
-        value, pattern = _best_pattern(inverse.sum(axis=0), size, room)
-        if value <= 1 + 1e-7:
-            break
+    pivots = 0
+
+    def enter(pattern: np.ndarray) -> None:
+        nonlocal inverse, usage, pivots
         way = inverse @ pattern
-        with np.errstate(divide="ignore", invalid="ignore"):
-            ratio = np.where(way > 1e-9, usage / way, np.inf)
+        ratio = np.full(m, np.inf)
+        np.divide(usage, way, out=ratio, where=way > 1e-9)
         out = int(ratio.argmin())
-        if not np.isfinite(ratio[out]):
-            break
         step = max(ratio[out], 0.0)
         usage = usage - step * way
         usage[out] = step
         basis[:, out] = pattern
-        if turn % 64:
+        pivots += 1
+        if pivots % 64:
             row = inverse[out] / way[out]
-            inverse -= np.outer(way, row)
+            inverse = inverse - np.outer(way, row)
             inverse[out] = row
         else:
             inverse = np.linalg.inv(basis)
             usage = np.maximum(inverse @ demand, 0)
-    return basis.round().astype(np.int64), usage if m else np.zeros(0)
+
+    pool = [pattern for pattern, _ in _first_fit(size, demand.astype(np.int64), room)]
+    for pattern in pool:
+        if inverse.sum(axis=0) @ pattern > 1 + 1e-6:
+            enter(pattern)
+    best, centre = 0.0, inverse.sum(axis=0)
+    weight = calm
+    for _ in range(40 * m):
+        price = inverse.sum(axis=0)
+        asked = weight * centre + (1 - weight) * price
+        value, pattern = _best_pattern(asked, size, room)
+        bound = asked @ demand / max(value, 1e-12)
+        if bound > best:
+            best, centre = bound, asked / max(value, 1e-12)
+        if usage.sum() <= best * (1 + gap):
+            break
+        if price @ pattern > 1 + 1e-7:
+            enter(pattern)
+            weight = calm
+        elif weight:
+            weight = 0.0 if weight < 0.1 else weight / 2
+        else:
+            break
+    return basis.round().astype(np.int64), usage
 
 
 def patterns_for(counts: np.ndarray) -> list[tuple[np.ndarray, int]]:
@@ -203,15 +245,7 @@ def patterns_for(counts: np.ndarray) -> list[tuple[np.ndarray, int]]:
         if times > 0:
             plan.append((pattern, times))
             left -= times * pattern
-    while left.any():
-        pattern, space = np.zeros(len(size), np.int64), room
-        for k in range(len(size) - 1, -1, -1):
-            pattern[k] = min(left[k], space // size[k])
-            space -= pattern[k] * size[k]
-        used = pattern > 0
-        times = int((left[used] // pattern[used]).min())
-        plan.append((pattern, times))
-        left -= times * pattern
+    plan += _first_fit(size, left, room)
     wide = []
     for pattern, times in plan:
         row = np.zeros(room + 1, np.int64)
