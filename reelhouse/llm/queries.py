@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import exact, line_rules, mixing, packing
-from reelhouse.llm.text import documents
+from reelhouse.llm import exact, language_crf, line_rules, mixing, packing, quality_gam
+from reelhouse.llm.text import documents, fold
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -26,6 +26,25 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = quality_gam.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_gam.scored(docs, model).select(
+        "doc_id",
+        (fold(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_gam.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = language_crf.train(docs)
+    return language_crf.identified(docs.select("doc_id", "text"), model).select(
+        "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(documents(spark, sf_dir))
     return packing.pack(cut, carry={"ids_crc32": F.crc32("ids")})
@@ -38,6 +57,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_frequency": op1_line_frequency,
     "op3_mixing": op3_mixing,
+    "op6_quality": op6_quality,
+    "op7_language": op7_language,
     "op8_packing": op8_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
