@@ -17,6 +17,8 @@ ranks into global ones. Texts are tokenized once; only narrow rows are shuffled.
 from __future__ import annotations
 
 import os
+import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,14 +36,17 @@ END_ID = 1
 CLASSES = 256
 SALTS = 256
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 _SLICE = 500
+_BETWEEN = re.compile(r"[^ \t\n\r]+")
+_APART = re.compile(r"[a-zªµºß-öø-ÿ]+|[^ \t\n\ra-zªµºß-öø-ÿ]+")
+_BOUND = re.compile(r"[^ \t\n\r']*'[^ \t\n\r]*|[a-zªµºß-öø-ÿ]+|[^ \t\n\r'a-zªµºß-öø-ÿ]+")
 
 _tokenizers: dict[str, tuple] = {}
 
 
 def _tokenizer(path: str | None):
-    """The tokenizer and the ids of words met before, one pair per Python worker."""
+    """The tokenizer and the ids of words met lately and before, once per Python worker."""
     if path not in _tokenizers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -52,26 +57,51 @@ def _tokenizer(path: str | None):
             file = public_tokenizers.path("word_bpe_49k.json")
         else:
             file = path
-        _tokenizers[path] = (Tokenizer.from_file(file), {})
+        _tokenizers[path] = (Tokenizer.from_file(file), {}, {})
     return _tokenizers[path]
 
 
+def _stretches(text: str) -> list[str]:
+    """Parts of a text that the tokenizer never joins: their ids follow each other.
+
+    It lower-cases, and separates letters from signs, so texts in Latin letters give
+    letters and signs apart, in lower case; other texts give stretches between spaces.
+    An apostrophe binds its word; marks of special tokens keep their case.
+    """
+    if "<|" not in text:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            pass
+        else:
+            return (_BOUND if "'" in text else _APART).findall(text.lower())
+    return _BETWEEN.findall(text)
+
+
 def encode(texts: list[str | None], tokenizer: str | None = None) -> list[bytes]:
     """Token ids of each text as little-endian 32-bit numbers.
 
-    The tokenizer never joins across a space or line end, so each stretch between
-    them is looked up, and encoded when it was not met before.
+    Each stretch is looked up, and encoded when it was not met before.
     """
-    model, known = _tokenizer(tokenizer)
-    split = [(text or "").replace("\n", " ").split(" ") for text in texts]
+    model, known, before = _tokenizer(tokenizer)
     if len(known) > REMEMBERED:
+        before.clear()
+        before.update(known)
         known.clear()
-    new = list({word for words in split for word in words if word not in known})
-    for at in range(0, len(new), 10_000):
-        part = new[at : at + 10_000]
-        for word, found in zip(part, model.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            known[word] = np.array(found.ids, "<u4").tobytes()
-    return [b"".join([known[word] for word in words]) for words in split]
+    out = []
+    for text in texts:
+        words = _stretches(text or "")
+        found = list(map(known.get, words))
+        if None in found:
+            new = list({w for w, ids in zip(words, found, strict=True) if ids is None})
+            known.update((w, before[w]) for w in new if w in before)
+            new = [w for w in new if w not in known]
+            for word, coded in zip(new, model.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                ids = coded.ids
+                known[word] = struct.pack(f"<{len(ids)}I", *ids)
+            found = [known[w] for w in words]
+        out.append(b"".join(found))
+    return out
 
 
 def pieces(
