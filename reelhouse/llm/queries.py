@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import exact, language_crf, line_rules, mixing, packing, quality_gam
+from reelhouse.llm import exact, language_crf, line_rules, mixing, near, packing, quality_gam
 from reelhouse.llm.text import documents, fold
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -26,6 +26,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.components(documents(spark, sf_dir))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = quality_gam.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -57,6 +61,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_frequency": op1_line_frequency,
     "op3_mixing": op3_mixing,
+    "op4_near_dedup": op4_near_dedup,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
     "op8_packing": op8_packing,
