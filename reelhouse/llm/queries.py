@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import exact, language_crf, line_rules, mixing, near, packing, quality_gam
+from reelhouse.llm import exact, language_crf, line_rules, mixing, near, packing, quality_gam, substrings
 from reelhouse.llm.text import documents, fold
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -30,6 +30,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.components(documents(spark, sf_dir))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removals(documents(spark, sf_dir)).drop("removed")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = quality_gam.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -62,6 +66,7 @@ QUERIES = {
     "op1_line_frequency": op1_line_frequency,
     "op3_mixing": op3_mixing,
     "op4_near_dedup": op4_near_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
     "op8_packing": op8_packing,
@@ -140,6 +145,52 @@ SQL = {
                 < rate - floor(rate))::int))::bigint as taken
         from d join r on d.source is not distinct from r.source
     """,
+    "op4_near_dedup": r"""
+        with recursive d as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+            from documents
+        ),
+        s as (
+            select distinct doc_id, md5(array_to_string(w[p:p + 4], ' ')) as g
+            from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as p from d where len(w) > 0)
+        ),
+        n as (select doc_id, count(*) as n_shingles from s group by doc_id),
+        links as (
+            select a.doc_id as a, b.doc_id as b
+            from s a join s b on a.g = b.g and a.doc_id < b.doc_id
+            join n na on na.doc_id = a.doc_id join n nb on nb.doc_id = b.doc_id
+            group by a.doc_id, b.doc_id, na.n_shingles, nb.n_shingles
+            having 100 * count(*) >= 75 * (na.n_shingles + nb.n_shingles - count(*))
+        ),
+        edges as (select a, b from links union all select b, a from links),
+        reach as (
+            select doc_id as start, doc_id as reached from d
+            union
+            select r.start, e.b from reach r join edges e on e.a = r.reached
+        ),
+        least as (select start, min(reached) as component_id from reach group by start)
+        select doc_id, coalesce(n_shingles, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
+        from d left join n using (doc_id) join least on start = doc_id
+    """,
+    "op5_substring_dedup": r"""
+        with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+        wins as (
+            select doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) as h
+            from (select doc_id, w, unnest(range(1, len(w) - 48)) as p from d where len(w) >= 50)
+        ),
+        again as (select doc_id, p from wins qualify doc_id > min(doc_id) over (partition by h)),
+        gone as (select distinct doc_id, p + o as p from again, range(0, 50) as r(o)),
+        marks as (select doc_id, p, w[p] as word from (select doc_id, w, unnest(range(1, len(w) + 1)) as p from d)),
+        kept as (
+            select m.doc_id, count(g.p) as n_removed,
+                coalesce(string_agg(case when g.p is null then word end, ' ' order by m.p), '') as t
+            from marks m left join gone g on g.doc_id = m.doc_id and g.p = m.p group by m.doc_id
+        )
+        select doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed,
+            sha256(coalesce(t, '')) as kept_sha256
+        from d left join kept using (doc_id)
+    """,
     "op10_exact_dedup": r"""
         with d as (
             select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents
