@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import exact, language_crf, line_rules, mixing, near, packing, quality_gam, substrings
+from reelhouse.llm import exact, language_crf, line_rules, log_bilinear, mixing, near, packing, quality_gam, substrings
 from reelhouse.llm.text import documents, fold
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -58,6 +58,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut, carry={"ids_crc32": F.crc32("ids")})
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return log_bilinear.scored(docs, log_bilinear.learned_from(docs)).withColumn(
+        "held_out", fold(F.col("doc_id"), 5) == 1
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicate_groups(documents(spark, sf_dir))
 
@@ -70,6 +77,7 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_language": op7_language,
     "op8_packing": op8_packing,
+    "op9_lm_score": op9_lm_score,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
