@@ -85,12 +85,12 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Rows are matched by id; where an id is null or repeated with different texts,
     by id and digest, and of fully equal rows one stays.
     """
-    kept = duplicate_groups(docs, id_col, text_col).where("kept").select(
-        F.col(id_col).alias("_keep"), F.col("text_sha256").alias("_sha")
-    )
-    sha = F.sha2(normalised(F.col(text_col)), 256)
-    marked = docs.withColumn("_own_sha", sha)
+    groups = stored(duplicate_groups(docs, id_col, text_col), "digest-groups")
+    kept = groups.where("kept").select(F.col(id_col).alias("_keep"), F.col("text_sha256").alias("_sha"))
+    marked = docs.withColumn("_own_sha", F.sha2(normalised(F.col(text_col)), 256))
     same = marked[id_col].eqNullSafe(kept["_keep"]) & (marked["_own_sha"] == kept["_sha"])
     found = marked.join(kept, same, "left_semi")
     # rows that repeat id and text are all matched above; one of them stays
-    return found.dropDuplicates([id_col, "_own_sha"]).drop("_own_sha")
+    if not groups.where(~F.col("kept") & F.col(id_col).eqNullSafe(F.col("keep_id"))).isEmpty():
+        found = found.dropDuplicates([id_col, "_own_sha"])
+    return found.drop("_own_sha")

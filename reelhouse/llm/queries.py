@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import exact, language_crf, line_rules, log_bilinear, mixing, near, packing, quality_gam, substrings
+from reelhouse.llm import conversations, exact, language_crf, line_rules, log_bilinear, mixing, near, packing, quality_gam, substrings
 from reelhouse.llm.text import documents, fold
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -15,6 +15,10 @@ def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(documents(spark, sf_dir))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.formatted(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = mixing.with_copies(documents(spark, sf_dir).select("doc_id", "text", "source"))
     return drawn.select(
@@ -71,6 +75,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_frequency": op1_line_frequency,
+    "op2_chat_format": op2_chat_format,
     "op3_mixing": op3_mixing,
     "op4_near_dedup": op4_near_dedup,
     "op5_substring_dedup": op5_substring_dedup,
@@ -128,6 +133,19 @@ SQL = {
         judged as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counts)
         select *, not base_failed and n_removed <= {line_rules.MOST_REMOVED} * n_words as kept from judged
     """,
+    "op2_chat_format": r"""
+        with t as (select distinct conv_id, turn, role, text from conversations),
+        c as (
+            select conv_id, list({'r': role, 't': text} order by turn nulls first, role, text) as l,
+                string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10), ''
+                    order by turn nulls first, role, text) as text
+            from t group by conv_id
+        ),
+        w as (select l, min(conv_id) as conv_id, count(*) as n_logged from c group by l)
+        select w.conv_id, len(w.l)::bigint as n_turns, n_logged, text
+        from w join c using (conv_id)
+        where not exists (select 1 from c as o where len(o.l) > len(w.l) and o.l[1:len(w.l)] = w.l)
+    """,
     "op3_mixing": rf"""
         with d as (select doc_id, source, len({_WORDS})::bigint as size from documents),
         s as (
