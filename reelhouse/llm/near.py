@@ -10,9 +10,9 @@ confirmed on full shingle sets.
 
 Only pairs of different classes are compared: members linked to a pivot are
 connected, so a node that holds thousands of copies of one text costs one
-comparison per member and is done. Nothing else is left out: nodes with few pairs
-across classes for their size are compared whatever their size, and what is still
-large after ``DEPTH`` branchings is compared exhaustively as well.
+comparison per member and is done. Nothing else is left out: large nodes with few
+pairs across classes for their size are compared at once, and what is still large
+after ``DEPTH`` branchings is compared exhaustively as well.
 
 A pair at the threshold shares a node of one tree with probability 0.75, so ten
 trees miss one in a million; the test on the embedding loses less than that.
@@ -20,6 +20,7 @@ trees miss one in a million; the test on the embedding loses less than that.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,23 +39,25 @@ PERCENT = 75
 SIZE = 5
 TREES = 10
 COORDINATES = 64
-#: Nodes of so many documents, and nodes with so many pairs a document, are compared exhaustively.
-SMALL = 32
+#: Nodes of so many documents are compared exhaustively, in one task each.
+SMALL = 512
+#: So are larger ones with so few pairs across classes a document, by a join.
+LOPSIDED = 32
 DEPTH = 8
 #: Least equal coordinates of a pair that is confirmed on full sets: 5 deviations below 0.75.
 SUPPORT = 31
 _SLICE = 500
 
 _rng = np.random.default_rng(20_011)
-_TIMES = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLUS = _rng.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
+_TIMES = _rng.integers(1, 1 << 63, (COORDINATES, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_STRETCH = 2048
 
 
 def embedding(found: np.ndarray) -> bytes:
     """Minwise token of each coordinate, its upper 32 bits."""
-    least = np.empty(COORDINATES, np.uint64)
-    for k in range(COORDINATES):
-        least[k] = (found * _TIMES[k] + _PLUS[k]).min()
+    least = (found[:_STRETCH] * _TIMES).min(1)
+    for at in range(_STRETCH, len(found), _STRETCH):
+        least = np.minimum(least, (found[at : at + _STRETCH] * _TIMES).min(1))
     return (shingles.mixed(least) >> np.uint64(32)).astype("<u4").tobytes()
 
 
@@ -119,8 +122,11 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     names=["a", "b"],
                 )
 
-    second = texts.select(F.col("row").alias("b"), F.col("text").alias("second"))
-    first = texts.select(F.col("row").alias("a"), F.col("text").alias("first"))
+    # only texts of these pairs travel: first to their ids, then to the pairs
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    needed = stored(texts.join(ids, "row", "left_semi"), "near-needed")
+    second = needed.select(F.col("row").alias("b"), F.col("text").alias("second"))
+    first = needed.select(F.col("row").alias("a"), F.col("text").alias("first"))
     return (
         pairs.join(second, "b").join(first, "a").select("a", "b", "first", "second")
         .mapInArrow(confirm, "a long, b long").distinct()
@@ -145,6 +151,47 @@ def _supported(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return sized.where(possible).where(enough("ta", "tb")).select("a", "b")
 
 
+def _compared(nodes: DataFrame) -> DataFrame:
+    """Supported pairs (a, b) of different classes within nodes of bounded size.
+
+    ``nodes`` has node, row, class, n_shingles, tokens. A node's members are brought
+    together and compared as one matrix; what comes out are a few pairs.
+    """
+
+    def compare(rows: np.ndarray, classes: np.ndarray, sizes: np.ndarray, tokens: np.ndarray):
+        for k in range(1, len(rows)):
+            other = classes[:k] != classes[k]
+            if other.any():
+                alike = (tokens[:k] == tokens[k]).sum(1) >= SUPPORT
+                near = (100 * sizes[:k] >= PERCENT * sizes[k]) & (100 * sizes[k] >= PERCENT * sizes[:k])
+                for at in np.flatnonzero(other & alike & near):
+                    yield min(rows[at], rows[k]), max(rows[at], rows[k])
+
+    def by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, found = None, []
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
+                tokens = np.frombuffer(b"".join(batch.column(4).to_pylist()), "<u4").reshape(-1, COORDINATES)
+                new = [*columns, tokens]
+                held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
+            if held is None or not len(held[0]):
+                continue
+            edges = np.flatnonzero(np.diff(held[0])) + 1
+            # the last node may go on in the next batch
+            parts = [0, *edges, len(held[0])] if batch is None else [0, *edges]
+            for a, b in zip(parts, parts[1:], strict=False):
+                found += compare(*[x[a:b] for x in held[1:]])
+            held = [x[parts[-1] :] for x in held]
+            if found:
+                pairs = np.array(found, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+                found = []
+
+    together = nodes.select("node", "row", "class", "n_shingles", "tokens").repartition("node").sortWithinPartitions("node")
+    return together.mapInArrow(by_node, "a long, b long")
+
+
 def _token(coordinate) -> F.Column:
     return F.substring("tokens", coordinate * 4 + 1, F.lit(4))
 
@@ -181,7 +228,6 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
         F.min_by(F.struct("row", "id", "text_key", "n_shingles", "tokens"), "row").alias("r")
     ).select("r.*")
     reps = stored(reps, "near-representatives")
-    spark = docs.sparkSession
 
     trees = F.explode(F.array([F.struct(F.lit(t).alias("t"), _token(F.lit(t)).alias("v")) for t in range(TREES)]))
     entries = reps.select("row", trees.alias("x")).select(
@@ -196,19 +242,26 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
     texts = stored(source.join(wanted, same).select("row", "text"), "near-texts")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        return stored(_confirmed(_supported(pairs.distinct(), reps), texts), "near-links")
+        return stored(_confirmed(stored(pairs.distinct(), "near-pairs"), texts), "near-links")
+
+    def to_pivots(crowd: DataFrame) -> DataFrame:
+        pairs = crowd.where("row != pivot").select(F.col("pivot").alias("a"), F.col("row").alias("b")).distinct()
+        return confirm(_supported(pairs, reps))
 
-    links = confirm(crowd.where("row != pivot").select(F.col("pivot").alias("a"), F.col("row").alias("b")))
+    links = to_pivots(crowd)
     crowd = crowd.select("node", "row")
     for level in range(DEPTH + 1):
         classes = smallest_reachable(links)
         open_nodes = stored(_across(crowd, classes), "near-open")
-        compare = F.lit(True) if level == DEPTH else (F.col("n") <= SMALL) | (F.col("pairs") <= SMALL * F.col("n"))
-        one = open_nodes.where(compare).select("node", F.col("row").alias("a"), F.col("class").alias("ca"))
-        two = open_nodes.where(compare).select("node", F.col("row").alias("b"), F.col("class").alias("cb"))
-        pairs = one.join(two, "node").where("a < b and ca != cb").select("a", "b")
-        links = links.unionByName(confirm(pairs))
-        large = open_nodes.where(~compare).select("node", "row")
+        small = F.col("n") <= SMALL
+        lopsided = F.lit(level == DEPTH) | (F.col("pairs") <= LOPSIDED * F.col("n"))
+        described_nodes = open_nodes.where(small).join(reps.select("row", "n_shingles", "tokens"), "row")
+        rest = open_nodes.where(~small & lopsided)
+        one = rest.select("node", F.col("row").alias("a"), F.col("class").alias("ca"))
+        two = rest.select("node", F.col("row").alias("b"), F.col("class").alias("cb"))
+        across = one.join(two, "node").where("a < b and ca != cb").select("a", "b").distinct()
+        links = links.unionByName(confirm(_compared(described_nodes).unionByName(_supported(across, reps))))
+        large = open_nodes.where(~small & ~lopsided).select("node", "row")
         if level == DEPTH or large.isEmpty():
             break
         # the first branch is always taken, the second on two levels and then by one path in three
@@ -222,10 +275,8 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
             .select("row", F.xxhash64("node", "branch", _token(F.col("at"))).alias("node"))
         )
         crowd = stored(_crowded(branched), "near-nodes")
-        found = confirm(crowd.where("row != pivot").select(F.col("pivot").alias("a"), F.col("row").alias("b")))
-        links = stored(links.unionByName(found), "near-links")
+        links = stored(links.unionByName(to_pivots(crowd)), "near-links")
         crowd = crowd.select("node", "row")
-    del spark
     return rows, links
 
 
