@@ -2,17 +2,17 @@
 
 Documents with equal shingle sets are one class from the start and send one
 representative. Representatives are embedded as ``COORDINATES`` minwise tokens.
-``TREES`` independent trees branch them: a node is split by the token of a chosen
-coordinate, a node of few documents is compared exhaustively, a larger one is
-first compared with its pivot (its smallest member), then branched again along
-coordinates chosen by its path. Pairs that enough of the embedding supports are
-confirmed on full shingle sets.
-
-Only pairs of different classes are compared: members linked to a pivot are
-connected, so a node that holds thousands of copies of one text costs one
-comparison per member and is done. Nothing else is left out: large nodes with few
-pairs across classes for their size are compared at once, and what is still large
-after ``DEPTH`` branchings is compared exhaustively as well.
+``TREES`` independent trees branch them: a node holds the documents that share the
+token of its coordinate. Each document of a node is first compared with the node's
+pivot, its smallest member; what that links is one class. Nodes of few documents
+are then compared exhaustively, larger ones are branched again along coordinates
+chosen by their path. Pairs that enough of the embedding supports are confirmed on
+full shingle sets.
+
+Only pairs of different classes are compared, so a node that holds thousands of
+copies of one text costs one comparison per member and is done. Nothing else is
+left out: a large node with few documents outside its main class is compared in
+parts, and what is large after ``DEPTH`` branchings is compared as well.
 
 A pair at the threshold shares a node of one tree with probability 0.75, so ten
 trees miss one in a million; the test on the embedding loses less than that.
@@ -39,10 +39,9 @@ PERCENT = 75
 SIZE = 5
 TREES = 10
 COORDINATES = 64
-#: Nodes of so many documents are compared exhaustively, in one task each.
+#: Nodes of so many documents are compared exhaustively, in one task each; so are larger
+#: ones, in parts, when they have so many documents outside their main class.
 SMALL = 512
-#: So are larger ones with so few pairs across classes a document, by a join.
-LOPSIDED = 32
 DEPTH = 8
 #: Least equal coordinates of a pair that is confirmed on full sets: 5 deviations below 0.75.
 SUPPORT = 31
@@ -151,20 +150,38 @@ def _supported(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return sized.where(possible).where(enough("ta", "tb")).select("a", "b")
 
 
-def _compared(nodes: DataFrame) -> DataFrame:
-    """Supported pairs (a, b) of different classes within nodes of bounded size.
+def _compared(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between classes within nodes of bounded size.
 
     ``nodes`` has node, row, class, n_shingles, tokens. A node's members are brought
-    together and compared as one matrix; what comes out are a few pairs.
+    together; pairs of different classes that the embedding supports are compared on
+    full sets, and a link joins its classes, so that no node gives more links than
+    it has members.
     """
 
-    def compare(rows: np.ndarray, classes: np.ndarray, sizes: np.ndarray, tokens: np.ndarray):
+    def compare(rows, classes, sizes, tokens, text):
+        found: dict[int, np.ndarray] = {}
+
+        def full(k: int) -> np.ndarray:
+            if k not in found:
+                found[k] = shingles.shingle_set(text[k], SIZE)
+            return found[k]
+
+        classes = classes.copy()
         for k in range(1, len(rows)):
-            other = classes[:k] != classes[k]
-            if other.any():
-                alike = (tokens[:k] == tokens[k]).sum(1) >= SUPPORT
-                near = (100 * sizes[:k] >= PERCENT * sizes[k]) & (100 * sizes[k] >= PERCENT * sizes[:k])
-                for at in np.flatnonzero(other & alike & near):
+            other = np.flatnonzero(classes[:k] != classes[k])
+            if not len(other):
+                continue
+            near = (100 * sizes[other] >= PERCENT * sizes[k]) & (100 * sizes[k] >= PERCENT * sizes[other])
+            other = other[near]
+            equal = (tokens[other] == tokens[k]).sum(1)
+            for at in other[np.argsort(-equal, kind="stable")][: int((equal >= SUPPORT).sum())]:
+                if classes[at] == classes[k]:
+                    continue
+                left, right = full(at), full(k)
+                both = len(np.intersect1d(left, right, assume_unique=True))
+                if 100 * both >= PERCENT * (len(left) + len(right) - both):
+                    classes[classes == classes[at]] = classes[k]
                     yield min(rows[at], rows[k]), max(rows[at], rows[k])
 
     def by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +190,8 @@ def _compared(nodes: DataFrame) -> DataFrame:
             if batch is not None:
                 columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
                 tokens = np.frombuffer(b"".join(batch.column(4).to_pylist()), "<u4").reshape(-1, COORDINATES)
-                new = [*columns, tokens]
+                text = np.array(batch.column(5).to_pylist(), object)
+                new = [*columns, tokens, text]
                 held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
             if held is None or not len(held[0]):
                 continue
@@ -188,8 +206,27 @@ def _compared(nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
                 found = []
 
-    together = nodes.select("node", "row", "class", "n_shingles", "tokens").repartition("node").sortWithinPartitions("node")
-    return together.mapInArrow(by_node, "a long, b long")
+    whole = nodes.join(texts, "row").select("node", "row", "class", "n_shingles", "tokens", "text")
+    together = whole.repartition("node").sortWithinPartitions("node")
+    return together.mapInArrow(by_node, "a long, b long").distinct()
+
+
+def _bounded(open_nodes: DataFrame) -> DataFrame:
+    """Members of the nodes that can be compared now, in nodes of at most 2 x ``SMALL``.
+
+    A larger node with few members outside its main class is cut up: each part gets
+    some members of the main class and all others, so every pair of different classes
+    meets, and the rows grow by less than the node has.
+    """
+    small = open_nodes.where(F.col("n") <= SMALL).select("node", "row", "class")
+    lopsided = open_nodes.where((F.col("n") > SMALL) & (F.col("n") - F.col("most") <= SMALL))
+    parts = F.ceil(F.col("most") / SMALL)
+    of_main = F.array(F.pmod(F.xxhash64("row"), parts))
+    spread = F.when(F.col("class") == F.col("main"), of_main).otherwise(F.sequence(F.lit(0).cast("long"), parts - 1))
+    cut_up = lopsided.withColumn("part", F.explode(spread)).select(
+        F.xxhash64("node", "part").alias("node"), "row", "class"
+    )
+    return small.unionByName(cut_up)
 
 
 def _token(coordinate) -> F.Column:
@@ -205,14 +242,19 @@ def _crowded(entries: DataFrame) -> DataFrame:
 
 
 def _across(entries: DataFrame, classes: DataFrame) -> DataFrame:
-    """Entries of nodes that hold more than one class, with class and pairs across classes."""
+    """Entries of nodes that hold more than one class, with the node's size, its main
+    class and how many members that has."""
     known = entries.join(classes, "row", "left").withColumn("class", F.coalesce("class", "row"))
     per_class = known.groupBy("node", "class").agg(F.count("row").alias("k"))
     nodes = (
         per_class.groupBy("node")
-        .agg(F.sum("k").alias("n"), F.count("class").alias("classes"), F.sum(F.col("k") * F.col("k")).alias("same"))
+        .agg(
+            F.sum("k").alias("n"),
+            F.count("class").alias("classes"),
+            F.max(F.struct(F.col("k"), F.col("class"))).alias("top"),
+        )
         .where("classes > 1")
-        .select("node", "n", ((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs"))
+        .select("node", "n", F.col("top.k").alias("most"), F.col("top.class").alias("main"))
     )
     return known.select("node", "row", "class").join(nodes, "node")
 
@@ -249,20 +291,25 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
         return confirm(_supported(pairs, reps))
 
     links = to_pivots(crowd)
+    classes = smallest_reachable(links)
     crowd = crowd.select("node", "row")
     for level in range(DEPTH + 1):
-        classes = smallest_reachable(links)
         open_nodes = stored(_across(crowd, classes), "near-open")
-        small = F.col("n") <= SMALL
-        lopsided = F.lit(level == DEPTH) | (F.col("pairs") <= LOPSIDED * F.col("n"))
-        described_nodes = open_nodes.where(small).join(reps.select("row", "n_shingles", "tokens"), "row")
-        rest = open_nodes.where(~small & lopsided)
-        one = rest.select("node", F.col("row").alias("a"), F.col("class").alias("ca"))
-        two = rest.select("node", F.col("row").alias("b"), F.col("class").alias("cb"))
-        across = one.join(two, "node").where("a < b and ca != cb").select("a", "b").distinct()
-        links = links.unionByName(confirm(_compared(described_nodes).unionByName(_supported(across, reps))))
-        large = open_nodes.where(~small & ~lopsided).select("node", "row")
-        if level == DEPTH or large.isEmpty():
+        if open_nodes.isEmpty():
+            break
+        texts = stored(texts.join(open_nodes.select("row").distinct(), "row", "left_semi"), "near-texts")
+        nodes = _bounded(open_nodes).join(reps.select("row", "n_shingles", "tokens"), "row")
+        found = stored(_compared(nodes, texts), "near-links")
+        large = open_nodes.where((F.col("n") > SMALL) & (F.col("n") - F.col("most") > SMALL))
+        if level == DEPTH:
+            one = large.select("node", F.col("row").alias("a"), F.col("class").alias("ca"))
+            two = large.select("node", F.col("row").alias("b"), F.col("class").alias("cb"))
+            across = one.join(two, "node").where("a < b and ca != cb").select("a", "b").distinct()
+            links = links.unionByName(found).unionByName(confirm(_supported(across, reps)))
+            break
+        links = links.unionByName(found)
+        large = large.select("node", "row")
+        if large.isEmpty():
             break
         # the first branch is always taken, the second on two levels and then by one path in three
         paths = F.when(
@@ -276,6 +323,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
         )
         crowd = stored(_crowded(branched), "near-nodes")
         links = stored(links.unionByName(to_pivots(crowd)), "near-links")
+        classes = smallest_reachable(links)
         crowd = crowd.select("node", "row")
     return rows, links
 

@@ -71,7 +71,6 @@ def test_near_copies_of_all_distances(docs):
 
 def test_large_groups_and_a_passage_all_share(docs, monkeypatch):
     monkeypatch.setattr(near, "SMALL", 4)  # makes nodes branch
-    monkeypatch.setattr(near, "LOPSIDED", 2)
     monkeypatch.setattr(near, "DEPTH", 3)
     rng = random.Random(6)
     passage = " ".join(f"p{k}" for k in range(60))
