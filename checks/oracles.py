@@ -273,8 +273,8 @@ oracle(
 oracle(
     "kpi_texts",
     "select format('{:,}', count(distinct video_id)) as total_videos, "
-    "printf('%.1fM', sum(views) / 1e6) as total_views, "
-    "printf('%.1fM', sum(likes) / 1e6) as total_likes, "
+    "printf('%.1fM', round_even(sum(views) / 1e6, 1)) as total_views, "
+    "printf('%.1fM', round_even(sum(likes) / 1e6, 1)) as total_likes, "
     f"{_AVG_ENGAGEMENT} || '%' as avg_engagement from fact where views is not null",
 )
 
@@ -626,8 +626,10 @@ oracle(
 )
 oracle(
     "run_sql_folder",
-    "select day_of_week, count(*) as videos from fact join days using (date_id) "
-    "group by day_of_week",
+    "select 'weekday_videos' as file, cast(day_of_week as varchar) as name, count(*) as videos, "
+    "cast(null as bigint) as likes from fact join days using (date_id) group by day_of_week "
+    "union all select 'category_views', category_name, cast(sum(views) as bigint), "
+    f"cast(sum(likes) as bigint) {_TOP} group by category_name",
 )
 oracle(
     "explode_page_items",
@@ -644,14 +646,14 @@ _PURCHASES = (
 oracle(
     "incremental_read",
     f"select event_id, user_id, event_type from events left join ({_PURCHASES}) using (user_id) "
-    "where ts >= coalesce(last_ts, timestamp '2024-01-05 00:00:00')",
+    "where user_id % 7 = 0 or ts >= coalesce(last_ts, timestamp '2024-01-05 00:00:00')",
 )
 oracle(
     "watermark_upsert",
     """select source_type, cast(user_id as varchar) as source_key,
        rtrim(rtrim(strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f'), '0'), '.') as last_ts
-       from (select case when event_type = 'click' then 'clicker' else 'user' end as source_type,
-                    user_id, ts from events where event_type in ('purchase', 'view', 'click'))
+       from (select case event_type when 'click' then 'clicker' when 'signup' then 'joiner'
+                    when 'error' then 'failer' else 'user' end as source_type, user_id, ts from events)
        group by all""",
 )
 oracle(
@@ -724,3 +726,11 @@ oracle(
 
 for _name in ("channel_performance", "summary_kpis"):
     ORACLES[f"{_name}_distinct"] = ORACLES[_name]
+
+for _any, _same in (
+    ("top_trending_any_state", "top_trending_videos"),
+    ("most_engaging_any_state", "most_engaging_videos"),
+    ("fastest_growing_any_state", "fastest_growing_videos"),
+    ("tag_count_any_state", "tag_count_vs_views"),
+):
+    ORACLES[_any] = ORACLES[_same]

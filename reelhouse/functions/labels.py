@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The labels below are those reports show.
+
+
 def tag_bucket(tag_count: Column) -> Column:
     return (
         F.when(tag_count == 0, "No tags")
@@ -38,8 +41,11 @@ def grouped_integer(value: Column) -> Column:
 
 
 def millions_text(value: Column) -> Column:
-    return F.format_string("%.1fM", value / 1_000_000)
+    """Millions with one digit, ties to the even digit."""
+    return F.concat(F.format_string("%.1f", F.bround(value / 1_000_000, 1)), F.lit("M"))
 
 
 def percent_text(value: Column) -> Column:
-    return F.concat(value.cast("string"), F.lit("%"))
+    """The number as it is, never in powers of ten."""
+    plain = F.regexp_replace(F.format_string("%.10f", value), r"(\.[0-9]+?)0+$", "$1")
+    return F.concat(plain, F.lit("%"))

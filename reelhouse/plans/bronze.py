@@ -17,10 +17,27 @@ from reelhouse.sinks import lineage, tables
 from reelhouse.sources import json_items, storage
 
 
+_RUN = "run-"
+
+
 def raw_folder(roots: Roots, run_ts: datetime) -> str:
+    """Where the items of a day lie: directly, or in a folder per landing run."""
     return storage.join(roots.raw, f"{run_ts:%Y-%m-%d}")
 
 
+def run_folder(roots: Roots, run_ts: datetime) -> str:
+    """Where one landing run writes; a repeat of it replaces its own items only."""
+    return storage.join(raw_folder(roots, run_ts), f"{_RUN}{run_ts:%H%M%S}")
+
+
+def landed_paths(spark: SparkSession, roots: Roots, run_ts: datetime, name: str) -> list[str]:
+    """All places where items of that name were landed on the day of the run."""
+    day = raw_folder(roots, run_ts)
+    runs = sorted(f for f in storage.child_folders(spark, day) if f.startswith(_RUN))
+    places = [storage.join(day, name), *[storage.join(day, run, name) for run in runs]]
+    return [place for place in places if storage.exists(spark, place)]
+
+
 def ingest_source(
     spark: SparkSession,
     roots: Roots,
@@ -28,9 +45,10 @@ def ingest_source(
     run_ts: datetime,
     layout: str = json_items.LINES,
 ) -> str | None:
-    """Write one source's items to its bronze table, unreadable text to quarantine."""
-    path = storage.join(raw_folder(roots, run_ts), spec.raw_name)
-    items = json_items.read_items(spark, path, schemas.RAW_ITEMS[spec.kind], layout)
+    """Write one source's items of the day, from all its landing runs, to its bronze
+    table, unreadable text to quarantine."""
+    paths = landed_paths(spark, roots, run_ts, spec.raw_name)
+    items = json_items.read_items(spark, paths, schemas.RAW_ITEMS[spec.kind], layout)
     if items is None:
         return None
     unreadable = Seen()

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from reelhouse import schemas
-from reelhouse.sources import layers
+from reelhouse.sources import layers, storage
 
 # The second names the dashboard's SQL uses.
 ALIASES = {
@@ -71,13 +69,13 @@ def create_external_tables(
 
 
 def run_sql(spark: SparkSession, text: str) -> DataFrame:
-    """The query in ``text`` without blank and ``--`` lines; lazy like any other."""
-    kept = [line for line in text.splitlines() if line.strip() and not line.strip().startswith("--")]
-    return spark.sql("\n".join(kept))
+    """The query in ``text``, comments and all; lazy like any other."""
+    return spark.sql(text)
 
 
 def run_sql_file(spark: SparkSession, path: str) -> DataFrame:
-    return run_sql(spark, Path(path).read_text(encoding="utf-8"))
+    """The query in a file, wherever Spark can read it."""
+    return run_sql(spark, storage.read_text(spark, path) or "")
 
 
 def run_sql_folder(
@@ -85,12 +83,14 @@ def run_sql_folder(
 ) -> tuple[dict[str, DataFrame], dict[str, PySparkException]]:
     """All ``*.sql`` files in name order: (results, errors), by file name.
 
-    A file that fails does not keep the others from running.
+    A file that cannot be analysed does not keep the others from running; errors of
+    the data come up where a result is used, as ``plans.run.write_reports`` does.
     """
     results, errors = {}, {}
-    for path in sorted(Path(folder).glob("*.sql")):
+    for path in storage.files(spark, folder, ".sql"):
+        name = path.rsplit("/", 1)[-1].removesuffix(".sql")
         try:
-            results[path.stem] = run_sql_file(spark, str(path))
+            results[name] = run_sql_file(spark, path)
         except PySparkException as error:
-            errors[path.stem] = error
+            errors[name] = error
     return results, errors

@@ -6,7 +6,8 @@ the columns of the request they answer (``schemas.response_page``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Mapping
+from dataclasses import dataclass, fields, replace
 from datetime import datetime
 from functools import partial
 
@@ -15,29 +16,47 @@ from pyspark.sql import functions as F
 
 from reelhouse import schemas
 from reelhouse.functions import parse
-from reelhouse.operators import audit, columns, dedup
-from reelhouse.plans.bronze import raw_folder
+from reelhouse.operators import audit, dedup
+from reelhouse.plans.bronze import run_folder
 from reelhouse.plans.roots import Roots
 from reelhouse.plans.status import Run, Seen, TableStatus
 from reelhouse.settings import DEFAULT_MARK
 from reelhouse.sinks import landing, lineage, tables
 from reelhouse.sinks import snapshots as snapshots_out
-from reelhouse.sources import json_items, marks, snapshots, storage
+from reelhouse.sources import json_items, marks, shards, snapshots, storage
 
 
 @dataclass(frozen=True)
 class Pages:
-    """Pages per request kind; None where nothing was requested."""
+    """Pages per request kind; None where nothing was requested.
+
+    Answers that were fetched in parts may come as a mapping from category or keyword
+    to its pages.
+    """
 
     trending: DataFrame | None = None
-    trending_by_category: DataFrame | None = None
+    trending_by_category: DataFrame | Mapping[str, DataFrame] | None = None
     channel_videos: DataFrame | None = None
-    keyword_videos: DataFrame | None = None
+    keyword_videos: DataFrame | Mapping[str, DataFrame] | None = None
     video_stats: DataFrame | None = None
     channel_stats: DataFrame | None = None
     categories: DataFrame | None = None
 
 
+#: Which request column tells the parts of an answer apart.
+PART_LABELS = {"trending_by_category": "_source_category", "keyword_videos": "_source_keyword"}
+
+
+def _joined(pages: Pages) -> Pages:
+    """Answers in parts as one labelled frame each."""
+    parts = {
+        name: shards.union_shards(answer, label) if answer else None
+        for name, label in PART_LABELS.items()
+        if isinstance(answer := getattr(pages, name), Mapping)
+    }
+    return replace(pages, **parts)
+
+
 def read_marks(
     spark: SparkSession, roots: Roots, before: datetime | None = None
 ) -> DataFrame:
@@ -59,10 +78,12 @@ def land(
     publication seen, or with ``mark_at_run_time`` to the time of the run."""
     run = Run(spark, "landing")
     batch = batch_id or audit.new_batch_id(run_ts)
-    folder = raw_folder(roots, run_ts)
+    folder = run_folder(roots, run_ts)
+    pages = _joined(pages)
     known = read_marks(spark, roots, before=run_ts)
     published = F.try_to_timestamp(F.col("snippet.publishedAt"))
 
+    part = f"{run_ts:%H%M%S}"
     unusable = {kind.name: Seen() for kind in fields(Pages)}
 
     def items_of(name: str) -> DataFrame | None:
@@ -91,6 +112,7 @@ def land(
             tables.quarantine(
                 json_items.rejected_pages(answer), roots.quarantine,
                 f"quarantine_pages_{name}", run_ts.date(), any_rows=unusable[name].any(),
+                part=part,
             )
         return path
 
@@ -118,7 +140,14 @@ def land(
     found = [landed(name, "search") for name in ("channel_videos", "keyword_videos")]
     stats = items_of("video_stats")
     if stats is not None:
-        stats = _only_requested(stats, [df for df in found if df is not None])
+        requested = _requested([df for df in found if df is not None])
+        if requested is not None:
+            unasked = stats.join(requested, "id", "left_anti")
+            tables.quarantine(
+                unasked.withColumn("dq_issue", F.lit("not requested")), roots.quarantine,
+                "quarantine_unrequested_video_stats", run_ts.date(), part=part,
+            )
+            stats = stats.join(requested, "id", "left_semi")
     in_order = [landed("trending", "video"), landed("trending_by_category", "video"), stats]
     in_order = [df for df in in_order if df is not None]
     unique = None
@@ -145,13 +174,14 @@ def land(
     return run.statuses
 
 
-def _only_requested(stats: DataFrame, found: list[DataFrame]) -> DataFrame:
-    """Statistics of the videos the searches turned up."""
+def _requested(found: list[DataFrame]) -> DataFrame | None:
+    """Ids of the videos the searches turned up; None when nothing was searched, and
+    then no statistics are left out."""
     if not found:
-        return columns.empty_like(stats)
+        return None
     ids = [df.select(F.col("id.videoId").alias("id")) for df in found]
     requested = ids[0]
     for more in ids[1:]:
         requested = requested.unionByName(more)
     requested = requested.select(parse.video_id(F.col("id")).alias("id"))
-    return stats.join(dedup.distinct_ids(requested, "id"), "id", "left_semi")
+    return dedup.distinct_ids(requested, "id")

@@ -26,9 +26,11 @@ from reelhouse.sources import layers
 class Star:
     """The warehouse tables a report reads.
 
-    ``unique_videos`` says that the fact has one row per video, as the warehouse
-    job writes it. Distinct videos are then counted as rows, in the scanning
-    tasks; otherwise the ids of the whole fact are shuffled to tell them apart.
+    ``unique_videos`` says that fact and ``dim_video`` come from one state of the
+    video mart, as the warehouse job writes them: each video is once in both, with
+    the same tags. Distinct videos are then counted as rows in the scanning tasks,
+    top lists need no look whether a video is known, and tags are read from the
+    fact; otherwise the ids of the whole fact are shuffled for each of these.
     """
 
     fact: DataFrame
@@ -65,6 +67,9 @@ class Star:
         )
 
 
+#: Top lists up to this length are broadcast to fetch their titles.
+MOST_BROADCAST = 10_000
+
 # --- top lists ---------------------------------------------------------------
 
 
@@ -78,10 +83,14 @@ def _top_videos(star: Star, keep: Column, by: str, rows: int) -> DataFrame:
     named = star.fact.where(keep).join(
         star.dim_category.select("category_id", "category_name"), "category_id"
     )
-    known = named.join(star.dim_video.select("video_id"), "video_id", "left_semi")
+    if star.unique_videos:
+        known = named
+    else:
+        known = named.join(star.dim_video.select("video_id"), "video_id", "left_semi")
     best = known.orderBy(*ranking).limit(rows)
-    # Broadcast: ``best`` has at most ``rows`` rows, as many as the result itself.
-    described = F.broadcast(best).join(
+    # At most as many rows as the result itself.
+    few = F.broadcast(best) if rows <= MOST_BROADCAST else best
+    described = few.join(
         star.dim_video.select("video_id", "title", "channel_title", "published_at"), "video_id"
     )
     # With a limit the sort is a merge of small heaps; without one Spark would
@@ -255,11 +264,15 @@ def weekend_split(star: Star) -> DataFrame:
 
 
 def tag_count_vs_views(star: Star) -> DataFrame:
-    """Views by number of tags; the tags are those of ``dim_video``."""
-    tagged = star.fact.select("video_id", "views", "engagement_rate").join(
-        star.dim_video.select("video_id", tag_bucket(F.col("tag_count")).alias("tag_group")),
-        "video_id",
-    )
+    """Views by number of tags: those of ``dim_video``, which the fact of the same mart
+    state carries as well."""
+    group = tag_bucket(F.col("tag_count")).alias("tag_group")
+    if star.unique_videos:
+        tagged = star.fact.select("video_id", "views", "engagement_rate", group)
+    else:
+        tagged = star.fact.select("video_id", "views", "engagement_rate").join(
+            star.dim_video.select("video_id", group), "video_id"
+        )
     return (
         tagged.groupBy("tag_group")
         .agg(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from datetime import datetime, time
+from datetime import date, datetime, time
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from reelhouse.plans.roots import Roots
 from reelhouse.plans.status import Run, Seen, TableStatus
 from reelhouse.sinks import lineage, tables
 from reelhouse.sinks import snapshots as snapshots_out
-from reelhouse.sources import layers, snapshots
+from reelhouse.sources import layers, snapshots, storage
 
 
 @dataclass(frozen=True)
@@ -48,6 +49,35 @@ TABLES = (
 )
 
 
+_MANIFEST = "_bronze.json"
+
+
+def _manifest(root: str, table: str, run_ts: datetime) -> str:
+    """Names the bronze partitions a snapshot holds, and when each was committed.
+    A file whose name Spark passes over, so it lies beside the data."""
+    return storage.join(snapshots.folder(root, table, run_ts), _MANIFEST)
+
+
+def _bronze_days(spark: SparkSession, roots: Roots, table: str, last: date) -> dict[str, str]:
+    """Bronze partitions up to the day of the run, with their versions."""
+    found = storage.versions(spark, storage.join(roots.bronze, table))
+    prefix = "ingestion_date="
+    return {
+        name.removeprefix(prefix): version
+        for name, version in found.items()
+        if name.startswith(prefix) and name.removeprefix(prefix) <= f"{last:%Y-%m-%d}"
+    }
+
+
+def _merged(before: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """The last state with new rows: only rows whose key has new ones are compared
+    again, the others pass through as they lie."""
+    keys = new.select(key).distinct()
+    touched = before.join(keys, key, "left_semi").select(before.columns).unionByName(new)
+    latest = tables.by_partition(quality.uniqueness(touched, key), tables.BY_DATE)
+    return before.join(keys, key, "left_anti").select(before.columns).unionByName(latest)
+
+
 def refine(
     spark: SparkSession,
     roots: Roots,
@@ -55,38 +85,57 @@ def refine(
     run_ts: datetime,
     from_scratch: bool = False,
     keep: int = snapshots_out.KEEP,
+    checks: dict[str, Mapping[str, int]] | None = None,
 ) -> str | None:
     """Bring one table up to the day of the run.
 
-    The state of the last earlier day is taken as it is, and only the bronze days
-    after it are read and checked: keeping the latest row per key of both gives
-    the rows that all of bronze would give. ``from_scratch`` reads all of bronze,
-    as a first run does, for instance after the rules have changed.
+    The state of the last earlier day names the bronze partitions it holds. Only
+    those it lacks, whatever their day, are read and checked: keeping the latest row
+    per key of both gives the rows that all of bronze would give. When a partition
+    it holds was written again since, or it does not say what it holds, all of
+    bronze is read, as with ``from_scratch`` and on a first run. Partitions that
+    are gone from bronze keep their rows. ``checks`` receives the counts of the
+    quality checks over the rows read.
     """
     bronze = layers.read_table(spark, roots.bronze, spec.bronze)
     if bronze is None:
         return None
     today = datetime.combine(run_ts.date(), time.min)
+    days = _bronze_days(spark, roots, spec.bronze, run_ts.date())
     since = None if from_scratch else snapshots.newest(spark, roots.silver, spec.table, today)
-    days = F.col("ingestion_date") <= F.lit(run_ts.date())
     if since is not None:
-        days &= F.col("ingestion_date") > F.lit(since.date())
+        held = json.loads(storage.read_text(spark, _manifest(roots.silver, spec.table, since)) or "null")
+        if held is None or any(days.get(day, version) != version for day, version in held.items()):
+            since = None
+        else:
+            new_days = {day for day in days if day not in held}
+            days |= {day: version for day, version in held.items() if day not in days}
+    if since is None:
+        new_days = set(days)
 
-    judged = quality.judge(spec.flatten(bronze.where(days), keep_unparsed=True), spec.rules)
+    wanted = F.col("ingestion_date").isin(*[date.fromisoformat(day) for day in sorted(new_days)])
+    rows = spec.flatten(bronze.where(wanted), keep_unparsed=True)
+    judged = quality.judge(rows, spec.rules)
     rejected = Seen()
     good = quality.passed(rejected.watch(judged, F.col(quality.ISSUE).isNotNull()))
-    if since is not None:
+    if since is None:
+        clean = quality.uniqueness(good, spec.rules.key)
+    else:
         before = snapshots.read(
             spark, roots.silver, spec.table, layers.schema_of(spec.table), before=today
         )
-        good = before.unionByName(good)
-    clean = quality.uniqueness(good, spec.rules.key)
-    written = snapshots_out.write(clean, roots.silver, spec.table, run_ts, tables.BY_DATE)
-    snapshots_out.prune(spark, roots.silver, spec.table, keep)
+        clean = _merged(before, good, spec.rules.key)
+    written = snapshots_out.write(
+        clean, roots.silver, spec.table, run_ts, tables.BY_DATE, together=since is None
+    )
+    storage.write_text(spark, _manifest(roots.silver, spec.table, run_ts), json.dumps(days))
+    snapshots_out.prune(spark, roots.silver, spec.table, run_ts, keep)
     tables.quarantine(
         quality.quarantined(judged), roots.quarantine, spec.quarantine, run_ts.date(),
         any_rows=rejected.any(),
     )
+    if checks is not None:
+        checks[spec.table] = quality.check_counts(rows, spec.rules).first().asDict()
     return written
 
 
@@ -96,7 +145,9 @@ def build_silver(
     run = Run(spark, "silver")
     run.build(
         {
-            spec.table: partial(refine, spark, roots, spec, run_ts, from_scratch)
+            spec.table: partial(
+                refine, spark, roots, spec, run_ts, from_scratch, checks=run.checks
+            )
             for spec in TABLES
         }
     )

@@ -39,12 +39,16 @@ def update_channel_history(
     table = "dim_channel"
     today = datetime.combine(run_ts.date(), time.min)
     history = snapshots.read(spark, root, table, schemas.WAREHOUSE[table], before=today)
+    if history is None and any(t < today for t in snapshots.run_times(spark, root, table)):
+        raise RuntimeError(
+            f"{table} has snapshots of earlier days but none is complete; history would start anew"
+        )
     if history is None:
         merged = scd2.first_load(new, run_ts.date())
     else:
         merged = scd2.merge(history, new, run_ts.date(), tracked)
     written = snapshots_out.write(merged, root, table, run_ts)
-    snapshots_out.prune(spark, root, table)
+    snapshots_out.prune(spark, root, table, run_ts)
     return written
 
 

@@ -200,7 +200,7 @@ MARKS = _row(_text("source_type", "source_key"), _of(_TIMESTAMP, "last_ts"))
 LINEAGE = _row(
     _text("pipeline", "source", "destination"),
     _of(
-        T.ArrayType(_row(_text("table", "status"), _of(_LONG, "rows"), _text("error"))), "tables"
+        T.ArrayType(_row(_text("table", "status"), _of(_LONG, "rows"), _text("error"), _of(T.MapType(_STRING, _LONG), "checks"))), "tables"
     ),
     _of(T.MapType(_STRING, _STRING), "details"),
     _text("logged_at"),

@@ -19,13 +19,14 @@ def record(
     pipeline: str,
     source: str,
     destination: str,
-    tables: Iterable[tuple[str, str, int | None, str | None]],
+    tables: Iterable[tuple],
     logged_at: datetime,
     details: Mapping[str, str] | None = None,
 ) -> str:
-    """Append one record. ``tables`` are (table, status, rows, error)."""
+    """Append one record. ``tables`` are (table, status, rows, error), and, where the
+    rows were checked, the counts of the checks."""
     row = (
-        pipeline, source, destination, list(tables), dict(details or {}),
+        pipeline, source, destination, [(*t, None)[:5] for t in tables], dict(details or {}),
         f"{logged_at:%Y-%m-%d %H:%M:%S}", logged_at.date(),
     )
     path = storage.join(root, TABLE)

@@ -58,12 +58,17 @@ def replace_partitions(
 
 
 def overwrite(
-    df: DataFrame, root: str, table: str, partitions: Sequence[str] = BY_DATE
+    df: DataFrame,
+    root: str,
+    table: str,
+    partitions: Sequence[str] = BY_DATE,
+    together: bool = True,
 ) -> str:
-    """Replace the whole table. ``df`` must not read from it."""
-    together = by_partition(df, existing_partitions(df, partitions))
+    """Replace the whole table. ``df`` must not read from it. ``together`` brings the
+    rows of a partition together first, which shuffles all of them."""
+    rows = by_partition(df, existing_partitions(df, partitions)) if together else df
     return _write(
-        together, storage.join(root, table), "overwrite", partitions,
+        rows, storage.join(root, table), "overwrite", partitions,
         partitionOverwriteMode="static",
     )
 
@@ -96,14 +101,27 @@ def replace_partition(
 
 
 def quarantine(
-    df: DataFrame, root: str, table: str, run_date: date, any_rows: bool = True
+    df: DataFrame,
+    root: str,
+    table: str,
+    run_date: date,
+    any_rows: bool = True,
+    part: str | None = None,
 ) -> str | None:
     """Keep the rejected rows of one run; repeating the run replaces them.
 
+    Runs of one day replace each other, unless each names its own ``part`` of the day.
+
     Nothing is written, and ``df`` is not evaluated, when the caller knows that
     there are none; rows an earlier attempt of the run left are removed then.
     """
     column = "quarantine_date"
+    if part is not None:
+        root, table = partition_folder(root, table, column, run_date), f"part={part}"
+        if any_rows or storage.exists(df.sparkSession, storage.join(root, table)):
+            kept = df if any_rows else empty_like(df)
+            kept.write.mode("overwrite").parquet(storage.join(root, table))
+        return storage.join(root, table)
     if not any_rows:
         folder = partition_folder(root, table, column, run_date)
         if not storage.exists(df.sparkSession, folder):

@@ -14,7 +14,7 @@ ARRAY = "array"
 
 
 def read_items(
-    spark: SparkSession, path: str, schema: T.StructType, layout: str = LINES
+    spark: SparkSession, path: str | list[str], schema: T.StructType, layout: str = LINES
 ) -> DataFrame | None:
     """Items of a landed document set, or None when nothing was landed there.
 
@@ -26,7 +26,8 @@ def read_items(
     """
     if layout not in (LINES, ARRAY):
         raise ValueError(f"layout must be {LINES!r} or {ARRAY!r}, not {layout!r}")
-    if not storage.exists(spark, path):
+    paths = [p for p in ([path] if isinstance(path, str) else path) if storage.exists(spark, p)]
+    if not paths:
         return None
     with_corrupt = T.StructType(schema.fields + [T.StructField(schemas.CORRUPT, T.StringType())])
     return (
@@ -35,7 +36,7 @@ def read_items(
         .option("encoding", "UTF-8")
         .option("multiLine", layout == ARRAY)
         .option("columnNameOfCorruptRecord", schemas.CORRUPT)
-        .json(path)
+        .json(paths)
     )
 
 

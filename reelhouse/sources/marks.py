@@ -22,14 +22,16 @@ def rows_since_marks(
     """Rows at or after the mark of their source; sources without one use the default.
 
     The mark itself is included: a second row may carry the same time, and the
-    repeats this brings are removed by the later deduplication.
+    repeats this brings are removed by the later deduplication. Rows without a
+    readable time are included too; the later checks decide about them.
     """
     mine = marks.where(F.col("source_type") == source_type).select(
         F.col("source_key").alias("_mark_key"), F.col("last_ts").alias("_mark")
     )
     joined = rows.join(mine, F.col(key).cast("string") == F.col("_mark_key"), "left")
     mark = F.coalesce(F.col("_mark"), F.lit(default_mark).cast("timestamp"))
-    return joined.where(F.col(published) >= mark).drop("_mark_key", "_mark")
+    since = F.coalesce(F.col(published) >= mark, F.lit(True))
+    return joined.where(since).drop("_mark_key", "_mark")
 
 
 def marks_from(

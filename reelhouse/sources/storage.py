@@ -29,6 +29,47 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hadoop) if s.isDirectory()]
 
 
+def versions(spark: SparkSession, path: str) -> dict[str, str]:
+    """Of every complete child folder, when it was committed."""
+    hadoop, fs = _path(spark, path)
+    if not fs.exists(hadoop):
+        return {}
+    found = {}
+    for child in fs.listStatus(hadoop):
+        done, _ = _path(spark, join(child.getPath().toString(), _DONE))
+        if child.isDirectory() and fs.exists(done):
+            found[child.getPath().getName()] = str(fs.getFileStatus(done).getModificationTime())
+    return found
+
+
+def files(spark: SparkSession, path: str, ending: str) -> list[str]:
+    """Full names of the files in a folder, in name order."""
+    hadoop, fs = _path(spark, path)
+    found = [s.getPath().toString() for s in fs.listStatus(hadoop) if s.isFile()]
+    return sorted(name for name in found if name.endswith(ending))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    hadoop, fs = _path(spark, path)
+    out = fs.create(hadoop, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None where there is none."""
+    hadoop, fs = _path(spark, path)
+    if not fs.exists(hadoop):
+        return None
+    stream = fs.open(hadoop)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True when a Spark job that wrote this folder was committed."""
     return exists(spark, f"{path}/{_DONE}")

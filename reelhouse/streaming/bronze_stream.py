@@ -1,12 +1,15 @@
 """Bronze as a stream over the landing folder: each landed file is read once.
 
-The rows are those of the batch load. Progress is kept in a checkpoint folder,
-so a run picks up only files it has not seen, however many lie there.
+The rows are those of the batch load, in a table of their own beside it, whose
+only partition column is the number of the micro-batch. Progress is kept in a
+checkpoint folder, so a run picks up only files it has not seen, however many lie
+there.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +19,25 @@ from pyspark.sql.streaming import StreamingQuery
 from reelhouse import schemas, settings
 from reelhouse.operators import audit
 from reelhouse.sinks import tables
-from reelhouse.sources import json_items, storage
+from reelhouse.sources import json_items, layers, storage
 
 BATCH = "stream_batch"
 
 
+def stream_table(table: str) -> str:
+    return f"{table}_stream"
+
+
+def with_stream(spark: SparkSession, bronze_root: str, table: str) -> DataFrame | None:
+    """Rows of the batch load and of the stream, None when neither has written."""
+    schema = layers.schema_of(table)
+    parts = [
+        layers.read_table(spark, bronze_root, name, schema) for name in (table, stream_table(table))
+    ]
+    parts = [part for part in parts if part is not None]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def ingest_new_files(
     spark: SparkSession,
     landing: str,
@@ -34,7 +51,8 @@ def ingest_new_files(
     """Read all files not read before, then stop. JSON Lines layout only.
 
     Every micro-batch owns a partition named by its number and replaces it, so a
-    batch that is repeated after a failure leaves no duplicates.
+    batch that is repeated after a failure, even on another day, leaves no
+    duplicates. ``with_stream`` reads batch and stream rows together.
     """
     schema = T.StructType(
         schemas.RAW_ITEMS[spec.kind].fields + [T.StructField(schemas.CORRUPT, T.StringType())]
@@ -55,7 +73,7 @@ def ingest_new_files(
         ):
             stamped = audit.ingestion_columns(rows, spec.label, run_ts)
             numbered = stamped.withColumn(BATCH, F.lit(number).cast("bigint"))
-            tables.replace_partitions(numbered, root, table, ("ingestion_date", BATCH))
+            tables.replace_partitions(numbered, root, stream_table(table), (BATCH,))
 
     return (
         items.writeStream.foreachBatch(write)

@@ -191,7 +191,7 @@ def found(n, published, channel_id="c1"):
 
 
 def landed(spark, roots, name, kind, run_ts):
-    df = spark.read.schema(schemas.RAW_ITEMS[kind]).json(f"{bronze.raw_folder(roots, run_ts)}/raw_{name}")
+    df = spark.read.schema(schemas.RAW_ITEMS[kind]).json(f"{bronze.run_folder(roots, run_ts)}/raw_{name}")
     return df.collect()
 
 
@@ -252,6 +252,131 @@ def test_an_empty_landing_moves_no_mark(spark, roots):
     assert landing.read_marks(spark, roots).count() == 0
 
 
+def test_a_quiet_day(spark, roots):
+    """Searches bring only old items, trending is there, one answer is unusable."""
+    answer = Pages(
+        trending=pages(spark, "video", {"items": [video("a")], "_source_category": "0"}, {"items": []}),
+        channel_videos=pages(spark, "search", {"items": [found("old", "2020-02-01T00:00:00Z")]}, {"items": None}),
+        video_stats=pages(spark, "video", {"items": [video("x")]}, {"items": []}),
+    )
+    got = status_of(run_all(spark, roots, DAY1, pages=answer))
+    assert got["video_stats"][0] == got["silver_trending"][0] == WRITTEN
+    assert FAILED not in {status for status, _ in got.values()}
+    assert [r.id for r in landed(spark, roots, "video_stats", "video", DAY1)] == ["a"]
+    for name, reason in (("trending", "empty items"), ("channel_videos", "no items"), ("video_stats", "empty items")):
+        bad = spark.read.parquet(f"{roots.quarantine}/quarantine_pages_{name}").collect()
+        assert [r.dq_issue for r in bad] == [reason], name
+    unasked = spark.read.parquet(f"{roots.quarantine}/quarantine_unrequested_video_stats").collect()
+    assert [(r.id, r.dq_issue) for r in unasked] == [("x", "not requested")]
+
+
+def test_statistics_without_a_search_are_kept(spark, roots):
+    answer = Pages(video_stats=pages(spark, "video", {"items": [video("x")]}, {"items": []}))
+    assert status_of(landing.land(spark, roots, answer, DAY1))["video_stats"][0] == WRITTEN
+    assert [r.id for r in landed(spark, roots, "video_stats", "video", DAY1)] == ["x"]
+
+
+def test_a_second_run_of_a_day_adds_to_the_first(spark, roots):
+    def search(*ids):
+        return pages(spark, "search", {"items": [found(n, f"2025-02-0{day}T00:00:00Z") for n, day in ids]}, {"items": []})
+
+    late = datetime(2025, 5, 1, 13)
+    run_all(spark, roots, DAY1, pages=Pages(channel_videos=search(("m1", 1), ("m2", 2))))
+    for _ in range(2):  # a repeat changes nothing
+        run_all(spark, roots, late, pages=Pages(channel_videos=search(("m2", 2), ("n1", 3))))
+        rows = layers.read_table(spark, roots.bronze, "bronze_channel_videos").collect()
+        assert sorted(r.id.videoId for r in rows) == ["m1", "m2", "m2", "n1"]
+        silver = layers.read_table(spark, roots.silver, "silver_channel_videos")
+        assert sorted(r.video_id for r in silver.collect()) == ["m1", "m2", "n1"]
+        assert spark.read.parquet(f"{roots.quarantine}/quarantine_pages_channel_videos").count() == 2
+
+
+def test_items_without_a_readable_time_are_kept(spark, roots):
+    items = [found("a", None), found("b", "yesterday"), found("c", "2025-02-01T00:00:00Z")]
+    landing.land(spark, roots, Pages(channel_videos=pages(spark, "search", {"items": items})), DAY1)
+    assert sorted(r.id.videoId for r in landed(spark, roots, "channel_videos", "search", DAY1)) == ["a", "b", "c"]
+
+
+def test_answers_in_parts(spark, roots):
+    parts = {
+        "k1": pages(spark, "search", {"items": [found("q", "2025-03-01T00:00:00Z")]}).drop("_source_keyword"),
+        "k2": pages(spark, "search", {"items": [found("r", "2025-03-02T00:00:00Z")]}).drop("_source_keyword"),
+    }
+    landing.land(spark, roots, Pages(keyword_videos=parts), DAY1)
+    rows = landed(spark, roots, "keyword_videos", "search", DAY1)
+    assert sorted((r.id.videoId, r._source_keyword) for r in rows) == [("q", "k1"), ("r", "k2")]
+
+
+def test_backfilled_and_rewritten_days_reach_silver(spark, roots):
+    def day(run_ts, *videos):
+        put(roots, run_ts, "raw_video_stats", list(videos))
+        bronze.build_bronze(spark, roots, run_ts)
+        build_silver(spark, roots, run_ts)
+
+    def silver():
+        return {r.video_id: r.views for r in layers.read_table(spark, roots.silver, "silver_video_stats").collect()}
+
+    day(DAY1, video("a"))
+    day(DAY3, video("c"), video("a", views="3"))
+    day(DAY2, video("b"), video("a", views="2"))  # landed late
+    day(DAY4, video("d"))
+    assert silver() == {"a": 3, "b": 100, "c": 100, "d": 100}
+    put(roots, DAY2, "raw_video_stats", [video("b", views="8"), video("e")])  # corrected
+    bronze.build_bronze(spark, roots, DAY2)
+    day(datetime(2025, 5, 5, 1), video("f"))
+    by_days = silver()
+    assert by_days == {"a": 3, "b": 8, "c": 100, "d": 100, "e": 100, "f": 100}
+    run_all(spark, roots, datetime(2025, 5, 5, 1), from_scratch=True)
+    assert silver() == by_days
+
+
+def test_a_backfill_older_than_the_kept_days(spark, roots):
+    for run_ts in (DAY2, DAY3, DAY4):
+        put(roots, run_ts, "raw_channel_stats", [channel("5")])
+        put(roots, run_ts, "raw_video_stats", [video(f"v{run_ts.day}")])
+        run_all(spark, roots, run_ts)
+    put(roots, DAY1, "raw_video_stats", [video("v1")])
+    got = status_of(run_all(spark, roots, DAY1))
+    assert got["silver_video_stats"] == (WRITTEN, 1)
+    put(roots, datetime(2025, 5, 5, 1), "raw_video_stats", [video("v5")])
+    run_all(spark, roots, datetime(2025, 5, 5, 1))
+    silver = layers.read_table(spark, roots.silver, "silver_video_stats")
+    assert sorted(r.video_id for r in silver.collect()) == ["v1", "v2", "v3", "v4", "v5"]
+
+
+def test_quality_counts_are_recorded(spark, roots):
+    day_one(roots)
+    run_all(spark, roots, DAY1)
+    record = lineage.read(spark, roots.lineage).where("pipeline = 'silver'").first()
+    checks = {t.table: t.checks for t in record.tables}["silver_video_stats"]
+    assert (checks["input_rows"], checks["complete_bad"], checks["valid_bad"], checks["unique_rows"]) == (5, 1, 1, 3)
+
+
+def test_reports_as_a_stage(spark, roots, tmp_path, monkeypatch):
+    day_one(roots)
+
+    def broken(star):
+        return star.fact.selectExpr("raise_error('bad row') as x")
+
+    monkeypatch.setitem(reports.REPORTS, "broken", broken)
+    with pytest.raises(RunFailed, match="bad row") as failed:
+        run_all(spark, roots, DAY1, reports_to=str(tmp_path / "reports"))
+    got = status_of(failed.value.statuses)
+    assert got["broken"][0] == FAILED
+    assert all(got[name][0] == WRITTEN for name in reports.REPORTS if name != "broken")
+
+
+def test_history_does_not_restart_silently(spark, roots):
+    day_one(roots)
+    run_all(spark, roots, DAY1)
+    from pathlib import Path
+
+    for done in Path(roots.warehouse, "dim_channel").glob("*/_SUCCESS"):
+        done.unlink()
+    statuses = {s.table: s for s in build_warehouse(spark, roots, DAY2)}
+    assert statuses["dim_channel"].status == FAILED and "start anew" in statuses["dim_channel"].error
+
+
 # --- catalog and dashboard -----------------------------------------------------------
 
 

@@ -246,14 +246,14 @@ def test_pruning_keeps_the_newest_complete_ones(spark, rows, tmp_path):
         snapshots_out.write(df, root, "s", run_ts)
     for run_ts in (RUNS[2], RUNS[4]):
         (tmp_path / "s" / snapshots.name(run_ts)).mkdir()
-    assert len(snapshots_out.prune(spark, root, "s", keep=2)) == 1
+    assert len(snapshots_out.prune(spark, root, "s", RUNS[-1], keep=2)) == 1
     assert snapshots.run_times(spark, root, "s") == RUNS[:0:-1]
-    assert snapshots_out.prune(spark, root, "s", keep=2) == []
+    assert snapshots_out.prune(spark, root, "s", RUNS[-1], keep=2) == []
     # Repeats within a day do not push out the day before.
     again = [RUNS[3].replace(hour=hour) for hour in (7, 8, 9)]
     for run_ts in again:
         snapshots_out.write(df, root, "s", run_ts)
-    assert snapshots_out.prune(spark, root, "s", keep=2) == []
+    assert snapshots_out.prune(spark, root, "s", RUNS[-1], keep=2) == []
     assert RUNS[1] in snapshots.run_times(spark, root, "s")
 
 
@@ -289,7 +289,7 @@ def test_stream_reads_each_file_once(spark, tmp_path):
         bronze_stream.ingest_new_files(
             spark, str(landed), spec, f"{base}/bronze", f"{base}/bad", f"{base}/check", RUN_TS
         ).awaitTermination()
-        return layers.read_table(spark, f"{base}/bronze", spec.table)
+        return bronze_stream.with_stream(spark, f"{base}/bronze", spec.table)
 
     (landed / "1.json").write_text('{"id": "a"}\n{"id": "b"\n')
     assert [r.id for r in run().collect()] == ["a"]
@@ -298,5 +298,24 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     bronze = run()
     assert sorted(r.id for r in bronze.collect()) == ["a", "c"]
     assert flatten.video_stats(bronze).first().source == spec.label
-    bad = spark.read.parquet(f"{base}/bad/quarantine_bronze_trending")
+    bad = spark.read.parquet(f"{base}/bad/quarantine_bronze_trending_stream")
     assert [r._corrupt_record for r in bad.collect()] == ['{"id": "b"']
+
+
+def test_a_stream_batch_repeated_on_another_day(spark, tmp_path):
+    import shutil
+
+    landed, base = tmp_path / "landed", str(tmp_path)
+    landed.mkdir()
+    spec = next(s for s in settings.SOURCES if s.raw_name == "raw_trending")
+    (landed / "1.json").write_text('{"id": "a"}\n{"id": "b"}\n')
+    for day in (RUN_TS, RUN_TS.replace(day=2)):
+        bronze_stream.ingest_new_files(
+            spark, str(landed), spec, f"{base}/bronze", f"{base}/bad", f"{base}/check", day
+        ).awaitTermination()
+        shutil.rmtree(f"{base}/check")  # the commit of the batch is lost
+    assert sorted(r.id for r in bronze_stream.with_stream(spark, f"{base}/bronze", spec.table).collect()) == ["a", "b"]
+    # beside rows of the batch load
+    stream = bronze_stream.with_stream(spark, f"{base}/bronze", spec.table)
+    tables.replace_partition(stream.limit(1), f"{base}/bronze", spec.table, RUN_TS.date())
+    assert bronze_stream.with_stream(spark, f"{base}/bronze", spec.table).count() == 3
