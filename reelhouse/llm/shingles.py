@@ -39,19 +39,25 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def extended(values: np.ndarray, step: int) -> np.ndarray:
+    """Hashes of runs that are ``step`` words longer, from those of shorter runs."""
+    n = max(0, len(values) - step)
+    return mixed(values[:n] * _MIX + (values[step:] ^ np.uint64(step)))
+
+
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` words, in order; none for shorter sequences.
 
-    Longer runs are put together from runs of half the length.
+    Each length comes from two runs of the length before, which may overlap.
     """
     if len(hashes) < size:
         return np.zeros(0, np.uint64)
-    if size == 1:
-        return mixed(hashes + _MIX)
-    half = size // 2
-    first, second = windows(hashes, half), windows(hashes, size - half)
-    n = len(hashes) - size + 1
-    return mixed(first[:n] * _MIX + (second[half : half + n] ^ np.uint64(size)))
+    values, have = mixed(hashes + _MIX), 1
+    while have < size:
+        step = min(have, size - have)
+        values = extended(values, step)
+        have += step
+    return values
 
 
 def shingle_set(text: str | None, size: int = 5) -> np.ndarray:

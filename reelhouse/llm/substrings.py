@@ -47,15 +47,19 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
+def _both(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all half windows, and of the full windows they extend to."""
+    half = shingles.windows(shingles.word_hashes(words), window // 2)
+    return half, shingles.extended(half, window - window // 2)
+
+
 def runs(words: list[bytes], window: int) -> tuple[np.ndarray, ...]:
     """Half-window hash, hash of the full windows, first window and length of each run."""
-    hashes = shingles.word_hashes(words)
-    full = shingles.windows(hashes, window)
+    half, full = _both(words, window)
     if not len(full):
         empty = np.zeros(0, np.int64)
         return empty, empty, empty, empty
-    half = window // 2
-    chosen = _least(shingles.windows(hashes, half), window - half + 1)
+    chosen = _least(half, window - window // 2 + 1)
     begin = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
     length = np.diff(begin, append=len(full))
     place = np.arange(len(full)) - np.repeat(begin, length)
@@ -109,7 +113,7 @@ def _full_windows(candidates: DataFrame, window: int) -> DataFrame:
                 rows, docs, texts, spans = (c.to_pylist() for c in batch.columns)
                 parts = []
                 for text, marked in zip(texts, spans, strict=True):
-                    full = shingles.windows(shingles.word_hashes(shingles.split(text)), window)
+                    full = _both(shingles.split(text), window)[1]
                     part = [full[s["begin"] : s["begin"] + s["length"]] for s in marked if not s["whole"]]
                     parts.append(np.unique(np.concatenate(part)) if part else full[:0])
                 sizes = [len(x) for x in parts]
@@ -137,7 +141,7 @@ def _cut(candidates: DataFrame, window: int) -> DataFrame:
                 counts, kept, removed = [], [], []
                 for text, marked, hit in zip(texts, spans, hits, strict=True):
                     words = shingles.split(text)
-                    full = shingles.windows(shingles.word_hashes(words), window)
+                    full = _both(words, window)[1]
                     repeated = np.zeros(len(full), bool)
                     for s in marked:
                         part = slice(s["begin"], s["begin"] + s["length"])
