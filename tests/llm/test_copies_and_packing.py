@@ -131,7 +131,8 @@ def test_passages(docs):
             cut = rng.randrange(20) if rng.random() < 0.5 else 0
             parts += p[cut:] + fresh(rng.randrange(30))
         texts[i] = " ".join(parts)
-    texts |= {70: texts[3], 71: texts[3] + " tail", 72: "und " * 400, 73: "und " * 60, 74: None, 75: "", 76: "x\n" * 49}
+    longest = max(texts.values(), key=len)
+    texts |= {70: longest, 71: longest + " tail", 72: "und " * 400, 73: "und " * 60, 74: None, 75: "", 76: "x\n" * 49}
     found = {r["doc_id"]: r for r in dicts(substrings.removals(docs(*[(i, t, "s") for i, t in texts.items()])))}
     expected = brute_removals(texts)
     assert {i: (r["n_words"], r["n_removed"], r["kept_sha256"]) for i, r in found.items()} == expected
