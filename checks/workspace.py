@@ -70,17 +70,27 @@ def write_pages(spark: SparkSession, sf_dir: str, base: str) -> Pages:
         return Pages(**dict(zip(pages, pool.map(keep, pages), strict=True)))
 
 
-def build(spark: SparkSession, sf_dir: str) -> Roots:
-    """Build a fresh lakehouse, whether or not there is one."""
+def prepare(spark: SparkSession, sf_dir: str) -> tuple[Roots, Pages]:
+    """An empty lakehouse and the response pages of its first run."""
     base = storage.scratch(spark, "lakehouse")
-    roots = Roots.under(base)
+    return Roots.under(base), write_pages(spark, sf_dir, base)
+
+
+def build(spark: SparkSession, sf_dir: str, prepared: tuple[Roots, Pages] | None = None) -> Roots:
+    """Build a fresh lakehouse, whether or not there is one."""
+    roots, pages = prepared or prepare(spark, sf_dir)
     run_all(
-        spark, roots, inputs.RUN_TS, as_of=inputs.AS_OF, pages=write_pages(spark, sf_dir, base),
+        spark, roots, inputs.RUN_TS, as_of=inputs.AS_OF, pages=pages,
         default_mark=inputs.START_MARK,
     )
     return roots
 
 
+def use(spark: SparkSession, sf_dir: str, roots: Roots) -> None:
+    """Let queries of this session read a lakehouse that is built already."""
+    _built[spark.sparkContext.applicationId, sf_dir] = roots
+
+
 def roots_for(spark: SparkSession, sf_dir: str) -> Roots:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _built:

@@ -46,8 +46,8 @@ def create_external_tables(
     """(Re)create catalog tables over the warehouse folders; the data stays put.
 
     ``warehouse_root`` has to be absolute. The fact is declared partitioned by
-    year and month and its partitions are recovered. Channel history points at
-    its newest complete snapshot, so call this again after each run.
+    year and month and its partitions are recovered. Tables point at their newest
+    complete snapshot, so call this again after each run.
     """
     created = []
     for table, schema in schemas.WAREHOUSE.items():

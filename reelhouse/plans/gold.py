@@ -2,44 +2,55 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from reelhouse.operators import marts
 from reelhouse.plans.roots import Roots
 from reelhouse.plans.status import Run, TableStatus
 from reelhouse.sinks import lineage, tables
+from reelhouse.sinks import snapshots as snapshots_out
 from reelhouse.sources import layers
 
 
 def build_gold(
     spark: SparkSession, roots: Roots, run_ts: datetime, as_of: date | None = None
 ) -> list[TableStatus]:
-    """``as_of`` is the day view velocity is measured on, the run date by default."""
+    """``as_of`` is the day view velocity is measured on, the run date by default.
+
+    Each mart is one snapshot per run: readers keep the last one until it is complete.
+    """
     run = Run(spark, "gold")
     measured = as_of or run_ts.date()
     stats = layers.read_table(spark, roots.silver, "silver_video_stats")
     trending = layers.read_table(spark, roots.silver, "silver_trending")
     categories = layers.read_table(spark, roots.silver, "silver_categories")
 
+    def keep(mart: DataFrame, table: str, partitions: Sequence[str] = tables.BY_DATE) -> str:
+        columns = tables.existing_partitions(mart, partitions)
+        written = snapshots_out.write(mart, roots.gold, table, run_ts, columns)
+        snapshots_out.prune(spark, roots.gold, table, run_ts)
+        return written
+
     def videos() -> str | None:
         if stats is None:
             return None
         mart = marts.video_engagement(stats, trending, categories, measured)
-        return tables.overwrite_gold(mart, roots.gold, "gold_video_engagement", ["year", "month"])
+        return keep(mart, "gold_video_engagement", ("year", "month"))
 
     def channels() -> str | None:
         if stats is None:
             return None
         mart = marts.channel_performance(stats, run_ts.date())
-        return tables.overwrite_gold(mart, roots.gold, "gold_channel_performance")
+        return keep(mart, "gold_channel_performance")
 
     def by_category() -> str | None:
         if stats is None or categories is None:
             return None
         mart = marts.category_performance(stats, categories, run_ts.date())
-        return tables.overwrite_gold(mart, roots.gold, "gold_category_performance")
+        return keep(mart, "gold_category_performance")
 
     run.build(
         {

@@ -13,7 +13,7 @@ from reelhouse.operators import columns, dimensions, scd2
 from reelhouse.plans.roots import Roots
 from reelhouse.plans.status import Run, TableStatus
 from reelhouse.settings import TRACKED_CHANNEL_COLUMNS
-from reelhouse.sinks import lineage, tables
+from reelhouse.sinks import lineage
 from reelhouse.sinks import snapshots as snapshots_out
 from reelhouse.sources import layers, snapshots
 
@@ -63,12 +63,17 @@ def build_warehouse(
     categories = layers.read_table(spark, roots.silver, "silver_categories")
     channels = channel_input(spark, roots)
 
+    def keep(rows: DataFrame, table: str, partitions: Sequence[str] = ()) -> str:
+        written = snapshots_out.write(rows, roots.warehouse, table, run_ts, partitions)
+        snapshots_out.prune(spark, roots.warehouse, table, run_ts)
+        return written
+
     # The video mart has one row per video, so its dimension and fact need no
     # second deduplication, which would shuffle the whole mart twice more.
     def dimension(table: str, source: DataFrame | None, make) -> str | None:
         if source is None:
             return None
-        return tables.overwrite_dimension(make(source), roots.warehouse, table)
+        return keep(make(source), table)
 
     def channel_history() -> str | None:
         if channels is None:
@@ -79,7 +84,7 @@ def build_warehouse(
         if gold is None:
             return None
         rows = dimensions.fact_video_performance(gold, deduplicate=False)
-        return tables.overwrite_fact(rows, roots.warehouse)
+        return keep(rows, "fact_video_performance", ("year", "month"))
 
     videos = partial(dimensions.dim_video, deduplicate=False)
     run.build(

@@ -19,16 +19,17 @@ def schema_of(table: str) -> T.StructType:
 
 
 def is_snapshotted(table: str) -> bool:
-    return table in schemas.SILVER or table == "dim_channel"
+    return any(table in layer for layer in (schemas.SILVER, schemas.GOLD, schemas.WAREHOUSE))
 
 
 def location(spark: SparkSession, root: str, table: str) -> str | None:
-    """The folder the table's current files lie in."""
-    if not is_snapshotted(table):
-        path = storage.join(root, table)
-        return path if storage.exists(spark, path) else None
-    run_ts = snapshots.newest(spark, root, table)
-    return None if run_ts is None else snapshots.folder(root, table, run_ts)
+    """The folder the table's current files lie in: its newest complete snapshot, or
+    the table's own folder when it has never been kept as snapshots."""
+    if is_snapshotted(table) and snapshots.run_times(spark, root, table):
+        run_ts = snapshots.newest(spark, root, table)
+        return None if run_ts is None else snapshots.folder(root, table, run_ts)
+    path = storage.join(root, table)
+    return path if storage.exists(spark, path) else None
 
 
 def read_table(
@@ -41,10 +42,8 @@ def read_table(
     the columns used later are read.
     """
     declared = schema or schema_of(table)
-    if is_snapshotted(table):
-        return snapshots.read(spark, root, table, declared)
-    path = storage.join(root, table)
-    if not storage.exists(spark, path):
+    path = location(spark, root, table)
+    if path is None:
         return None
     return spark.read.schema(declared).parquet(path).select(schemas.columns(declared))
 
