@@ -70,10 +70,11 @@ def runs(words: list[bytes], window: int) -> tuple[np.ndarray, ...]:
 def _described(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     """One row per row of ``docs``: id, text hash, n_words, hash of its words, its runs."""
     kind = docs.schema[id_col].dataType
-    run = T.ArrayType(T.LongType())
+    hashes, places = T.ArrayType(T.LongType()), T.ArrayType(T.IntegerType())
     schema = T.StructType(
         [T.StructField("id", kind), T.StructField("text_key", T.LongType()), T.StructField("n_words", T.LongType()),
-         T.StructField("sha", T.StringType()), *(T.StructField(n, run) for n in ("half", "content", "begin", "length"))]
+         T.StructField("sha", T.BinaryType()), T.StructField("half", hashes), T.StructField("content", hashes),
+         T.StructField("begin", places), T.StructField("length", places)]
     )
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,13 +85,13 @@ def _described(docs: DataFrame, id_col: str, text_col: str, window: int) -> Data
                 for text in batch.column(2).to_pylist():
                     words = shingles.split(text)
                     counts.append(len(words))
-                    shas.append(hashlib.sha256(b" ".join(words)).hexdigest())
+                    shas.append(hashlib.sha256(b" ".join(words)).digest())
                     for into, values in zip(found, runs(words, window), strict=True):
                         into.append(values)
                 ends = np.cumsum([0, *map(len, found[0])]).astype(np.int32)
                 lists = [
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values).astype(np.int64)))
-                    for values in found
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values).astype(kind)))
+                    for values, kind in zip(found, (np.int64, np.int64, np.int32, np.int32), strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(shas), *lists],
@@ -130,16 +131,17 @@ def _full_windows(candidates: DataFrame, window: int) -> DataFrame:
     return picked.mapInArrow(hashed, "row long, doc long, hash long")
 
 
-def _cut(candidates: DataFrame, window: int) -> DataFrame:
-    """Removed word spans, their number and the kept text of every candidate row."""
+def _cut(candidates: DataFrame, window: int, texts: bool) -> DataFrame:
+    """Number and spans of the removed words of every candidate row, and the sha of the
+    kept words or, with ``texts``, the kept text."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, _SLICE):
                 batch = whole.slice(at, _SLICE)
-                rows, texts, spans, hits = (c.to_pylist() for c in batch.columns)
+                rows, whole_texts, spans, hits = (c.to_pylist() for c in batch.columns)
                 counts, kept, removed = [], [], []
-                for text, marked, hit in zip(texts, spans, hits, strict=True):
+                for text, marked, hit in zip(whole_texts, spans, hits, strict=True):
                     words = shingles.split(text)
                     full = _both(words, window)[1]
                     repeated = np.zeros(len(full), bool)
@@ -157,25 +159,30 @@ def _cut(candidates: DataFrame, window: int) -> DataFrame:
                     turns = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
                     removed.append([{"begin": int(b), "end": int(e)} for b, e in turns.reshape(-1, 2)])
                     counts.append(int(gone.sum()))
-                    kept.append(b" ".join([w for w, out in zip(words, gone, strict=True) if not out]).decode("utf-8", "replace"))
+                    left = b" ".join([w for w, out in zip(words, gone.tolist(), strict=True) if not out])
+                    kept.append(left if texts else hashlib.sha256(left).digest())
                 span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, pa.int64()), pa.array(counts, pa.int64()), pa.array(removed, span), pa.array(kept, pa.string())],
-                    names=["row", "n_removed", "removed", "kept_text"],
+                    [pa.array(rows, pa.int64()), pa.array(counts, pa.int64()), pa.array(removed, span), pa.array(kept, pa.binary())],
+                    names=["row", "n_removed", "removed", "kept"],
                 )
 
     return candidates.select("row", "text", "spans", "hits").mapInArrow(
-        cut, "row long, n_removed long, removed array<struct<begin: long, end: long>>, kept_text string"
+        cut, "row long, n_removed long, removed array<struct<begin: long, end: long>>, kept binary"
     )
 
 
 def repeated(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = WINDOW,
+    texts: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """All rows (row, id, text hash, n_words, sha of all words), and those with repeated words.
 
-    The second has row, n_removed, removed spans of words and the kept text; rows not
-    in it keep everything. A window is repeated when a document of a smaller id holds
+    The second has row, n_removed, removed spans of words and ``kept``, the sha of the
+    kept words or, with ``texts``, the kept text; rows not in it keep everything. A window is repeated when a document of a smaller id holds
     it too. A null id is larger than any id; rows that share an id do not count against
     each other. Null texts have no words; shorter texts than a window lose nothing.
     """
@@ -207,18 +214,32 @@ def repeated(
     single = _full_windows(table, window)
     first = single.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
     hits = single.join(first, "hash").where("doc > first").groupBy("row").agg(F.collect_set("hash").alias("hits"))
-    found = _cut(table.join(hits, "row", "left"), window)
+    found = _cut(table.join(hits, "row", "left"), window, texts)
     return rows, found.dropDuplicates(["row"])
 
 
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_removed, kept_sha256, removed spans."""
     rows, found = repeated(docs, id_col, text_col, window)
-    kept = found.select("row", "n_removed", "removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+    kept = found.select("row", "n_removed", "removed", "kept")
     return rows.select("row", "id", "n_words", "sha").join(kept, "row", "left").select(
         F.col("id").alias(id_col),
         "n_words",
         F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
-        F.coalesce("kept_sha256", "sha").alias("kept_sha256"),
+        F.lower(F.hex(F.coalesce("kept", "sha"))).alias("kept_sha256"),
         F.coalesce("removed", F.array().cast("array<struct<begin: long, end: long>>")).alias("removed"),
     )
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """``docs`` without repeated words; same columns. Texts that lose none stay as they
+    are, the kept words of the others are joined by one space."""
+    rows, found = repeated(docs, id_col, text_col, window, texts=True)
+    # rows that share id and text lose the same words
+    cut = found.join(rows.select("row", "id", "text_key"), "row").select(
+        F.col("id").alias("_id"), F.col("text_key").alias("_key"), F.col("kept").cast("string").alias("_kept")
+    ).dropDuplicates(["_id", "_key"])
+    marked = docs.withColumn("_own", F.xxhash64(F.col(text_col)))
+    joined = marked.join(cut, marked[id_col].eqNullSafe(cut["_id"]) & (marked["_own"] == cut["_key"]), "left")
+    text = F.coalesce("_kept", marked[text_col])
+    return joined.select(*[text.alias(c) if c == text_col else marked[c] for c in docs.columns])

@@ -146,6 +146,10 @@ def test_passages_of_odd_rows(docs):
     found = dicts(substrings.removals(docs((4, text, "s"), (4, text, "s"), (None, text, "s"))))
     assert sorted((str(r["doc_id"]), r["n_removed"]) for r in found) == [("4", 0), ("4", 0), ("None", 60)]
     assert substrings.removals(docs().limit(0)).count() == 0
+    table = docs((1, text, "s"), (2, "head\n" + text + "  tail", "s"), (3, "a  b", None), (None, None, "s"))
+    kept = substrings.without_repeats(table)
+    assert kept.columns == table.columns
+    assert {r["doc_id"]: r["text"] for r in dicts(kept)} == {1: text, 2: "head tail", 3: "a  b", None: None}
 
 
 # -- packing
