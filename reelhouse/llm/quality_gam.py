@@ -202,7 +202,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield out.assign(y=frame["y"].to_numpy(), id=frame["doc_id"].astype(str).to_numpy())
 
     rows = (
-        docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_id"])
+        docs.select("doc_id", "text")
+        .join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
         .select("doc_id", "text", "y")
         .mapInPandas(described, ", ".join(f"{c} double" for c in [*columns, "y"]) + ", id string")
         .toPandas()
