@@ -48,8 +48,9 @@ def source_rates(
     settled = weighted.withColumn("level", level).withColumn(
         "level", F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level"))
     )
-    lowest = F.min("level").over(every)
-    target = F.least(F.col("cap"), F.coalesce(lowest * F.col("weight"), F.col("cap")))
+    # of the levels that fit, later ones hold back sources that need not be
+    highest = F.max("level").over(every)
+    target = F.least(F.col("cap"), F.coalesce(highest * F.col("weight"), F.col("cap")))
     return settled.select("source", "source_size", target.alias("target")).withColumn(
         "rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     )

@@ -161,7 +161,7 @@ SQL = {
         ),
         t as (
             select source, source_size, least(cap, coalesce(
-                min(case when level <= cap / weight then level end) over () * weight, cap)) as target
+                max(case when level <= cap / weight then level end) over () * weight, cap)) as target
             from l
         ),
         r as (select *, case when source_size > 0 then target / source_size else 0 end as rate from t)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 
@@ -112,6 +113,26 @@ def test_targets_settle(spark):
     assert found["b"]["target"] == pytest.approx(1.5 * 1360 - 720)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_targets_against_resharing(spark, seed):
+    rng = random.Random(seed)
+    sizes = {f"s{k:02}": rng.choice([0, 3, 1000]) + rng.randrange(2000) for k in range(23)}
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sorted(sizes))}
+    target, free, left = {}, set(sizes), 1.5 * sum(sizes.values())
+    while free:
+        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = {s for s in free if share[s] > 2 * sizes[s]}
+        if not over:
+            target |= share
+            break
+        target |= {s: 2 * sizes[s] for s in over}
+        left -= sum(2 * sizes[s] for s in over)
+        free -= over
+    table = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    found = {r["source"]: r["target"] for r in dicts(mixing.source_rates(table))}
+    assert found == pytest.approx(target)
+
+
 def test_mix(docs):
     rows = [(i, PROSE, "a" if i % 3 else "b") for i in range(600)] + [(700, None, None), (None, "x y", None), (701, "", "b")]
     table = docs(*rows)
