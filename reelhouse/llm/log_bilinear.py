@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from reelhouse.llm.text import fold, stored
 
-#: Words whose counts are broadcast.
+#: At most so many words, the most frequent ones, are broadcast with their counts.
 FREQUENT = 200_000
 #: Classes of single words, and classes of words with like endings.
 SINGLE, SHARED = 447, 64
@@ -115,7 +115,11 @@ def vocabulary(counts: DataFrame, frequent: int = FREQUENT) -> Vocabulary:
         F.sum("c").alias("n"), F.count("word").alias("v"), F.sum(F.when(F.col("word") == END, F.col("c"))).alias("ends")
     ).first()
     proper = counts.where(F.col("word") != END)
-    top = proper.orderBy(F.desc("c"), "word").limit(frequent).toPandas()
+    # the least count that keeps the bound, from a histogram of a few thousand rows
+    step = F.floor(F.log2("c") * 64)
+    steps = proper.groupBy(step.alias("step")).count().toPandas().sort_values("step", ascending=False)
+    fitting = steps["step"][steps["count"].cumsum() <= frequent]
+    top = proper.where(step >= int(fitting.min()) if len(fitting) else F.lit(False)).toPandas()
     top = top.sort_values(["c", "word"], ascending=[False, True])
     ending = F.substring(F.regexp_replace("word", r"[.,;:!?]+\z", ""), -2, 2)
     per_class = proper.groupBy((F.crc32(ending.cast("binary")) % SHARED).alias("k")).agg(
