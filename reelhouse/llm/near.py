@@ -307,9 +307,9 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
             across = one.join(two, "node").where("a < b and ca != cb").select("a", "b").distinct()
             links = links.unionByName(found).unionByName(confirm(_supported(across, reps)))
             break
-        links = links.unionByName(found)
         large = large.select("node", "row")
         if large.isEmpty():
+            links = links.unionByName(found)
             break
         # the first branch is always taken, the second on two levels and then by one path in three
         paths = F.when(
@@ -322,9 +322,12 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
             .select("row", F.xxhash64("node", "branch", _token(F.col("at"))).alias("node"))
         )
         crowd = stored(_crowded(branched), "near-nodes")
-        links = stored(links.unionByName(to_pivots(crowd)), "near-links")
-        classes = smallest_reachable(links)
+        # smaller nodes are compared in place next
+        found = found.unionByName(to_pivots(crowd.where(F.col("n") > SMALL)))
         crowd = crowd.select("node", "row")
+        if not found.isEmpty():
+            links = stored(links.unionByName(found), "near-links")
+            classes = smallest_reachable(links)
     return rows, links
 
 
