@@ -29,16 +29,17 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def smallest_reachable(links: DataFrame) -> DataFrame:
     """(row, class) of every end of ``links`` (a, b): the smallest row it reaches."""
-    edges = links.where("a != b").select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-    ).distinct()
-    edges = stored(edges, "links")
-    state = None
+    def told(edges: DataFrame):
+        return edges.agg(F.count("u"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+    greater, least = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
+    edges = stored(links.where("a != b").select(greater, least).distinct(), "links")
+    state = told(edges)
     while True:
-        edges = stored(_star(_star(edges, True).where("u != v").distinct(), False).where("u != v").distinct(), "links")
-        now = edges.agg(F.count("u"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
+        # repeated edges between the two stars do no harm
+        edges = stored(_star(_star(edges, True).where("u != v"), False).where("u != v").distinct(), "links")
+        before, state = state, told(edges)
+        if state == before:
             break
-        state = now
     heads = edges.select(F.col("v").alias("row")).distinct().withColumn("class", F.col("row"))
     return stored(edges.select(F.col("u").alias("row"), F.col("v").alias("class")).unionByName(heads).distinct(), "classes")

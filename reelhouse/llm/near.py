@@ -150,65 +150,97 @@ def _supported(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return sized.where(possible).where(enough("ta", "tb")).select("a", "b")
 
 
-def _compared(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) between classes within nodes of bounded size.
+def _supported_at(rows: list[np.ndarray], k: int) -> np.ndarray:
+    """Earlier members of a node that member ``k`` may be linked with, likeliest first."""
+    _, classes, sizes, tokens = rows[:4]
+    other = np.flatnonzero(classes[:k] != classes[k])
+    if len(other):
+        near = (100 * sizes[other] >= PERCENT * sizes[k]) & (100 * sizes[k] >= PERCENT * sizes[other])
+        other = other[near]
+    equal = (tokens[other] == tokens[k]).sum(1)
+    return other[np.argsort(-equal, kind="stable")][: int((equal >= SUPPORT).sum())]
+
+
+def _promising(rows: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """(row, 0) of the members that the embedding gives a partner of another class."""
+    found = np.zeros(len(rows[0]), bool)
+    for k in range(1, len(found)):
+        partners = _supported_at(rows, k)
+        found[partners] = True
+        found[k] |= bool(len(partners))
+    for k in np.flatnonzero(found):
+        yield rows[0][k], 0
+
+
+def _links(rows: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Links between members of different classes; a link joins its classes."""
+    sets: dict[int, np.ndarray] = {}
+
+    def full(k: int) -> np.ndarray:
+        if k not in sets:
+            sets[k] = shingles.shingle_set(rows[4][k], SIZE)
+        return sets[k]
+
+    rows[1] = classes = rows[1].copy()
+    for k in range(1, len(classes)):
+        for at in _supported_at(rows, k):
+            if classes[at] == classes[k]:
+                continue
+            left, right = full(at), full(k)
+            both = len(np.intersect1d(left, right, assume_unique=True))
+            if 100 * both >= PERCENT * (len(left) + len(right) - both):
+                classes[classes == classes[at]] = classes[k]
+                yield min(rows[0][at], rows[0][k]), max(rows[0][at], rows[0][k])
 
-    ``nodes`` has node, row, class, n_shingles, tokens. A node's members are brought
-    together; pairs of different classes that the embedding supports are compared on
-    full sets, and a link joins its classes, so that no node gives more links than
-    it has members.
-    """
 
-    def compare(rows, classes, sizes, tokens, text):
-        found: dict[int, np.ndarray] = {}
+def _by_node(nodes: DataFrame, judge, out: str) -> DataFrame:
+    """What ``judge`` gives for every node, whose members are brought together.
 
-        def full(k: int) -> np.ndarray:
-            if k not in found:
-                found[k] = shingles.shingle_set(text[k], SIZE)
-            return found[k]
+    ``nodes`` has node, row, class, n_shingles, tokens and perhaps text. The result has
+    the node and two numbers, named by ``out``.
+    """
 
-        classes = classes.copy()
-        for k in range(1, len(rows)):
-            other = np.flatnonzero(classes[:k] != classes[k])
-            if not len(other):
-                continue
-            near = (100 * sizes[other] >= PERCENT * sizes[k]) & (100 * sizes[k] >= PERCENT * sizes[other])
-            other = other[near]
-            equal = (tokens[other] == tokens[k]).sum(1)
-            for at in other[np.argsort(-equal, kind="stable")][: int((equal >= SUPPORT).sum())]:
-                if classes[at] == classes[k]:
-                    continue
-                left, right = full(at), full(k)
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                if 100 * both >= PERCENT * (len(left) + len(right) - both):
-                    classes[classes == classes[at]] = classes[k]
-                    yield min(rows[at], rows[k]), max(rows[at], rows[k])
-
-    def by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, found = None, []
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
-                columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
-                tokens = np.frombuffer(b"".join(batch.column(4).to_pylist()), "<u4").reshape(-1, COORDINATES)
-                text = np.array(batch.column(5).to_pylist(), object)
-                new = [*columns, tokens, text]
+                new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
+                tokens = b"".join(batch.column(4).to_pylist())
+                new.append(np.frombuffer(tokens, "<u4").reshape(-1, COORDINATES))
+                if batch.num_columns > 5:
+                    new.append(np.array(batch.column(5).to_pylist(), object))
                 held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
             if held is None or not len(held[0]):
                 continue
             edges = np.flatnonzero(np.diff(held[0])) + 1
             # the last node may go on in the next batch
             parts = [0, *edges, len(held[0])] if batch is None else [0, *edges]
-            for a, b in zip(parts, parts[1:], strict=False):
-                found += compare(*[x[a:b] for x in held[1:]])
+            found = [
+                (held[0][a], *pair)
+                for a, b in zip(parts, parts[1:], strict=False)
+                for pair in judge([x[a:b] for x in held[1:]])
+            ]
             held = [x[parts[-1] :] for x in held]
             if found:
-                pairs = np.array(found, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-                found = []
+                columns = np.array(found, np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["node", *out.split()])
 
-    whole = nodes.join(texts, "row").select("node", "row", "class", "n_shingles", "tokens", "text")
-    together = whole.repartition("node").sortWithinPartitions("node")
-    return together.mapInArrow(by_node, "a long, b long").distinct()
+    together = nodes.repartition("node").sortWithinPartitions("node")
+    return together.mapInArrow(judged, ", ".join(f"{name} long" for name in ("node", *out.split())))
+
+
+def _compared(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between classes within nodes of bounded size.
+
+    ``nodes`` has node, row, class, n_shingles, tokens. Members that the embedding gives
+    a partner of another class come together once more with their texts, and those
+    pairs are compared on full sets. No node gives more links than it has members.
+    """
+    nodes = stored(nodes.select("node", "row", "class", "n_shingles", "tokens"), "near-members")
+    some = _by_node(nodes, _promising, "row zero").select("node", "row")
+    whole = nodes.join(stored(some, "near-promising"), ["node", "row"]).join(texts, "row")
+    columns = ["node", "row", "class", "n_shingles", "tokens", "text"]
+    return _by_node(whole.select(columns), _links, "a b").select("a", "b").distinct()
 
 
 def _bounded(open_nodes: DataFrame) -> DataFrame:
