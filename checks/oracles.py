@@ -79,7 +79,7 @@ videos as (
   select cast(o_orderkey as varchar) as video_id,
          o_orderpriority || ' #' || o_orderkey as title,
          cast(o_custkey as varchar) as channel_id, c_name as channel_title,
-         cast(c_nationkey as varchar) as category_id, o_orderdate as published_at,
+         cast(c_nationkey + case when o_orderkey % 12 = 0 then 900 else 0 end as varchar) as category_id, o_orderdate as published_at,
          'status ' || o_orderstatus as description, 'PT' || line_count || 'M' as duration,
          cast(coalesce(floor(quantity / 10), 0) as integer) as tag_count,
          cast(floor(o_totalprice) as bigint) as views, cast(floor(quantity) as bigint) as likes,
@@ -103,7 +103,7 @@ combined as (
 categories as (
   select cast(n_nationkey as varchar) as category_id, n_name as category_name,
          n_regionkey <> 0 as assignable
-  from nation where n_regionkey <> 4),
+  from nation),
 gold as (
   select m.*, category_name from ({_metrics('combined')}) m
   left join categories using (category_id)),
