@@ -150,14 +150,24 @@ def _supported(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return sized.where(possible).where(enough("ta", "tb")).select("a", "b")
 
 
+#: What a node's comparison knows of a member: ``tree`` is the tree of a node of the
+#: first level (later nodes: 0), ``apart`` has a bit for every tree whose first node was
+#: too large to be compared.
+MEMBER = ["node", "row", "class", "n_shingles", "tree", "apart", "tokens"]
+
+
 def _supported_at(rows: list[np.ndarray], k: int) -> np.ndarray:
     """Earlier members of a node that member ``k`` may be linked with, likeliest first."""
-    _, classes, sizes, tokens = rows[:4]
+    _, classes, sizes, tree, apart, tokens = rows[:6]
     other = np.flatnonzero(classes[:k] != classes[k])
     if len(other):
         near = (100 * sizes[other] >= PERCENT * sizes[k]) & (100 * sizes[k] >= PERCENT * sizes[other])
         other = other[near]
-    equal = (tokens[other] == tokens[k]).sum(1)
+    same = tokens[other] == tokens[k]
+    equal = same.sum(1)
+    # a pair that an earlier tree has in a node it compares is left to that node
+    met = same[:, : tree[k]] & ((apart[k] >> np.arange(tree[k])) & 1 == 0)
+    equal[met.any(1)] = 0
     return other[np.argsort(-equal, kind="stable")][: int((equal >= SUPPORT).sum())]
 
 
@@ -178,7 +188,7 @@ def _links(rows: list[np.ndarray]) -> Iterator[tuple[int, int]]:
 
     def full(k: int) -> np.ndarray:
         if k not in sets:
-            sets[k] = shingles.shingle_set(rows[4][k], SIZE)
+            sets[k] = shingles.shingle_set(rows[6][k], SIZE)
         return sets[k]
 
     rows[1] = classes = rows[1].copy()
@@ -196,19 +206,19 @@ def _links(rows: list[np.ndarray]) -> Iterator[tuple[int, int]]:
 def _by_node(nodes: DataFrame, judge, out: str) -> DataFrame:
     """What ``judge`` gives for every node, whose members are brought together.
 
-    ``nodes`` has node, row, class, n_shingles, tokens and perhaps text. The result has
-    the node and two numbers, named by ``out``.
+    ``nodes`` has the columns ``MEMBER`` and perhaps text. The result has the node and two
+    numbers, named by ``out``.
     """
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
-                new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
-                tokens = b"".join(batch.column(4).to_pylist())
+                new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(6)]
+                tokens = b"".join(batch.column(6).to_pylist())
                 new.append(np.frombuffer(tokens, "<u4").reshape(-1, COORDINATES))
-                if batch.num_columns > 5:
-                    new.append(np.array(batch.column(5).to_pylist(), object))
+                if batch.num_columns > 7:
+                    new.append(np.array(batch.column(7).to_pylist(), object))
                 held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
             if held is None or not len(held[0]):
                 continue
@@ -232,15 +242,14 @@ def _by_node(nodes: DataFrame, judge, out: str) -> DataFrame:
 def _compared(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) between classes within nodes of bounded size.
 
-    ``nodes`` has node, row, class, n_shingles, tokens. Members that the embedding gives
-    a partner of another class come together once more with their texts, and those
-    pairs are compared on full sets. No node gives more links than it has members.
+    ``nodes`` has the columns ``MEMBER``. Members that the embedding gives a partner of
+    another class come together once more with their texts, and those pairs are
+    compared on full sets. No node gives more links than it has members.
     """
-    nodes = stored(nodes.select("node", "row", "class", "n_shingles", "tokens"), "near-members")
+    nodes = stored(nodes.select(MEMBER), "near-members")
     some = _by_node(nodes, _promising, "row zero").select("node", "row")
     whole = nodes.join(stored(some, "near-promising"), ["node", "row"]).join(texts, "row")
-    columns = ["node", "row", "class", "n_shingles", "tokens", "text"]
-    return _by_node(whole.select(columns), _links, "a b").select("a", "b").distinct()
+    return _by_node(whole.select(*MEMBER, "text"), _links, "a b").select("a", "b").distinct()
 
 
 def _bounded(open_nodes: DataFrame) -> DataFrame:
@@ -250,13 +259,13 @@ def _bounded(open_nodes: DataFrame) -> DataFrame:
     some members of the main class and all others, so every pair of different classes
     meets, and the rows grow by less than the node has.
     """
-    small = open_nodes.where(F.col("n") <= SMALL).select("node", "row", "class")
+    small = open_nodes.where(F.col("n") <= SMALL).select("node", "row", "class", "tree")
     lopsided = open_nodes.where((F.col("n") > SMALL) & (F.col("n") - F.col("most") <= SMALL))
     parts = F.ceil(F.col("most") / SMALL)
     of_main = F.array(F.pmod(F.xxhash64("row"), parts))
     spread = F.when(F.col("class") == F.col("main"), of_main).otherwise(F.sequence(F.lit(0).cast("long"), parts - 1))
     cut_up = lopsided.withColumn("part", F.explode(spread)).select(
-        F.xxhash64("node", "part").alias("node"), "row", "class"
+        F.xxhash64("node", "part").alias("node"), "row", "class", "tree"
     )
     return small.unionByName(cut_up)
 
@@ -288,7 +297,7 @@ def _across(entries: DataFrame, classes: DataFrame) -> DataFrame:
         .where("classes > 1")
         .select("node", "n", F.col("top.k").alias("most"), F.col("top.class").alias("main"))
     )
-    return known.select("node", "row", "class").join(nodes, "node")
+    return known.select("node", "row", "class", "tree").join(nodes, "node")
 
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -305,7 +314,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
 
     trees = F.explode(F.array([F.struct(F.lit(t).alias("t"), _token(F.lit(t)).alias("v")) for t in range(TREES)]))
     entries = reps.select("row", trees.alias("x")).select(
-        "row", F.xxhash64(F.lit("tree"), F.col("x.t"), F.col("x.v")).alias("node")
+        "row", F.col("x.t").alias("tree"), F.xxhash64(F.lit("tree"), F.col("x.t"), F.col("x.v")).alias("node")
     )
     crowd = stored(_crowded(entries), "near-nodes")
     # every later pair is between documents that share a node of the first level
@@ -324,15 +333,21 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
 
     links = to_pivots(crowd)
     classes = smallest_reachable(links)
-    crowd = crowd.select("node", "row")
+    crowd = crowd.select("node", "row", "tree")
+    apart = None
     for level in range(DEPTH + 1):
         open_nodes = stored(_across(crowd, classes), "near-open")
         if open_nodes.isEmpty():
             break
         texts = stored(texts.join(open_nodes.select("row").distinct(), "row", "left_semi"), "near-texts")
+        large = open_nodes.where((F.col("n") > SMALL) & (F.col("n") - F.col("most") > SMALL))
+        if apart is None:
+            apart = stored(
+                large.groupBy("row").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("apart")), "near-apart"
+            )
         nodes = _bounded(open_nodes).join(reps.select("row", "n_shingles", "tokens"), "row")
+        nodes = nodes.join(apart, "row", "left").withColumn("apart", F.coalesce("apart", F.lit(0).cast("long")))
         found = stored(_compared(nodes, texts), "near-links")
-        large = open_nodes.where((F.col("n") > SMALL) & (F.col("n") - F.col("most") > SMALL))
         if level == DEPTH:
             one = large.select("node", F.col("row").alias("a"), F.col("class").alias("ca"))
             two = large.select("node", F.col("row").alias("b"), F.col("class").alias("cb"))
@@ -351,12 +366,12 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
             large.join(reps.select("row", "tokens"), "row")
             .withColumn("branch", F.explode(paths))
             .withColumn("at", F.pmod(F.xxhash64("node", "branch"), F.lit(COORDINATES - TREES)).cast("int") + TREES)
-            .select("row", F.xxhash64("node", "branch", _token(F.col("at"))).alias("node"))
+            .select("row", F.lit(0).alias("tree"), F.xxhash64("node", "branch", _token(F.col("at"))).alias("node"))
         )
         crowd = stored(_crowded(branched), "near-nodes")
         # smaller nodes are compared in place next
         found = found.unionByName(to_pivots(crowd.where(F.col("n") > SMALL)))
-        crowd = crowd.select("node", "row")
+        crowd = crowd.select("node", "row", "tree")
         if not found.isEmpty():
             links = stored(links.unionByName(found), "near-links")
             classes = smallest_reachable(links)
