@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm.text import fold
+from reelhouse.llm.text import fold, short_batches
 
 UNKNOWN = "und"
 #: About so many training texts of each language, chosen by a hash of the id ...
@@ -326,6 +326,8 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
     learned, all do.
     """
 
+    short_batches(docs.sparkSession)
+
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         memory = Memory(model)

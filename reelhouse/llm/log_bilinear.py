@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm.text import fold, stored
+from reelhouse.llm.text import fold, short_batches, stored
 
 #: At most so many words, the most frequent ones, are broadcast with their counts.
 FREQUENT = 200_000
@@ -89,6 +89,8 @@ class Vocabulary(NamedTuple):
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, c): how often each token occurs in the texts of ``docs``, ends as ``END``."""
 
+    short_batches(docs.sparkSession)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
 

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from reelhouse.llm import shingles
 from reelhouse.llm.components import smallest_reachable
-from reelhouse.llm.text import stored
+from reelhouse.llm.text import short_batches, stored
 
 #: Linked when 100 x intersection >= PERCENT x union.
 PERCENT = 75
@@ -62,6 +62,7 @@ def embedding(found: np.ndarray) -> bytes:
 
 def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One narrow row per row of ``docs``: id, text hash, n_shingles, set hash, embedding."""
+    short_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     schema = T.StructType(
         [

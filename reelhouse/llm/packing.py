@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelhouse.llm.text import stored
+from reelhouse.llm.text import short_batches, stored
 
 LENGTH = 2048
 END_ID = 1
@@ -118,6 +118,7 @@ def pieces(
     text is empty and gives one piece that holds ``end_id`` alone. Repeated rows are
     cut each.
     """
+    short_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     schema = T.StructType(
         [T.StructField("doc_id", kind), *(T.StructField(n, t) for n, t in (

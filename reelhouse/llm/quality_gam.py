@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm.text import fold
+from reelhouse.llm.text import fold, short_batches
 
 #: At most so many labelled documents are learned from (the smallest by hash of the id).
 SAMPLE = 20_000
@@ -188,6 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     ``labels`` has doc_id and quality (0 or 1); rows with nulls are passed over, and
     so are ids without a document. ``sample`` bounds the ids, so they are broadcast.
     """
+    short_batches(docs.sparkSession)
     chosen = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 5) != 0))
         .select(F.col("doc_id").alias("_id"), F.col("quality").cast("double").alias("y"))
@@ -215,6 +216,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score``; null and empty texts are scored like any other."""
 
+    short_batches(docs.sparkSession)
+
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in texts:

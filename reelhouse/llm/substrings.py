@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelhouse.llm import shingles
-from reelhouse.llm.text import stored
+from reelhouse.llm.text import short_batches, stored
 
 WINDOW = 50
 _SLICE = 500
@@ -69,6 +69,7 @@ def runs(words: list[bytes], window: int) -> tuple[np.ndarray, ...]:
 
 def _described(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     """One row per row of ``docs``: id, text hash, n_words, hash of its words, its runs."""
+    short_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     hashes, places = T.ArrayType(T.LongType()), T.ArrayType(T.IntegerType())
     schema = T.StructType(

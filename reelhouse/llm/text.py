@@ -44,6 +44,12 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Sends texts to Python in batches of few rows, for this session: texts are long,
+    and a worker keeps the memory of its largest batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder.
 
