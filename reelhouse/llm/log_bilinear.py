@@ -1,24 +1,29 @@
 """Language model scores: log-bilinear model with noise-contrastive estimation.
 
-The model predicts the class of a token from the classes of the two before it:
-frequent words are classes of their own, all others share classes by ending. The
-logit of a class is a bilinear form of its vector with a weighted sum of context
-vectors, plus a bias; a word within a shared class has its smoothed share of that
-class. Scores are normalised: over all classes, and within classes over the words
-counted plus one for unknown words.
+The model predicts a token from the two before it, in two steps. The most frequent
+words are classes of their own, all others share classes by ending; the logit of a
+class is a bilinear form of its vector with a weighted sum of context vectors, plus
+a bias. Within a shared class, a Huffman tree of binary decisions leads to the word:
+each node has a vector and a bias. Every word counted ``LEAST_OWN`` times, up to the
+bound ``FREQUENT``, has a leaf and a context vector of its own, so the vectors follow
+the training texts. The words below share one leaf and context vector per class, and
+have their smoothed shares of that leaf. Scores are normalised: over all classes, at
+each node, and within such a leaf over the words counted plus one for unknown words.
 
 Counts of words come from all training documents, by one distributed aggregation.
 So does the model: it starts from a short driver run on a bounded sample, every
-task of a pass over all training documents then trains its own copy with noise
-samples, and the copies are averaged by tokens in an aggregation.
+task of a pass over all training documents then trains its own copy, classes with
+noise samples and nodes exactly, and an aggregation averages each vector over the
+copies by how often they used it.
 
 Scoring multiplies the vectors of distinct contexts with those of all classes, in
-batches, and remembers the normalisers. Only the words beyond ``FREQUENT`` need
+batches, and remembers the normalisers of pairs of classes. Only the words beyond ``FREQUENT`` need
 their counts by a join; the more frequent ones, a bounded table, are broadcast.
 """
 
 from __future__ import annotations
 
+import heapq
 import itertools
 import zlib
 from collections import Counter
@@ -34,6 +39,8 @@ from reelhouse.llm.text import fold, short_batches, stored
 
 #: At most so many words, the most frequent ones, are broadcast with their counts.
 FREQUENT = 200_000
+#: A word counted so often has vectors of its own, if it is among the frequent ones.
+LEAST_OWN = 5
 #: Classes of single words, and classes of words with like endings.
 SINGLE, SHARED = 447, 64
 CLASSES = 1 + SINGLE + SHARED  # the first is the end of a text
@@ -44,6 +51,8 @@ BATCH = 2048
 WARM_TEXTS = 200
 #: Distinct words counted in a task before it passes them on.
 COUNTED = 300_000
+#: Vectors that tasks pass on together to be averaged; below 257.
+BLOCK = 256
 _SLICE = 500
 END = ""  # no word is empty
 
@@ -71,6 +80,9 @@ class Vocabulary(NamedTuple):
     distinct: int  # V
     class_tokens: np.ndarray
     class_words: np.ndarray
+    own: int  # the first so many words have vectors of their own
+    rest_tokens: np.ndarray  # of each class, without the words that have their own
+    rest_words: np.ndarray
 
     def lookup(self) -> dict[str, int]:
         return {w: k for k, w in enumerate(self.words)}
@@ -81,9 +93,26 @@ class Vocabulary(NamedTuple):
         return np.array([*range(singles), *map(shared_class, self.words[singles:])], np.int64)
 
     def within(self) -> np.ndarray:
-        """log10 of the denominator of each class's words; 0 for single classes."""
-        shared = self.class_tokens + 0.5 * (self.class_words + 1)
-        return np.where(np.arange(CLASSES) > SINGLE, np.log10(np.maximum(shared, 0.5)), 0.0)
+        """log10 of the denominator of each class's words without own vectors; 0 for single classes."""
+        return np.where(np.arange(CLASSES) > SINGLE, np.log10(np.maximum(self.rest(), 0.5)), 0.0)
+
+    def rest(self) -> np.ndarray:
+        """Smoothed tokens of each class's words without own vectors, the unknown one included."""
+        return self.rest_tokens + 0.5 * (self.rest_words + 1)
+
+    def below(self, rows: np.ndarray) -> np.ndarray:
+        """Which tokens have vectors of their own below a shared class."""
+        return (rows > SINGLE) & (rows < self.own)
+
+    def before(self, rows: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """Row of each token's vector as context: after the classes and the one before a text."""
+        return np.where(self.below(rows), rows + (CLASSES - SINGLE), kinds)
+
+    def leaves(self, rows: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """Leaf of each token; -1 for single classes."""
+        n = max(self.own - SINGLE - 1, 0)
+        rest = np.where(kinds > SINGLE, kinds + (n - SINGLE - 1), -1)
+        return np.where(self.below(rows), rows - (SINGLE + 1), rest)
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -137,7 +166,57 @@ def vocabulary(counts: DataFrame, frequent: int = FREQUENT) -> Vocabulary:
         held[shared_class(word)] -= c
         kinds[shared_class(word)] -= 1
     number = np.array([total["ends"] or 0, *top["c"]], np.int64)
-    return Vocabulary([END, *top["word"]], number, total["n"] or 0, total["v"], held, kinds)
+    own = 1 + max(int((top["c"] >= LEAST_OWN).sum()), min(SINGLE, len(top)))
+    rest, others = held.copy(), kinds.copy()
+    for word, c in zip(top["word"][SINGLE : own - 1], top["c"][SINGLE : own - 1], strict=True):
+        rest[shared_class(word)] -= c
+        others[shared_class(word)] -= 1
+    return Vocabulary([END, *top["word"]], number, total["n"] or 0, total["v"], held, kinds, own, rest, others)
+
+
+class Tree(NamedTuple):
+    """The nodes above each leaf, and the direction taken there: 1 or -1."""
+
+    start: np.ndarray  # leaves + 1
+    nodes: np.ndarray
+    signs: np.ndarray
+    bias: np.ndarray  # of each node: the log odds of its sides
+
+    def paths(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position in ``leaves``, node, sign) of all decisions on the way to ``leaves``."""
+        begin, steps = self.start[leaves], self.start[leaves + 1] - self.start[leaves]
+        at = np.arange(steps.sum()) + np.repeat(begin - (steps.cumsum() - steps), steps)
+        return np.repeat(np.arange(len(leaves)), steps), self.nodes[at], self.signs[at]
+
+
+def huffman(words: Vocabulary) -> Tree:
+    """A tree for each shared class: its words with own vectors, and one leaf for the rest."""
+    kinds = words.classes()[SINGLE + 1 : words.own]
+    weights = [*words.counts[SINGLE + 1 : words.own].tolist(), *words.rest()[SINGLE + 1 :].tolist()]
+    n = len(weights)
+    member = np.append(kinds - (SINGLE + 1), np.arange(SHARED))
+    up, sign, odds = np.full(2 * n, -1), np.zeros(2 * n, np.int8), []
+    for k in range(SHARED):
+        heap = [(weights[leaf], leaf) for leaf in np.flatnonzero(member == k).tolist()]
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            (light, a), (heavy, b) = heapq.heappop(heap), heapq.heappop(heap)
+            node = n + len(odds)
+            up[a] = up[b] = node
+            sign[a], sign[b] = -1, 1
+            odds.append(np.log(heavy / light))
+            heapq.heappush(heap, (light + heavy, node))
+    found, at = [], np.arange(n)
+    leaf = at
+    while len(at):
+        go = up[at] >= 0
+        leaf, at = leaf[go], at[go]
+        found.append((leaf, up[at] - n, sign[at]))
+        at = up[at]
+    leaf, nodes, signs = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(leaf, kind="stable")
+    start = np.concatenate([[0], np.bincount(leaf, minlength=n).cumsum()])
+    return Tree(start.astype(np.int32), nodes[order].astype(np.int32), signs[order].astype(np.int8), np.array(odds, np.float32))
 
 
 # -- the model
@@ -145,51 +224,90 @@ def vocabulary(counts: DataFrame, frequent: int = FREQUENT) -> Vocabulary:
 
 class Model(NamedTuple):
     target: np.ndarray  # classes x vector
-    context: np.ndarray  # (classes + 1) x vector; the last is before the text
+    context: np.ndarray  # classes, what is before the text, and words with own vectors
     near: np.ndarray  # weight of the last token's vector, per dimension
     far: np.ndarray
     bias: np.ndarray
+    node: np.ndarray  # nodes x vector
+    node_bias: np.ndarray
 
     def log_normaliser(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         scores = (self.context[one] * self.near + self.context[two] * self.far) @ self.target.T + self.bias
         top = scores.max(1)
-        return top + np.log(np.exp(scores - top[:, None]).sum(1))
+        scores -= top[:, None]
+        return top + np.log(np.exp(scores, out=scores).sum(1))
 
     def logit(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         hidden = self.context[one] * self.near + self.context[two] * self.far
         return (hidden * self.target[token]).sum(1) + self.bias[token]
 
+    def log_path(self, tree: Tree, leaves: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Log probability of each leaf within its class."""
+        hidden = self.context[one] * self.near + self.context[two] * self.far
+        owner, node, sign = tree.paths(leaves)
+        score = np.einsum("ij,ij->i", hidden[owner], self.node[node]) + self.node_bias[node]
+        return np.bincount(owner, -np.log1p(np.exp(np.clip(-sign * score, -30, 30))), len(leaves))
 
-def fresh(class_tokens: np.ndarray, seed: int = 0) -> Model:
-    """A model that knows the frequencies of classes only."""
+
+def fresh(words: Vocabulary, tree: Tree, seed: int = 0) -> Model:
+    """A model that knows the frequencies of classes and words only."""
+    class_tokens = words.class_tokens
     rng = np.random.default_rng(seed)
     draw = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
     share = (class_tokens + 0.5) / (class_tokens + 0.5).sum()
     ones = np.ones(VECTOR, np.float32)
-    return Model(draw(CLASSES, VECTOR), draw(CLASSES + 1, VECTOR), ones, ones * 0.5, np.log(share).astype(np.float32))
+    below = max(words.own - SINGLE - 1, 0)
+    return Model(
+        draw(CLASSES, VECTOR), draw(CLASSES + 1 + below, VECTOR), ones, ones * 0.5, np.log(share).astype(np.float32),
+        np.zeros((len(tree.bias), VECTOR), np.float32), tree.bias.copy(),
+    )
 
 
-def _gathered(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sum of the rows of each index."""
-    order = np.argsort(index, kind="stable")
+def _summed(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each index once, the sum of its rows, and their number."""
+    order = np.argsort(index)
     sorted_index = index[order]
     begin = np.flatnonzero(np.concatenate([[True], sorted_index[1:] != sorted_index[:-1]]))
+    return sorted_index[begin], np.add.reduceat(rows[order], begin, axis=0), np.diff(begin, append=len(index))
+
+
+def _gathered(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the rows of each index."""
+    at, sums, _ = _summed(index, rows)
     out = np.zeros((n, rows.shape[1]), rows.dtype)
-    out[sorted_index[begin]] = np.add.reduceat(rows[order], begin, axis=0)
+    out[at] = sums
     return out
 
 
 class Trainer:
-    """Noise-contrastive steps by AdaGrad; a batch shares its noise samples."""
+    """Steps by AdaGrad, noise-contrastive for classes; a batch shares its noise samples.
 
-    def __init__(self, model: Model, noise: np.ndarray, seed: int, rate: float = 0.1):
-        self.parts = [x.astype(np.float32).copy() for x in model]
-        self.squares = [np.full_like(x, 1e-2) for x in self.parts]
+    Of contexts and nodes, a batch touches only the rows it uses, with one step size
+    per row; ``used`` counts how often.
+    """
+
+    def __init__(self, model: Model, tree: Tree, noise: np.ndarray, seed: int, rate: float = 0.1):
+        self.parts = Model(*[x.astype(np.float32).copy() for x in model])
+        self.tree = tree
+        self.dense = [self.parts.target, self.parts.near, self.parts.far, self.parts.bias]
+        self.squares = [np.full_like(x, 1e-2) for x in self.dense]
+        self.sparse = {k: np.full(len(getattr(model, k)), 0.1, np.float32) for k in ("context", "node")}
+        self.used = {k: np.zeros(len(x), np.int64) for k, x in self.sparse.items()}
         self.noise, self.log_noise = noise, np.log(NOISE * noise).astype(np.float32)
         self.rng, self.rate, self.tokens = np.random.default_rng(seed), rate, 0
 
-    def step(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
-        target, context, near, far, bias = self.parts
+    def _touch(self, kind: str, index: np.ndarray, grads: np.ndarray) -> None:
+        """A step for the rows of ``kind``; a further column of ``grads`` is for the bias."""
+        rows, grad, times = _summed(index, grads)
+        self.sparse[kind][rows] += np.einsum("ij,ij->i", grad, grad) / grad.shape[1]
+        step = self.rate * grad / np.sqrt(self.sparse[kind][rows])[:, None]
+        getattr(self.parts, kind)[rows] += step[:, :VECTOR]
+        if kind == "node":
+            self.parts.node_bias[rows] += step[:, VECTOR]
+        self.used[kind][rows] += times
+
+    def step(self, token: np.ndarray, leaves: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
+        target, context, near, far, bias, nodes, node_bias = self.parts
         n = len(token)
         drawn = self.rng.choice(CLASSES, NOISE, p=self.noise)
         first, second = context[one], context[two]
@@ -203,17 +321,35 @@ class Trainer:
         np.add.at(d_target, drawn, down.T @ hidden)
         d_bias = np.bincount(token, up, CLASSES).astype(np.float32)
         np.add.at(d_bias, drawn, down.sum(0))
-        d_context = _gathered(one, d_hidden * near, CLASSES + 1) + _gathered(two, d_hidden * far, CLASSES + 1)
-        grads = [d_target, d_context, (d_hidden * first).sum(0), (d_hidden * second).sum(0), d_bias]
-        for part, square, grad in zip(self.parts, self.squares, grads, strict=True):
+        shared = np.flatnonzero(leaves >= 0)
+        owner, node, sign = self.tree.paths(leaves[shared])
+        if len(node):
+            owner = shared[owner]
+            own, seen = nodes[node], hidden[owner]
+            score = np.einsum("ij,ij->i", seen, own) + node_bias[node]
+            pull = sign / (1 + np.exp(np.clip(sign * score, -30, 30)))
+            begin = np.flatnonzero(np.diff(owner, prepend=-1))
+            own *= pull[:, None]
+            d_hidden[owner[begin]] += np.add.reduceat(own, begin, axis=0)
+            push = np.empty((len(node), VECTOR + 1), np.float32)
+            np.multiply(seen, pull[:, None], out=push[:, :VECTOR])
+            push[:, VECTOR] = pull
+            self._touch("node", node, push)
+        grads = [d_target, (d_hidden * first).sum(0), (d_hidden * second).sum(0), d_bias]
+        both = np.concatenate([d_hidden * near, d_hidden * far])
+        for part, square, grad in zip(self.dense, self.squares, grads, strict=True):
             grad = grad / np.float32(n) * 64
             square += grad * grad
             part += self.rate * grad / np.sqrt(square)
+        self._touch("context", np.concatenate([one, two]), both)
         self.tokens += n
 
-    def learn(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
-        for at in range(0, len(token), BATCH):
-            self.step(token[at : at + BATCH], one[at : at + BATCH], two[at : at + BATCH])
+    def learn(self, words: Vocabulary, rows: np.ndarray, kinds: np.ndarray, sizes: np.ndarray) -> None:
+        leaves = words.leaves(rows, kinds)
+        one, two = contexts(words.before(rows, kinds), sizes)
+        for at in range(0, len(kinds), BATCH):
+            part = slice(at, at + BATCH)
+            self.step(kinds[part], leaves[part], one[part], two[part])
 
 
 class Coder:
@@ -241,7 +377,7 @@ _MINUS = itertools.repeat(-1)
 
 
 def contexts(kinds: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of the last token and the one before; ``CLASSES`` before the text."""
+    """Context rows of the last token and the one before; ``CLASSES`` before the text."""
     one, two = np.roll(kinds, 1), np.roll(kinds, 2)
     first = sizes.cumsum() - sizes
     one[first] = CLASSES
@@ -253,43 +389,78 @@ def contexts(kinds: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def train(docs: DataFrame, words: Vocabulary, seed: int = 0) -> Model:
     """A model from all texts of ``docs``; with none, class frequencies alone."""
-    start = fresh(words.class_tokens, seed)
+    tree = huffman(words)
+    start = fresh(words, tree, seed)
     if not words.total:
         return start
     noise = (words.class_tokens + 0.5) / (words.class_tokens + 0.5).sum()
     sample = docs.where(F.length("text") <= 20_000).orderBy(F.xxhash64("doc_id"), "doc_id").select("text").limit(WARM_TEXTS)
-    first, coder = Trainer(start, noise, seed), Coder(words)
+    first, coder = Trainer(start, tree, noise, seed), Coder(words)
     texts = [r["text"] for r in sample.collect()]
     for _ in range(3):
-        _, kinds, _, sizes = coder.code(texts)
+        rows, kinds, _, sizes = coder.code(texts)
         if len(kinds):
-            first.learn(kinds, *contexts(kinds, sizes))
-    warm = Model(*first.parts)
-    shared = docs.sparkSession.sparkContext.broadcast((words, warm))
+            first.learn(words, rows, kinds, sizes)
+    warm = first.parts
+    shared = docs.sparkSession.sparkContext.broadcast((words, tree, warm))
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, model = shared.value
-        own, coder = Trainer(model, noise, seed + 1, rate=0.05), Coder(known)
+        known, paths, model = shared.value
+        own, coder = Trainer(model, paths, noise, seed + 1, rate=0.05), Coder(known)
         for batch in batches:
             for at in range(0, batch.num_rows, _SLICE):
-                _, kinds, _, sizes = coder.code(batch.column(0).slice(at, _SLICE).to_pylist())
-                own.learn(kinds, *contexts(kinds, sizes))
-        if own.tokens:
-            flat = np.concatenate([x.ravel() for x in own.parts]).astype(np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(flat))), pa.array(flat * own.tokens), pa.array(np.full(len(flat), float(own.tokens)))],
-                names=["k", "x", "n"],
-            )
-
-    # one row per parameter: as many as the model has, whatever the corpus
-    mean = docs.select("text").mapInArrow(refine, "k long, x double, n double").groupBy("k").agg(
-        (F.sum("x") / F.sum("n")).alias("x")
-    ).toPandas().sort_values("k")["x"].to_numpy(np.float32)
-    parts, at = [], 0
-    for x in warm:
-        parts.append(mean[at : at + x.size].reshape(x.shape))
-        at += x.size
-    return Model(*parts)
+                rows, kinds, _, sizes = coder.code(batch.column(0).slice(at, _SLICE).to_pylist())
+                own.learn(known, rows, kinds, sizes)
+        if not own.tokens:
+            return
+        moved, weight = _table(own.parts) - _table(model), np.full(_fixed(), own.tokens)
+        weight = np.concatenate([weight, own.used["context"], own.used["node"]]).astype(np.float32)
+        touched = np.flatnonzero(weight)
+        block = touched // BLOCK
+        for part in np.array_split(touched, np.flatnonzero(np.diff(block)) + 1):
+            packed = b"".join(x.tobytes() for x in ((part % BLOCK).astype(np.uint8), weight[part], moved[part]))
+            yield pa.RecordBatch.from_pydict({"block": pa.array([int(part[0]) // BLOCK]), "rows": pa.array([len(part)]), "packed": [packed]})
+
+    def average(batches: pa.Table) -> pa.Table:
+        weight, total = np.zeros(BLOCK), np.zeros((BLOCK, VECTOR + 1))
+        for n, packed in zip(batches["rows"].to_pylist(), batches["packed"].to_pylist(), strict=True):
+            at = np.frombuffer(packed, np.uint8, n)
+            times = np.frombuffer(packed[n : 5 * n], np.float32)
+            weight[at] += times
+            total[at] += times[:, None] * np.frombuffer(packed[5 * n :], np.float32).reshape(n, -1)
+        mean = (total / np.maximum(weight, 1)[:, None]).astype(np.float32)
+        return pa.table({"block": [batches["block"][0].as_py()], "packed": pa.array([mean.tobytes()], pa.binary())})
+
+    # as many rows as the model has blocks of vectors, whatever the corpus
+    moves = docs.select("text").mapInArrow(refine, "block long, rows long, packed binary").groupBy("block").applyInArrow(
+        average, "block long, packed binary"
+    ).toArrow()
+    shared.destroy()
+    table = _table(warm)
+    for block, packed in zip(moves["block"].to_pylist(), moves["packed"].to_pylist(), strict=True):
+        part = table[block * BLOCK : (block + 1) * BLOCK]
+        part += np.frombuffer(packed, np.float32).reshape(BLOCK, -1)[: len(part)]
+    return _model(table, len(warm.context))
+
+
+def _fixed() -> int:
+    """Rows of a model's table that every task uses: targets and the two weights."""
+    return CLASSES + 2
+
+
+def _table(model: Model) -> np.ndarray:
+    """All vectors of a model as rows, with their biases in a last column."""
+    rows = np.concatenate([model.target, [model.near, model.far], model.context, model.node])
+    bias = np.concatenate([model.bias, np.zeros(2 + len(model.context), np.float32), model.node_bias])
+    return np.column_stack([rows, bias]).astype(np.float32)
+
+
+def _model(table: np.ndarray, n_contexts: int) -> Model:
+    rows, bias, node = table[:, :VECTOR], table[:, VECTOR], _fixed() + n_contexts
+    return Model(
+        rows[:CLASSES].copy(), rows[_fixed() : node].copy(), rows[CLASSES].copy(), rows[CLASSES + 1].copy(),
+        bias[:CLASSES].copy(), rows[node:].copy(), bias[node:].copy(),
+    )
 
 
 def scored(docs: DataFrame, training: DataFrame) -> DataFrame:
@@ -301,11 +472,11 @@ def scored(docs: DataFrame, training: DataFrame) -> DataFrame:
     counts = count_words(training)
     words = vocabulary(counts)
     model = train(training, words)
-    shared = docs.sparkSession.sparkContext.broadcast((words, model))
+    shared = docs.sparkSession.sparkContext.broadcast((words, huffman(words), model))
     log_total = float(np.log10(words.total + 0.5 * (words.distinct + 1)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, lbl = shared.value
+        known, tree, lbl = shared.value
         coder, within = Coder(known), known.within()
         logs = np.append(np.log10(known.counts + 0.5), 0.0)  # row -1: added later, from the join
         seen = np.append(known.counts > 0, False)
@@ -314,16 +485,31 @@ def scored(docs: DataFrame, training: DataFrame) -> DataFrame:
             for at in range(0, whole.num_rows, _SLICE):
                 batch = whole.slice(at, _SLICE)
                 rows, kinds, names, sizes = coder.code(batch.column(1).to_pylist())
-                one, two = contexts(kinds, sizes)
-                codes = np.unique(one * (CLASSES + 1) + two)
+                one, two = contexts(known.before(rows, kinds), sizes)
+                norm, pair = np.empty(len(kinds), np.float32), (one <= CLASSES) & (two <= CLASSES)
+                codes = np.unique(one[pair] * (CLASSES + 1) + two[pair])
                 codes = codes[np.isnan(norms.ravel()[codes])]
-                for part in np.array_split(codes, max(1, len(codes) // 4096)):
+                for part in np.array_split(codes, max(1, len(codes) // 256)):
                     a, b = part // (CLASSES + 1), part % (CLASSES + 1)
                     norms[a, b] = lbl.log_normaliser(a, b)
-                chance = (lbl.logit(kinds, one, two) - norms[one, two]) / np.log(10)
+                norm[pair] = norms[one[pair], two[pair]]
+                width = len(lbl.context)
+                codes, where = np.unique(one[~pair] * width + two[~pair], return_inverse=True)
+                new = np.empty(len(codes), np.float32)
+                for at_code in range(0, len(codes), 256):
+                    part = codes[at_code : at_code + 256]
+                    new[at_code : at_code + 256] = lbl.log_normaliser(part // width, part % width)
+                norm[~pair] = new[where]
+                chance = (lbl.logit(kinds, one, two) - norm).astype(np.float64)
+                leaves = known.leaves(rows, kinds)
+                inner = np.flatnonzero(leaves >= 0)
+                for at_leaf in range(0, len(inner), 8192):
+                    part = inner[at_leaf : at_leaf + 8192]
+                    chance[part] += lbl.log_path(tree, leaves[part], one[part], two[part])
+                chance /= np.log(10)
                 plain = logs[rows]
-                is_shared = kinds > SINGLE
-                chance = chance - within[kinds] + np.where(is_shared, plain, 0.0)
+                is_rest = (kinds > SINGLE) & ~known.below(rows)
+                chance += np.where(is_rest, plain - within[kinds], 0.0)
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 pairs = [Counter() for _ in sizes]
                 for k, name in zip(owner[rows < 0], names, strict=True):

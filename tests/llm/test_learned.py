@@ -157,3 +157,38 @@ def test_language_model_of_odd_rows(docs):
     untaught = dicts(log_bilinear.scored(table, table.limit(0)))
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == pytest.approx(0) for r in untaught)
     assert log_bilinear.scored(table.limit(0), table).count() == 0
+
+
+def test_every_counted_word_has_vectors_of_its_own(docs):
+    # 600 pairs of words: more than there are single classes, and each word tells the next
+    rows = [(i, " ".join(f"q{k}zz r{k}zz" for k in range(i % 5, 600, 5)), "s") for i in range(200)]
+    training = docs(*rows)
+    words = log_bilinear.vocabulary(log_bilinear.count_words(training))
+    assert words.own == 1201 and words.rest_tokens[log_bilinear.SINGLE + 1 :].sum() == 0
+    model, tree = log_bilinear.train(training, words), log_bilinear.huffman(words)
+    start = log_bilinear.fresh(words, tree)
+    assert len(model.context) == log_bilinear.CLASSES + 1201 - log_bilinear.SINGLE
+    coder = log_bilinear.Coder(words)
+    row, kind, _, sizes = coder.code([r[1] for r in rows[:5]])
+    below = words.below(row)
+    one, _ = log_bilinear.contexts(words.before(row, kind), sizes)
+    assert below.sum() == 1200 - log_bilinear.SINGLE and (one > log_bilinear.CLASSES).sum() == below.sum()
+    # trained on, the words below the classes are likelier than by their counts
+    two = np.full(len(one), log_bilinear.CLASSES)
+    leaves = words.leaves(row, kind)
+    path = [m.log_path(tree, leaves[below], one[below], two[below]).sum() for m in (model, start)]
+    assert path[0] > path[1]
+
+
+def test_words_of_a_class_sum_to_one(docs):
+    rows = [(i, " ".join(f"w{k}" for k in range(500 + 3 * i)), "s") for i in range(40)]
+    training = docs(*rows)
+    words = log_bilinear.vocabulary(log_bilinear.count_words(training))
+    model, tree = log_bilinear.train(training, words), log_bilinear.huffman(words)
+    # the last words are counted less than LEAST_OWN times and share their class's leaf
+    assert 449 < words.own < len(words.words) and words.rest_words.sum() > 448
+    n, kinds = words.own - log_bilinear.SINGLE - 1, words.classes()
+    for k in range(log_bilinear.SINGLE + 1, log_bilinear.CLASSES):
+        leaves = np.append(np.flatnonzero(kinds[log_bilinear.SINGLE + 1 : words.own] == k), n + k - log_bilinear.SINGLE - 1)
+        one = np.full(len(leaves), len(model.context) - 1)
+        assert np.exp(model.log_path(tree, leaves, one, one)).sum() == pytest.approx(1, rel=1e-4)
