@@ -21,7 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.llm.text import fold, short_batches
@@ -241,19 +241,35 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Learns from a sample of about ``per_language`` texts of each language.
 
     Only documents with text and language count whose crc32 of the id modulo 3 is not
-    1. The sample is a hash threshold per language, from one count of languages.
+    1. The sample is a hash threshold per language, from one count of languages. Where
+    a language has fewer texts of up to ``LONGEST`` characters, pieces of that length,
+    drawn from all of its longer texts, fill it up.
     """
-    usable = docs.where(
-        F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold(F.col("doc_id"), 3) != 1)
-        & (F.length("text") <= LONGEST)
-    )
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold(F.col("doc_id"), 3) != 1))
+    long = F.length("text") > LONGEST
+    pieces = F.ceil(F.length("text") / LONGEST).cast("long")
+    counts = {r["lang"]: (r["n"], r["pieces"]) for r in usable.groupBy("lang").agg(
+        F.count(F.when(~long, 1)).alias("n"), F.coalesce(F.sum(F.when(long, pieces)), F.lit(0)).alias("pieces")
+    ).collect()}
     if not counts:
         return Model([], np.zeros((WIDTH, 0)), np.zeros((0, 0)), {})
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, per_language / n)])
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
+
+    def share(of: dict) -> Column:
+        return F.create_map(*[F.lit(x) for lang, part in of.items() for x in (lang, float(part))])[F.col("lang")]
+
+    def drawn(*of: Column | str) -> Column:
+        return F.pmod(F.xxhash64(*of), F.lit(1 << 20)) / float(1 << 20)
+
+    taken = usable.where(~long & (drawn("doc_id") < share({x: per_language / max(n, 1) for x, (n, _) in counts.items()})))
+    lacking = {x: max(per_language - n, 0) / k for x, (n, k) in counts.items() if k}
+    if any(lacking.values()):
+        # pieces are chosen by number first, so that only chosen ones are cut
+        chosen = F.filter(F.sequence(F.lit(0).cast("long"), pieces - 1), lambda k: drawn("doc_id", k) < share(lacking))
+        cut = F.transform(chosen, lambda k: F.substring("text", (k * LONGEST + 1).cast("int"), F.lit(LONGEST)))
+        more = usable.where(long).select("doc_id", "lang", F.explode(cut).alias("text"))
+        taken = taken.select("doc_id", "lang", "text").unionByName(more)
     rows = (
-        usable.where(draw < share[F.col("lang")])
+        taken
         .select(F.col("doc_id").cast("string").alias("id"), "text", "lang")
         .toPandas()
         .sort_values(["id", "lang", "text"])

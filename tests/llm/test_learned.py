@@ -192,3 +192,14 @@ def test_words_of_a_class_sum_to_one(docs):
         leaves = np.append(np.flatnonzero(kinds[log_bilinear.SINGLE + 1 : words.own] == k), n + k - log_bilinear.SINGLE - 1)
         one = np.full(len(leaves), len(model.context) - 1)
         assert np.exp(model.log_path(tree, leaves, one, one)).sum() == pytest.approx(1, rel=1e-4)
+
+
+def test_languages_of_long_texts_only_are_learned(spark):
+    english = "the small house stands near the old river and the people walk there every morning "
+    german = "das kleine haus steht nahe dem alten fluss und die leute gehen dort jeden morgen "
+    rows = [(i, english, "en") for i in range(20)] + [(20 + i, german * 600, "de") for i in range(6)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_crf.train(table)
+    assert sorted(model.langs) == ["de", "en"]
+    asked = spark.createDataFrame([(1, german), (2, english)], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in dicts(language_crf.identified(asked, model))} == {1: "de", 2: "en"}
