@@ -196,6 +196,22 @@ def _first_fit(size: np.ndarray, left: np.ndarray, room: int) -> list[tuple[np.n
     return plan
 
 
+def _inverse(square: np.ndarray) -> np.ndarray:
+    """By elimination on numpy rows: the threads of a LAPACK library can wait for each
+    other for ever in a process that has started a Spark session."""
+    m = len(square)
+    both = np.hstack([square, np.eye(m)])
+    for k in range(m):
+        top = k + int(np.abs(both[k:, k]).argmax())
+        if top != k:
+            both[[k, top]] = both[[top, k]]
+        both[k] /= both[k, k]
+        others = both[:, k].copy()
+        others[k] = 0.0
+        both -= others[:, None] * both[k]
+    return both[:, m:].copy()
+
+
 def solve(
     size: np.ndarray, demand: np.ndarray, room: int, gap: float = 1e-3, calm: float = 0.8
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -209,7 +225,7 @@ def solve(
     """
     m = len(size)
     basis = np.diag(room // size).astype(float)
-    inverse = np.linalg.inv(basis)
+    inverse = np.diag(1.0 / (room // size))
     usage = inverse @ demand
     pivots = 0
 
@@ -229,7 +245,7 @@ def solve(
             inverse = inverse - np.outer(way, row)
             inverse[out] = row
         else:
-            inverse = np.linalg.inv(basis)
+            inverse = _inverse(basis)
             usage = np.maximum(inverse @ demand, 0)
 
     pool = [pattern for pattern, _ in _first_fit(size, demand.astype(np.int64), room)]
