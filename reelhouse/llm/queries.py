@@ -5,11 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import conversations, exact, language_crf, line_rules, log_bilinear, mixing, near, packing, quality_gam, substrings
+from reelhouse.llm import (
+    conversations,
+    exact,
+    language_crf,
+    line_rules,
+    log_bilinear,
+    mixing,
+    near,
+    packing,
+    quality_gam,
+    signatures,
+    substrings,
+    suffix_arrays,
+)
 from reelhouse.llm.text import documents, fold
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 
 def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(documents(spark, sf_dir))
@@ -73,6 +89,23 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicate_groups(documents(spark, sf_dir))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signatures.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_arrays.hits(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_line_frequency": op1_line_frequency,
     "op2_chat_format": op2_chat_format,
@@ -84,6 +117,8 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_lm_score": op9_lm_score,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_decontamination": op13_decontamination,
 }
 
 SQL = {
@@ -225,4 +260,61 @@ SQL = {
             doc_id = min(doc_id) over g as kept, sha256(t) as text_sha256
         from d window g as (partition by t)
     """,
+    "op12_lexical_search": rf"""
+        with d as (select row_number() over () as row, doc_id, {_TERMS} as w from documents),
+        i as (
+            select row_number() over () as item, item_id, {_TERMS} as w
+            from (select distinct item_id, text from benchmark)
+        ),
+        totals as (select count(*)::bigint as n_docs, sum(len(w))::bigint as n_terms from d where len(w) > 0),
+        asked as (select item, term, count(*)::bigint as times from (select item, unnest(w) as term from i) group by item, term),
+        held as (
+            select row, doc_id, term, len(w)::bigint as n, count(*)::bigint as tf
+            from (select row, doc_id, w, unnest(w) as term from d)
+            where term in (select term from asked) group by row, doc_id, term, len(w)
+        ),
+        weights as (
+            select term, floor(1000 * ln((2 * any_value(n_docs) + 2)::double / (2 * count(*) + 1)))::bigint as weight
+            from held cross join totals group by term
+        ),
+        scores as (
+            select item, row, doc_id, sum(times * weight *
+                ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::bigint as score
+            from held join asked using (term) join weights using (term) cross join totals group by item, row, doc_id
+        ),
+        best as (
+            select *, row_number() over (partition by item order by score desc, doc_id nulls last)::int as rank
+            from scores where score > 0
+        )
+        select item_id, rank, doc_id, score from best join i using (item) where rank <= 10
+    """,
+    "op13_decontamination": rf"""
+        with d as (select row_number() over () as row, doc_id, {_TERMS} as w from documents),
+        i as (select item_id::varchar as item, {_TERMS} as w from benchmark),
+        tests as (
+            select distinct item, unnest([w[p:p + 9] for p in range(1, greatest(len(w) - 9, 1) + 1)]) as run
+            from i where len(w) > 0
+        ),
+        sizes as (select distinct len(run)::bigint as k from tests),
+        wins as (
+            select row, p, k, array_to_string(w[p:p + k - 1], ' ') as run
+            from (select row, w, k, unnest(range(1, len(w) - k + 2)) as p from d cross join sizes where len(w) >= k)
+        ),
+        found as (
+            select row, p, k, item from wins
+            join (select item, array_to_string(run, ' ') as run from tests) using (run)
+        ),
+        words as (
+            select row, count(distinct q) as n_hit
+            from (select row, unnest(range(p, p + k)) as q from found) group by row
+        ),
+        named as (
+            select row, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as items
+            from found group by row
+        )
+        select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+            coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+            coalesce(n_hit, 0) > 0 as contaminated
+        from d left join words using (row) left join named using (row)
+    """,
 }
