@@ -14,6 +14,7 @@ from reelhouse.llm import (
     mixing,
     near,
     packing,
+    prefix_trie,
     quality_gam,
     signatures,
     substrings,
@@ -89,6 +90,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicate_groups(documents(spark, sf_dir))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signatures.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -117,6 +122,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_lm_score": op9_lm_score,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_lexical_search": op12_lexical_search,
     "op13_decontamination": op13_decontamination,
 }
@@ -260,6 +266,46 @@ SQL = {
             doc_id = min(doc_id) over g as kept, sha256(t) as text_sha256
         from d window g as (partition by t)
     """,
+    "op11_prefix_trie": r"""
+        with t as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+            from conversations where conv_id is not null
+        ),
+        c as (
+            select conv_id, list({'r': role, 't': text} order by turn nulls first, role, left(text, 64),
+                md5(length(role) || ':' || role || text)) as l
+            from t group by conv_id
+        ),
+        h as (
+            select *, xor(4294967295, list_reduce(list_prepend(4294967295, [ord(x)::bigint for x in string_split(conv_id::varchar, '')]),
+                lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+                    lambda v, _: xor(v >> 1, 3988292384 * (v & 1))))) % 6 as h
+            from c
+        ),
+        r as (
+            select a.conv_id, list_concat(coalesce(b.l, [])[1:a.h], a.l[a.h + 1:]) as l
+            from h a left join c b on b.conv_id = a.conv_id - a.conv_id % 100
+        ),
+        p as (select conv_id, l[1:d] as k, d, len(l) = d as ends from (select conv_id, l, unnest(range(0, len(l) + 1)) as d from r)),
+        n as (
+            select k, d, min(conv_id) as conv_id, count(*) as n_convs,
+                coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '') as ids
+            from p group by k, d
+        ),
+        kids as (select k[1:d - 1] as k, count(*) as n_children from n where d > 0 group by 1),
+        v as (
+            select n.*, coalesce(n_children, 0) as n_children, case when d > 0 then (n_convs - 1) * length(k[d].t) else 0 end as saved
+            from n left join kids using (k)
+        ),
+        under as (
+            select u, count(*) filter (where n_children = 0) as n_leaves, sum(saved)::bigint as saved_tokens
+            from (select k[1:e] as u, n_children, saved from (select k, n_children, saved, unnest(range(0, d + 1)) as e from v))
+            group by u
+        )
+        select v.conv_id, v.d as depth, case when v.d > 0 then o.conv_id end as parent_conv_id, v.n_convs, v.n_children,
+            n_leaves, saved_tokens, sha256(v.ids) as ends_sha256
+        from v join under on under.u = v.k left join n o on o.k = v.k[1:v.d - 1] and o.d = v.d - 1
+    """,
     "op12_lexical_search": rf"""
         with d as (select row_number() over () as row, doc_id, {_TERMS} as w from documents),
         i as (
