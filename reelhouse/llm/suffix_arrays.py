@@ -326,7 +326,7 @@ def matches(
                 new = np.ones(len(at), bool)
                 new[1:] = (np.diff(at) != 1) | (np.diff(offset) != 1) | (np.diff(item) != 0) | (np.diff(doc) != 0)
                 top = np.flatnonzero(new)
-                end = np.append(top[1:], len(at)) - 1
+                end = np.append(top[1:], len(at))[: len(top)] - 1
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).take(pa.array(doc[top])),

@@ -30,7 +30,7 @@ def test_all_registered():
     import __spark_entry__ as contract
 
     found = contract.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in found) == 1
     assert "pipeline" in found
     assert set(contract.oracle_sql()) <= set(found)
