@@ -97,7 +97,12 @@ def run_checks(df: DataFrame, rules: QualityRules) -> tuple[DataFrame, DataFrame
 
 def check_counts(df: DataFrame, rules: QualityRules) -> DataFrame:
     """One row of counts for every check, from one aggregation over the input."""
-    judged = judge(df, rules).select(
+    return counts_of(judge(df, rules), rules)
+
+
+def counts_of(judged: DataFrame, rules: QualityRules) -> DataFrame:
+    """The same from rows that are judged already; of them only key and outcome are read."""
+    flags = judged.select(
         F.col(rules.key).alias("key"),
         F.coalesce(F.startswith(ISSUE, F.lit("NULL in")), F.lit(False)).alias("incomplete"),
         F.coalesce(F.startswith(ISSUE, F.lit("Negative")), F.lit(False)).alias("negative"),
@@ -105,7 +110,7 @@ def check_counts(df: DataFrame, rules: QualityRules) -> DataFrame:
     )
     # Per key first: the distinct count below then needs no second pass, and a
     # hot key is one row per task before anything is shuffled.
-    per_key = judged.groupBy("key").agg(
+    per_key = flags.groupBy("key").agg(
         F.count("*").alias("rows"),
         F.count_if("incomplete").alias("incomplete"),
         F.count_if("negative").alias("negative"),

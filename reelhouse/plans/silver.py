@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime, time
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from reelhouse import settings
+from reelhouse import schemas, settings
 from reelhouse.operators import flatten, quality
 from reelhouse.plans.roots import Roots
-from reelhouse.plans.status import Run, Seen, TableStatus
+from reelhouse.plans.status import Run, TableStatus
 from reelhouse.sinks import lineage, tables
 from reelhouse.sinks import snapshots as snapshots_out
-from reelhouse.sources import layers, snapshots, storage
+from reelhouse.sinks import states as states_out
+from reelhouse.sources import commits, layers, snapshots, states, storage
 
 
 @dataclass(frozen=True)
@@ -49,33 +48,91 @@ TABLES = (
 )
 
 
-_MANIFEST = "_bronze.json"
+#: Bytes of bronze that make a bucket of silver, when a table is built from scratch.
+BUCKET_BYTES = 128 << 20
+LEAST_BUCKETS = 8
 
 
-def _manifest(root: str, table: str, run_ts: datetime) -> str:
-    """Names the bronze partitions a snapshot holds, and when each was committed.
-    A file whose name Spark passes over, so it lies beside the data."""
-    return storage.join(snapshots.folder(root, table, run_ts), _MANIFEST)
+@dataclass
+class Pending:
+    """Bronze files a state lacks, of batch and stream; what it holds with them, by
+    partition; and whether something it holds was replaced since."""
 
+    files: dict[str, list[str]]
+    holds: dict[str, str]
+    redo: bool = False
 
-def _bronze_days(spark: SparkSession, roots: Roots, table: str, last: date) -> dict[str, str]:
-    """Bronze partitions up to the day of the run, with their versions."""
-    found = storage.versions(spark, storage.join(roots.bronze, table))
-    prefix = "ingestion_date="
-    return {
-        name.removeprefix(prefix): version
-        for name, version in found.items()
-        if name.startswith(prefix) and name.removeprefix(prefix) <= f"{last:%Y-%m-%d}"
-    }
 
+def pending(
+    spark: SparkSession, roots: Roots, bronze: str, last: date, held: Mapping[str, str] | None
+) -> Pending | None:
+    """By the commit logs, up to the day ``last``; None when there is no such table.
 
-def _merged(before: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """The last state with new rows: only rows whose key has new ones are compared
-    again, the others pass through as they lie."""
-    keys = new.select(key).distinct()
-    touched = before.join(keys, key, "left_semi").select(before.columns).unionByName(new)
-    latest = tables.by_partition(quality.uniqueness(touched, key), tables.BY_DATE)
-    return before.join(keys, key, "left_anti").select(before.columns).unionByName(latest)
+    Partitions that no log entry speaks of are not passed over: they raise. A partition
+    whose folder is gone keeps the rows it gave.
+    """
+    found, there = Pending({}, dict(held or {})), False
+    for table in (bronze, layers.stream_table(bronze)):
+        path = storage.join(roots.bronze, table)
+        if not storage.exists(spark, path):
+            continue
+        there = True
+        log = commits.read(spark, path)
+        doubtful = [
+            name
+            for name in commits.unlogged(spark, path, log)
+            if name.removeprefix("ingestion_date=") <= f"{last:%Y-%m-%d}"
+        ]
+        if doubtful:
+            raise RuntimeError(
+                f"{table} has partitions without a commit: {', '.join(doubtful)}; "
+                "write them again, or take them as they are with sinks.commits.adopt"
+            )
+        present = set(commits.partitions(spark, path))
+        for partition, entries in commits.current(log).items():
+            entries = [c for c in entries if commits.day(c, partition) <= f"{last:%Y-%m-%d}"]
+            if not entries or partition not in present:
+                continue
+            name, keys = f"{table}/{partition}", [c.key for c in entries]
+            known = found.holds.get(name)
+            if known is not None and known not in keys:
+                found.redo = True
+            new = entries[keys.index(known) + 1 :] if known in keys else entries
+            files = dict.fromkeys(f"{partition}/{file}" for c in new for file in c.files[partition])
+            found.files.setdefault(table, []).extend(files)
+            found.holds[name] = keys[-1]
+    return found if there else None
+
+
+def _read(spark: SparkSession, roots: Roots, bronze: str, files: Mapping[str, list[str]]) -> DataFrame:
+    """The rows of these bronze files."""
+    schema = layers.schema_of(bronze)
+    parts = [spark.createDataFrame([], schema)]
+    for table, names in files.items():
+        if names:
+            path = storage.join(roots.bronze, table)
+            found = spark.read.schema(schema).option("basePath", path)
+            rows = found.parquet(*[storage.join(path, name) for name in names])
+            parts.append(rows.select(schemas.columns(schema)))
+    return reduce(DataFrame.unionByName, parts[1:] or parts)
+
+
+def _buckets_for(spark: SparkSession, roots: Roots, bronze: str) -> int:
+    size = sum(
+        storage.size(spark, storage.join(roots.bronze, table))
+        for table in (bronze, layers.stream_table(bronze))
+    )
+    return max(LEAST_BUCKETS, 1 << (max(1, size // BUCKET_BYTES) - 1).bit_length())
+
+
+def _judged(rows: DataFrame, rules: settings.QualityRules, buckets: int, path: str) -> DataFrame:
+    """The judged rows with the bucket of their key, as a table: bronze is scanned once,
+    and counts, quarantine, touched buckets and silver itself come from this."""
+    judged = quality.judge(rows, rules).withColumn(
+        states.BUCKET, states.bucket_of(rules.key, buckets)
+    )
+    judged.write.parquet(path)
+    return rows.sparkSession.read.schema(judged.schema).parquet(path)
 
 
 def refine(
@@ -86,56 +143,64 @@ def refine(
     from_scratch: bool = False,
     keep: int = snapshots_out.KEEP,
     checks: dict[str, Mapping[str, int]] | None = None,
+    buckets: int | None = None,
 ) -> str | None:
     """Bring one table up to the day of the run.
 
-    The state of the last earlier day names the bronze partitions it holds. Only
-    those it lacks, whatever their day, are read and checked: keeping the latest row
-    per key of both gives the rows that all of bronze would give. When a partition
-    it holds was written again since, or it does not say what it holds, all of
-    bronze is read, as with ``from_scratch`` and on a first run. Partitions that
-    are gone from bronze keep their rows. ``checks`` receives the counts of the
-    quality checks over the rows read.
+    Silver lies in hash buckets of its key. The state of the last earlier day tells
+    which bronze commits it holds. Only files of later ones are read, whatever their
+    day and whether a batch or a stream wrote them; the buckets their keys fall in are
+    read, compared and written again, all others stay where they are. Keeping the
+    latest row per key of both gives the rows that all of bronze would give. When a
+    partition it holds was replaced since, all of bronze is read, as with
+    ``from_scratch`` and on a first run; then ``buckets`` (or the size of bronze) says
+    how many buckets there are. ``checks`` receives the counts of the quality checks
+    over the rows read.
     """
-    bronze = layers.read_table(spark, roots.bronze, spec.bronze)
-    if bronze is None:
-        return None
-    today = datetime.combine(run_ts.date(), time.min)
-    days = _bronze_days(spark, roots, spec.bronze, run_ts.date())
+    today, last = datetime.combine(run_ts.date(), time.min), run_ts.date()
     since = None if from_scratch else snapshots.newest(spark, roots.silver, spec.table, today)
-    if since is not None:
-        held = json.loads(storage.read_text(spark, _manifest(roots.silver, spec.table, since)) or "null")
-        if held is None or any(days.get(day, version) != version for day, version in held.items()):
-            since = None
-        else:
-            new_days = {day for day in days if day not in held}
-            days |= {day: version for day, version in held.items() if day not in days}
-    if since is None:
-        new_days = set(days)
-
-    wanted = F.col("ingestion_date").isin(*[date.fromisoformat(day) for day in sorted(new_days)])
-    rows = spec.flatten(bronze.where(wanted), keep_unparsed=True)
-    judged = quality.judge(rows, spec.rules)
-    rejected = Seen()
-    good = quality.passed(rejected.watch(judged, F.col(quality.ISSUE).isNotNull()))
-    if since is None:
-        clean = quality.uniqueness(good, spec.rules.key)
+    before = None if since is None else states.load(spark, roots.silver, spec.table, since)
+    new = pending(spark, roots, spec.bronze, last, before.notes["bronze"] if before else None)
+    if new is not None and new.redo:
+        before = None
+        new = pending(spark, roots, spec.bronze, last, None)
+    if new is None:
+        return None
+    key, n = spec.rules.key, before.buckets if before else buckets or _buckets_for(spark, roots, spec.bronze)
+    rows = spec.flatten(_read(spark, roots, spec.bronze, new.files), keep_unparsed=True)
+    quiet = before is not None and not any(new.files.values())
+    notes = {"buckets": n, "key": key, "bronze": new.holds}
+    if quiet:
+        written = states_out.write(spark, None, roots.silver, spec.table, run_ts, (), before.parts, notes)
+        counts = dict.fromkeys(quality.counts_of(quality.judge(rows, spec.rules), spec.rules).columns, 0)
+        tables.quarantine(
+            quality.quarantined(quality.judge(rows, spec.rules)), roots.quarantine, spec.quarantine,
+            last, any_rows=False,
+        )
     else:
-        before = snapshots.read(
-            spark, roots.silver, spec.table, layers.schema_of(spec.table), before=today
+        scratch = storage.scratch(spark, "judged")
+        judged = _judged(rows, spec.rules, n, scratch)
+        counts = quality.counts_of(judged, spec.rules).first().asDict()
+        good = quality.passed(judged)
+        carried: dict[str, list[str]] = {}
+        if before is not None:
+            # at most one number per bucket
+            touched = {states.bucket_name(r[0]) for r in good.select(states.BUCKET).distinct().collect()}
+            carried = {part: places for part, places in before.parts.items() if part not in touched}
+            old = states.scan(spark, roots.silver, spec.table, before, layers.schema_of(spec.table), touched)
+            good = old.withColumn(states.BUCKET, states.bucket_of(key, n)).unionByName(good)
+        clean = quality.uniqueness(good, key)
+        written = states_out.write(
+            spark, clean, roots.silver, spec.table, run_ts, (states.BUCKET,), carried, notes
         )
-        clean = _merged(before, good, spec.rules.key)
-    written = snapshots_out.write(
-        clean, roots.silver, spec.table, run_ts, tables.BY_DATE, together=since is None
-    )
-    storage.write_text(spark, _manifest(roots.silver, spec.table, run_ts), json.dumps(days))
-    snapshots_out.prune(spark, roots.silver, spec.table, run_ts, keep)
-    tables.quarantine(
-        quality.quarantined(judged), roots.quarantine, spec.quarantine, run_ts.date(),
-        any_rows=rejected.any(),
-    )
+        tables.quarantine(
+            quality.quarantined(judged).drop(states.BUCKET), roots.quarantine, spec.quarantine, last,
+            any_rows=counts["input_rows"] > counts["valid_good"],
+        )
+        storage.delete(spark, scratch)
+    states_out.prune(spark, roots.silver, spec.table, run_ts, keep)
     if checks is not None:
-        checks[spec.table] = quality.check_counts(rows, spec.rules).first().asDict()
+        checks[spec.table] = counts
     return written
 
 

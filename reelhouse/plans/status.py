@@ -10,8 +10,11 @@ from datetime import date
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.util import inheritable_thread_target
 
+from reelhouse.sources import states
+
 WRITTEN, SKIPPED, FAILED = "written", "skipped", "failed"
 AT_ONCE = 4
 
@@ -88,7 +91,13 @@ class Run:
         Parquet footers, and unlike an accumulator it stays exact when tasks are
         run again after a lost executor. The schema is given because a table
         without rows may have no file to take one from."""
-        written = self.spark.read.schema("ingestion_date date").parquet(path)
+        dated = T.StructType([T.StructField("ingestion_date", T.DateType())])
+        state = states.at(self.spark, path)
+        if state is None:
+            written = self.spark.read.schema(dated).parquet(path)
+        else:
+            root, table, _ = path.rsplit("/", 2)
+            written = states.scan(self.spark, root, table, state, dated)
         if run_date is not None:
             written = written.where(F.col("ingestion_date") == F.lit(run_date))
         return written.count()

@@ -13,6 +13,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from reelhouse.operators.columns import empty_like
+from reelhouse.sinks import commits
 from reelhouse.sources import storage
 
 BY_DATE = ("ingestion_date",)
@@ -43,18 +44,25 @@ def append(df: DataFrame, root: str, table: str, partitions: Sequence[str] = BY_
 
     A run's rows share one ingestion date, so the tasks that scanned them write
     them as they are; rows of many dates should go through ``by_partition`` first.
+    The files are entered in the table's commit log, so that incremental readers
+    take them up.
     """
-    return _write(df, storage.join(root, table), "append", partitions)
+    path = _write(df, storage.join(root, table), "append", partitions)
+    commits.record(df.sparkSession, path, len(existing_partitions(df, partitions)))
+    return path
 
 
 def replace_partitions(
-    df: DataFrame, root: str, table: str, partitions: Sequence[str] = BY_DATE
+    df: DataFrame, root: str, table: str, partitions: Sequence[str] = BY_DATE, day: str | None = None
 ) -> str:
     """Replace the partitions ``df`` has rows for and leave all others: an append
-    that may be repeated."""
-    return _write(
+    that may be repeated. Logged as ``append`` is; ``day`` is when rows of partitions
+    that do not tell were ingested."""
+    path = _write(
         df, storage.join(root, table), "overwrite", partitions, partitionOverwriteMode="dynamic"
     )
+    commits.record(df.sparkSession, path, len(existing_partitions(df, partitions)), day=day)
+    return path
 
 
 def overwrite(
@@ -95,7 +103,13 @@ def partition_folder(root: str, table: str, column: str, value: date) -> str:
 def replace_partition(
     df: DataFrame, root: str, table: str, value: date, column: str = "ingestion_date"
 ) -> str:
-    """Make ``df`` the content of one partition, also when it has no rows."""
+    """Make ``df`` the content of one partition, also when it has no rows, and log it."""
+    path = _replace(df, root, table, value, column)
+    commits.record(df.sparkSession, path, only=[f"{column}={value}"], replaced=True)
+    return path
+
+
+def _replace(df: DataFrame, root: str, table: str, value: date, column: str) -> str:
     df.drop(column).write.mode("overwrite").parquet(partition_folder(root, table, column, value))
     return storage.join(root, table)
 
@@ -127,4 +141,4 @@ def quarantine(
         if not storage.exists(df.sparkSession, folder):
             return None
         df = empty_like(df)
-    return replace_partition(df, root, table, run_date, column)
+    return _replace(df, root, table, run_date, column)

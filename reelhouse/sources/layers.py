@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from reelhouse import schemas, settings
-from reelhouse.sources import snapshots, storage
+from reelhouse.sources import snapshots, states, storage
 
 _KIND = {spec.table: spec.kind for spec in settings.SOURCES}
 
@@ -18,13 +18,19 @@ def schema_of(table: str) -> T.StructType:
     return schemas.bronze(_KIND[table])
 
 
+def stream_table(table: str) -> str:
+    """Where the stream keeps its rows of a bronze table."""
+    return f"{table}_stream"
+
+
 def is_snapshotted(table: str) -> bool:
     return any(table in layer for layer in (schemas.SILVER, schemas.GOLD, schemas.WAREHOUSE))
 
 
 def location(spark: SparkSession, root: str, table: str) -> str | None:
-    """The folder the table's current files lie in: its newest complete snapshot, or
-    the table's own folder when it has never been kept as snapshots."""
+    """The folder of the table's current state: its newest complete snapshot, which may
+    list shared parts (``states``), or the table's own folder when it has never been
+    kept as snapshots."""
     if is_snapshotted(table) and snapshots.run_times(spark, root, table):
         run_ts = snapshots.newest(spark, root, table)
         return None if run_ts is None else snapshots.folder(root, table, run_ts)
@@ -45,6 +51,9 @@ def read_table(
     path = location(spark, root, table)
     if path is None:
         return None
+    state = states.at(spark, path) if is_snapshotted(table) else None
+    if state is not None:
+        return states.scan(spark, root, table, state, declared)
     return spark.read.schema(declared).parquet(path).select(schemas.columns(declared))
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _DONE = "_SUCCESS"
@@ -29,17 +30,19 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hadoop) if s.isDirectory()]
 
 
-def versions(spark: SparkSession, path: str) -> dict[str, str]:
-    """Of every complete child folder, when it was committed."""
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files in a folder, in name order."""
     hadoop, fs = _path(spark, path)
     if not fs.exists(hadoop):
-        return {}
-    found = {}
-    for child in fs.listStatus(hadoop):
-        done, _ = _path(spark, join(child.getPath().toString(), _DONE))
-        if child.isDirectory() and fs.exists(done):
-            found[child.getPath().getName()] = str(fs.getFileStatus(done).getModificationTime())
-    return found
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(hadoop) if s.isFile()]
+    return sorted(name for name in names if not name.startswith(("_", ".")))
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, 0 where there is none."""
+    hadoop, fs = _path(spark, path)
+    return fs.getContentSummary(hadoop).getLength() if fs.exists(hadoop) else 0
 
 
 def files(spark: SparkSession, path: str, ending: str) -> list[str]:
@@ -58,6 +61,22 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a file that must not be there yet; False, and nothing done, if it is."""
+    hadoop, fs = _path(spark, path)
+    try:
+        out = fs.create(hadoop, False)
+    except Py4JJavaError:
+        if fs.exists(hadoop):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The text of a small file, None where there is none."""
     hadoop, fs = _path(spark, path)

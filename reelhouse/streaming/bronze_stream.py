@@ -3,7 +3,8 @@
 The rows are those of the batch load, in a table of their own beside it, whose
 only partition column is the number of the micro-batch. Progress is kept in a
 checkpoint folder, so a run picks up only files it has not seen, however many lie
-there.
+there. Every micro-batch is entered in the commit log of its table, from which the
+silver job takes each once, as it does the days of the batch load.
 """
 
 from __future__ import annotations
@@ -20,14 +21,11 @@ from reelhouse import schemas, settings
 from reelhouse.operators import audit
 from reelhouse.sinks import tables
 from reelhouse.sources import json_items, layers, storage
+from reelhouse.sources.layers import stream_table
 
 BATCH = "stream_batch"
 
 
-def stream_table(table: str) -> str:
-    return f"{table}_stream"
-
-
 def with_stream(spark: SparkSession, bronze_root: str, table: str) -> DataFrame | None:
     """Rows of the batch load and of the stream, None when neither has written."""
     schema = layers.schema_of(table)
@@ -73,7 +71,9 @@ def ingest_new_files(
         ):
             stamped = audit.ingestion_columns(rows, spec.label, run_ts)
             numbered = stamped.withColumn(BATCH, F.lit(number).cast("bigint"))
-            tables.replace_partitions(numbered, root, stream_table(table), (BATCH,))
+            tables.replace_partitions(
+                numbered, root, stream_table(table), (BATCH,), day=f"{run_ts:%Y-%m-%d}"
+            )
 
     return (
         items.writeStream.foreachBatch(write)

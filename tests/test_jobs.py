@@ -96,8 +96,7 @@ def test_daily_run(spark, roots):
 
     bad = spark.read.parquet(f"{roots.quarantine}/quarantine_video_stats")
     assert sorted((r.video_id, r.dq_issue[:4]) for r in bad.collect()) == [("b", "Nega"), ("c", "NULL")]
-    location = layers.location(spark, roots.silver, "silver_video_stats")
-    assert "dq_issue" not in spark.read.parquet(location).columns
+    assert "dq_issue" not in spark.read.parquet(f"{roots.silver}/silver_video_stats").columns
 
 
 def test_a_repeated_run_leaves_the_same_tables(spark, roots):

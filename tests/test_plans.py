@@ -135,17 +135,3 @@ def test_one_mart_state_spares_shuffling_the_fact_by_video(shuffled, star, name)
     report = getattr(reports, name)
     assert "hashpartitioning(video_id" in plan(report(star))
     assert "hashpartitioning(video_id" not in plan(report(replace(star, unique_videos=True)))
-
-
-def test_silver_passes_untouched_rows_without_a_shuffle(spark, tmp_path):
-    from reelhouse.plans import silver
-
-    state = spark.range(1000).selectExpr("cast(id as string) as video_id", "id as views", "'2025' as ingestion_timestamp", "date'2025-05-01' as ingestion_date")
-    state.write.parquet(str(tmp_path / "state"))
-    before = spark.read.parquet(str(tmp_path / "state"))
-    new = before.limit(3).withColumn("views", F.lit(-1).cast("long"))
-    new.write.parquet(str(tmp_path / "new"))
-    merged = silver._merged(before, spark.read.parquet(str(tmp_path / "new")), "video_id")
-    anti = [line for line in plan(merged).splitlines() if "LeftAnti" in line or "ExistenceJoin" in line]
-    assert anti and all("BroadcastHashJoin" in line for line in anti)
-    assert merged.count() == 1000
