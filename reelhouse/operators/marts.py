@@ -69,6 +69,17 @@ def video_engagement(
     )
 
 
+#: Columns of the video mart that depend on the day it is looked at.
+DAILY = ("days_since_published", "view_velocity")
+
+
+def measured(mart: DataFrame, as_of: date | None) -> DataFrame:
+    """The stored video mart with the columns that depend on a day."""
+    dated = mart.withColumn("days_since_published", metrics.days_since(as_of=as_of))
+    dated = dated.withColumn("view_velocity", metrics.view_velocity())
+    return dated.select(schemas.columns(schemas.GOLD["gold_video_engagement"]))
+
+
 def _video_totals() -> list:
     return [
         F.count("video_id").alias("total_videos"),
@@ -83,12 +94,27 @@ def _video_totals() -> list:
     ]
 
 
-def channel_performance(stats: DataFrame, run_date: date) -> DataFrame:
-    """Totals per channel under its most recently seen title.
+_SUMS = (
+    "total_videos", "total_views", "total_likes", "total_comments",
+    "seen_videos", "engagement_sum", "engagement_rows",
+)
+
+
+def _joined_totals() -> list:
+    """Totals of totals."""
+    return [
+        *[F.sum(name).alias(name) for name in _SUMS],
+        F.max("max_views").alias("max_views"),
+        F.min("min_views").alias("min_views"),
+    ]
 
-    Titles are text and cannot sit in a hash aggregate's buffer, so the rows are
-    first totalled per channel and title with numbers only; picking the title is
-    left to a second step over about one row per channel.
+
+def channel_totals(stats: DataFrame, *also: str) -> DataFrame:
+    """Totals per channel and title, and per value of further columns: a part of what
+    ``channel_performance`` needs, which parts of ``stats`` can have each.
+
+    Titles are text and cannot sit in a hash aggregate's buffer, so they are keys here,
+    and picking one is left to a second step over about one row per channel.
     """
     seen = stats.withColumns(
         {
@@ -96,22 +122,17 @@ def channel_performance(stats: DataFrame, run_date: date) -> DataFrame:
             "seen_at": F.unix_timestamp(F.try_to_timestamp(F.col("ingestion_timestamp"))),
         }
     )
-    per_title = seen.groupBy("channel_id", "channel_title").agg(
+    return seen.groupBy(*also, "channel_id", "channel_title").agg(
         *_video_totals(), F.max("seen_at").alias("seen_at")
     )
-    totals = per_title.groupBy("channel_id").agg(
+
+
+def channels_of(totals: DataFrame, run_date: date) -> DataFrame:
+    """The channel mart of ``channel_totals``: each under its most recently seen title."""
+    return totals.groupBy("channel_id").agg(
         F.max_by("channel_title", F.struct("seen_at", "channel_title")).alias("channel_title"),
-        *[
-            F.sum(name).alias(name)
-            for name in (
-                "total_videos", "total_views", "total_likes", "total_comments",
-                "seen_videos", "engagement_sum", "engagement_rows",
-            )
-        ],
-        F.max("max_views").alias("max_views"),
-        F.min("min_views").alias("min_views"),
-    )
-    return totals.select(
+        *_joined_totals(),
+    ).select(
         "channel_id",
         "channel_title",
         "total_videos",
@@ -128,18 +149,25 @@ def channel_performance(stats: DataFrame, run_date: date) -> DataFrame:
     )
 
 
-def category_performance(stats: DataFrame, categories: DataFrame, run_date: date) -> DataFrame:
-    """Totals per category; videos of unknown categories keep a group without a name.
+def channel_performance(stats: DataFrame, run_date: date) -> DataFrame:
+    """Totals per channel under its most recently seen title."""
+    return channels_of(channel_totals(stats), run_date)
+
 
-    The rows are totalled by id before the names are joined: a category may hold
-    any share of the videos, and this way only one row per category meets the join.
+def category_totals(stats: DataFrame, *also: str) -> DataFrame:
+    """Totals per category id, and per value of further columns, without names.
+
+    A category may hold any share of the videos, and this way only one row per
+    category meets the join with its name.
     """
-    totals = (
-        stats.withColumn("engagement_rate", metrics.engagement_rate())
-        .groupBy("category_id")
-        .agg(*_video_totals())
-    )
-    return with_category(totals, categories).select(
+    rated = stats.withColumn("engagement_rate", metrics.engagement_rate())
+    return rated.groupBy(*also, "category_id").agg(*_video_totals())
+
+
+def categories_of(totals: DataFrame, categories: DataFrame, run_date: date) -> DataFrame:
+    """The category mart of ``category_totals``."""
+    whole = totals.groupBy("category_id").agg(*_joined_totals())
+    return with_category(whole, categories).select(
         "category_id",
         "category_name",
         "total_videos",
@@ -152,3 +180,8 @@ def category_performance(stats: DataFrame, categories: DataFrame, run_date: date
         ),
         F.lit(run_date).alias("ingestion_date"),
     )
+
+
+def category_performance(stats: DataFrame, categories: DataFrame, run_date: date) -> DataFrame:
+    """Totals per category; videos of unknown categories keep a group without a name."""
+    return categories_of(category_totals(stats), categories, run_date)

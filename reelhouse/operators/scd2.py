@@ -11,7 +11,7 @@ from datetime import date
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelhouse import schemas
@@ -135,12 +135,78 @@ def merge(
     return closed.select(_DIMENSION).unionByName(decided.select(_DIMENSION))
 
 
-def as_of(facts: DataFrame, history: DataFrame, at: str, how: str = "inner") -> DataFrame:
-    """Join each fact with the channel version valid on its date column ``at``."""
-    versions = history.withColumnRenamed(KEY, "_version_channel")
-    valid = (
-        (F.col(KEY) == F.col("_version_channel"))
-        & (F.col("effective_start_date") <= F.col(at))
-        & (F.col(at) < F.col("effective_end_date"))
+def as_of(
+    facts: DataFrame,
+    history: DataFrame,
+    at: str,
+    how: str = "inner",
+    block_days: int = 32,
+    most: int = 1_000_000,
+) -> DataFrame:
+    """Join each fact with the channel version valid on its date column ``at``.
+
+    Facts and versions of one channel and time block are put in one order of time, and
+    the last version is carried forward to the facts after it; the version that is open
+    when a block begins is carried into it from the blocks before. So a fact meets one
+    version however many its channel has had, a channel is split by time, and a block
+    of more than ``most`` facts by a number of the row as well. Versions of a channel do
+    not overlap. With ``how="left"`` facts without a valid version stay, as do those
+    without a channel or date.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
+    kind = facts.schema[at].dataType
+    spot = ["_key", "_block"]
+    block = F.floor(F.datediff(F.col("_on").cast("date"), F.lit(date(1970, 1, 1))) / block_days).alias("_block")
+    asked = facts.select(
+        F.struct(*[F.col(f"`{name}`") for name in facts.columns]).alias("_fact"),
+        F.col(KEY).alias("_key"),
+        F.col(at).alias("_on"),
+        F.monotonically_increasing_id().alias("_number"),
     )
-    return facts.join(versions, valid, how).drop("_version_channel")
+    # a version's start is compared as a date or time, as the facts have it
+    others = [name for name in history.columns if name != KEY]
+    versions = history.select(
+        F.col(KEY).alias("_key"),
+        F.col("effective_start_date").cast(kind).alias("_on"),
+        F.struct(*others).alias("_version"),
+    ).select("*", block)
+    dated = asked.where(F.col("_key").isNotNull() & F.col("_on").isNotNull()).select("*", block)
+
+    last = versions.groupBy(*spot).agg(F.max_by("_version", "_on").alias("_last"))
+    spots = dated.groupBy(*spot).agg(F.count("_on").alias("_n")).join(last, spot, "full_outer")
+    # one row per channel and block; of a channel no more than there are blocks
+    earlier = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    spots = spots.withColumn("_before", F.last("_last", ignorenulls=True).over(earlier)).where("_n > 0")
+    parts = F.ceil(F.col("_n") / most).cast("long")
+    split = spots.where(parts > 1).select(*spot, parts.alias("_parts"))
+    none = F.lit(0).cast("long")
+    placed = dated.join(split, spot, "left").select(
+        *spot, F.coalesce(F.pmod("_number", F.col("_parts")), none).alias("_part"), "_on",
+        F.lit(1).alias("_kind"), "_fact", F.lit(None).cast(versions.schema["_version"].dataType).alias("_version"),
+    )
+    begun = spots.where("_before is not null").select(
+        *spot, F.col("_before.effective_start_date").cast(kind).alias("_on"), F.col("_before").alias("_version"), parts.alias("_parts")
+    )
+    within = versions.join(spots.select(*spot, parts.alias("_parts")), spot).select(*spot, "_on", "_version", "_parts")
+    known = begun.unionByName(within).select(
+        *spot, F.explode(F.sequence(none, F.col("_parts") - 1)).alias("_part"), "_on",
+        F.lit(0).alias("_kind"), F.lit(None).cast(asked.schema["_fact"].dataType).alias("_fact"), "_version",
+    )
+    in_time = Window.partitionBy(*spot, "_part").orderBy("_on", "_kind")
+    so_far = in_time.rowsBetween(Window.unboundedPreceding, 0)
+    found = (
+        placed.unionByName(known)
+        .withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
+        .where("_kind = 1")
+    )
+    valid = F.col("_on") < F.col("_version.effective_end_date")
+    if how == "inner":
+        found = found.where(valid)
+    else:
+        found = found.select("_fact", F.when(valid, F.col("_version")).alias("_version"))
+        undated = asked.where(F.col("_key").isNull() | F.col("_on").isNull())
+        found = found.unionByName(
+            undated.select("_fact", F.lit(None).cast(versions.schema["_version"].dataType).alias("_version"))
+        )
+    return found.select("_fact.*", "_version.*")

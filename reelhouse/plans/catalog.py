@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from reelhouse import schemas
-from reelhouse.sources import layers, storage
+from reelhouse.sources import layers, states, storage
 
 # The second names the dashboard's SQL uses.
 ALIASES = {
@@ -46,8 +46,9 @@ def create_external_tables(
     """(Re)create catalog tables over the warehouse folders; the data stays put.
 
     ``warehouse_root`` has to be absolute. The fact is declared partitioned by
-    year and month and its partitions are recovered. Tables point at their newest
-    complete snapshot, so call this again after each run.
+    year and month and its partitions are recovered; a table of shared parts gets a
+    partition per part, wherever a run left it. Tables point at their newest complete
+    snapshot, so call this again after each run.
     """
     created = []
     for table, schema in schemas.WAREHOUSE.items():
@@ -56,6 +57,11 @@ def create_external_tables(
         location = layers.location(spark, warehouse_root, table)
         if location is None:
             continue
+        state = states.at(spark, location)
+        if state is not None:
+            _over_parts(spark, name, schema, storage.join(warehouse_root, table), state)
+            created.append(table)
+            continue
         partitioned = table == "fact_video_performance"
         spark.sql(
             f"CREATE TABLE {name} ({', '.join(_ddl(f) for f in schema.fields)}) USING PARQUET "
@@ -68,6 +74,22 @@ def create_external_tables(
     return created
 
 
+def _over_parts(
+    spark: SparkSession, name: str, schema: T.StructType, path: str, state: states.State
+) -> None:
+    columns = [pair.split("=")[0] for pair in next(iter(state.parts), "").split("/") if pair]
+    by = f"PARTITIONED BY ({', '.join(columns)}) " if columns else ""
+    spark.sql(
+        f"CREATE TABLE {name} ({', '.join(_ddl(f) for f in schema.fields)}) USING PARQUET {by}"
+        f"LOCATION '{path}'"
+    )
+    for part, folders in state.parts.items():
+        if len(folders) > 1:
+            raise ValueError(f"{name}: part {part} lies in several folders")
+        values = ", ".join("{}='{}'".format(*pair.split("=", 1)) for pair in part.split("/"))
+        spark.sql(f"ALTER TABLE {name} ADD PARTITION ({values}) LOCATION '{path}/{folders[0]}'")
+
+
 def run_sql(spark: SparkSession, text: str) -> DataFrame:
     """The query in ``text``, comments and all; lazy like any other."""
     return spark.sql(text)

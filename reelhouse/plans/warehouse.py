@@ -15,7 +15,8 @@ from reelhouse.plans.status import Run, TableStatus
 from reelhouse.settings import TRACKED_CHANNEL_COLUMNS
 from reelhouse.sinks import lineage
 from reelhouse.sinks import snapshots as snapshots_out
-from reelhouse.sources import layers, snapshots
+from reelhouse.sinks import states as states_out
+from reelhouse.sources import layers, snapshots, states
 
 
 def channel_input(spark: SparkSession, roots: Roots) -> DataFrame | None:
@@ -34,21 +35,35 @@ def update_channel_history(
     run_ts: datetime,
     tracked: Sequence[str] = TRACKED_CHANNEL_COLUMNS,
 ) -> str:
-    """Merge into ``dim_channel`` as the last earlier day left it."""
+    """Merge into ``dim_channel`` as the last earlier day left it.
+
+    The table lies in parts by end date. Versions once closed are never written again:
+    a run reads and writes the open ones and those it closes, and refers to the rest.
+    """
     new = scd2.prepare(incoming)
     table = "dim_channel"
     today = datetime.combine(run_ts.date(), time.min)
-    history = snapshots.read(spark, root, table, schemas.WAREHOUSE[table], before=today)
-    if history is None and any(t < today for t in snapshots.run_times(spark, root, table)):
+    since = snapshots.newest(spark, root, table, today)
+    if since is None and any(t < today for t in snapshots.run_times(spark, root, table)):
         raise RuntimeError(
             f"{table} has snapshots of earlier days but none is complete; history would start anew"
         )
-    if history is None:
+    closed: dict[str, list[str]] = {}
+    if since is None:
         merged = scd2.first_load(new, run_ts.date())
     else:
+        before = states.load(spark, root, table, since)
+        if before is None:  # kept whole until now
+            history = snapshots.read(spark, root, table, schemas.WAREHOUSE[table], before=today)
+        else:
+            still_open = {part for part in before.parts if part.endswith("is_current=true")}
+            closed = {part: places for part, places in before.parts.items() if part not in still_open}
+            history = states.scan(spark, root, table, before, schemas.WAREHOUSE[table], still_open)
         merged = scd2.merge(history, new, run_ts.date(), tracked)
-    written = snapshots_out.write(merged, root, table, run_ts)
-    snapshots_out.prune(spark, root, table, run_ts)
+    written = states_out.write(
+        spark, merged, root, table, run_ts, ("effective_end_date", "is_current"), closed, {}
+    )
+    states_out.prune(spark, root, table, run_ts)
     return written
 
 
