@@ -515,6 +515,43 @@ oracle(
 )
 oracle("surrogate_key", "select count(*) as versions, count(*) as keys from merged")
 
+_DIGIT = "cast(video_id as bigint) % 10"
+_SECOND_DAY = (
+    f"(select * replace (views + case {_DIGIT} when 0 then 5 when 3 then 3 when 7 then 7 else 0 end as views) from videos)"
+)
+_WITH_TRENDING = f"(select * replace (views + case {_DIGIT} when 9 then 9 else 0 end as views) from {_SECOND_DAY})"
+_SEEN = (
+    f"case {_DIGIT} when 0 then timestamp '2001-09-02 01:00:00' when 3 then timestamp '2001-09-01 02:00:00' "
+    "when 7 then timestamp '2001-09-02 03:00:00' else timestamp '2001-09-01 01:00:00' end"
+)
+oracle(
+    "silver_after_append",
+    f"""select video_id, views, likes, cast({_SEEN} as date) as ingestion_date,
+       {_STAMP.format(_SEEN)} as ingestion_timestamp from {_SECOND_DAY}""",
+)
+oracle(
+    "gold_mart_after_update_day",
+    f"""select video_id, title, category_name, views, engagement_rate, like_ratio,
+       days_since_published, view_velocity, year, month
+       from ({_metrics(_WITH_TRENDING)}) m left join categories using (category_id)""",
+)
+_RATED_AGAIN = f"(select *, {_ENGAGEMENT} as engagement_rate from {_SECOND_DAY})"
+oracle(
+    "gold_channels_after_update_day",
+    f"""select channel_id, max(channel_title) as channel_title, count(video_id) as total_videos,
+       {_TOTALS}, cast(sum(comment_count) as bigint) as total_comments, {_AVG_VIEWS} as avg_views,
+       max(views) as max_views, min(views) as min_views, {_AVG_ENGAGEMENT} as avg_engagement_rate,
+       date '2001-09-02' as ingestion_date from {_RATED_AGAIN} group by channel_id""",
+)
+oracle(
+    "gold_categories_after_update_day",
+    f"""select category_id, max(category_name) as category_name, count(video_id) as total_videos,
+       {_TOTALS}, {_AVG_VIEWS} as avg_views, max(views) as max_views,
+       {_AVG_ENGAGEMENT} as avg_engagement_rate, date '2001-09-02' as ingestion_date
+       from {_RATED_AGAIN} left join categories using (category_id) group by category_id""",
+)
+oracle("channel_history_in_parts", "select * from merged")
+
 _VIDEO_COUNT = "(select count(*) from videos)"
 _FINISHED = "(select count(*) from orders where o_orderstatus = 'F')"
 _IN_CATEGORY = (

@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime, time
 from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import inputs, workspace
+from checks import days, inputs, workspace
 from checks.inputs import AS_OF, FIRST_RUN, RUN_TS, SECOND_RUN
 from reelhouse import schemas, settings
 from reelhouse.functions import labels, metrics, parse
 from reelhouse.operators import audit, columns, dedup, dimensions, flatten, marts, quality, scd2
-from reelhouse.plans import bronze, catalog, dashboard, reports
+from reelhouse.plans import bronze, catalog, dashboard, reports, warehouse
 from reelhouse.sinks import landing, lineage, tables
 from reelhouse.sources import json_items, layers, marks, shards, storage
 from reelhouse.streaming import bronze_stream
@@ -541,6 +542,50 @@ def surrogate_key(spark, sf_dir):
     )
 
 
+# --- what a second day leaves ---------------------------------------------------
+
+
+@query
+def silver_after_append(spark, sf_dir):
+    """Rows of a first day, of appends and of a stream, each video's latest."""
+    rows = layers.read_table(spark, days.roots_for(spark, sf_dir).silver, "silver_video_stats")
+    return rows.select("video_id", "views", "likes", "ingestion_date", "ingestion_timestamp")
+
+
+@query
+def gold_mart_after_update_day(spark, sf_dir):
+    mart = layers.read_table(spark, days.roots_for(spark, sf_dir).gold, "gold_video_engagement")
+    return mart.select(
+        "video_id", "title", "category_name", "views", "engagement_rate", "like_ratio",
+        "days_since_published", "view_velocity", "year", "month",
+    )
+
+
+@query
+def gold_channels_after_update_day(spark, sf_dir):
+    return layers.read_table(
+        spark, days.roots_for(spark, sf_dir).gold, "gold_channel_performance"
+    )
+
+
+@query
+def gold_categories_after_update_day(spark, sf_dir):
+    return layers.read_table(
+        spark, days.roots_for(spark, sf_dir).gold, "gold_category_performance"
+    )
+
+
+@query
+def channel_history_in_parts(spark, sf_dir):
+    """The stored history after two runs, its closed versions in parts of their own."""
+    root = storage.scratch(spark, "history")
+    for before, day in ((True, FIRST_RUN), (False, SECOND_RUN)):
+        warehouse.update_channel_history(
+            spark, root, inputs.channels(spark, sf_dir, before), datetime.combine(day, time(1))
+        )
+    return layers.read_table(spark, root, "dim_channel").drop("channel_key")
+
+
 # --- sources --------------------------------------------------------------------
 
 

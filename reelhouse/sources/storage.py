@@ -52,6 +52,23 @@ def files(spark: SparkSession, path: str, ending: str) -> list[str]:
     return sorted(name for name in found if name.endswith(ending))
 
 
+def all_files(spark: SparkSession, path: str) -> list[str]:
+    """Full names of the data files in a folder, or of the one that ``path`` is."""
+    hadoop, fs = _path(spark, path)
+    found = [s.getPath() for s in fs.listStatus(hadoop) if s.isFile()]
+    return sorted(p.toString() for p in found if not p.getName().startswith(("_", ".")))
+
+
+def head(spark: SparkSession, path: str, size: int) -> bytes:
+    """The first bytes of a file as they lie there."""
+    hadoop, fs = _path(spark, path)
+    stream = fs.open(hadoop)
+    try:
+        return bytes(stream.readNBytes(size))
+    finally:
+        stream.close()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     hadoop, fs = _path(spark, path)
     out = fs.create(hadoop, True)

@@ -215,6 +215,39 @@ def test_quarantine(spark, rows, tmp_path):
     assert read() == [DAY2]
 
 
+@pytest.mark.parametrize(("indent", "newline"), [(2, "\n"), ("\t", "\n"), (4, "\r\n"), (None, "\n")])
+def test_arrays_are_split_at_items(spark, tmp_path, indent, newline):
+    schema = schemas.RAW_ITEMS["video"]
+    items = [
+        {"id": f"v{i}", "snippet": {"title": '},\n  { tr"i}}cky é', "tags": ["a"]}, "statistics": {"viewCount": str(i)}}
+        for i in range(400)
+    ]
+    items[0] = items[6] = items[7] = items[-1] = {}
+    items[9] = {"snippet": {"tags": []}, "id": []}  # not of the schema
+    text = json.dumps(items, indent=indent, ensure_ascii=False).replace("\n", newline)
+    (tmp_path / "raw").write_bytes(text.encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        found = json_items.read_items(spark, str(tmp_path / "raw"), schema, json_items.ARRAY)
+        tasks = found.select(F.spark_partition_id()).distinct().count()
+        rows = found.select("id", "snippet.title", "snippet.tags", "statistics.viewCount").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert tasks > 5 or indent is None
+    expected = [(i.get("id"), i.get("snippet", {}).get("title"), i.get("statistics", {}).get("viewCount")) for i in items]
+    expected[9] = ("[]", None, None)
+    assert sorted(((r.id, r.title, r.viewCount) for r in rows), key=repr) == sorted(expected, key=repr)
+
+
+def test_a_broken_item_of_a_split_array_is_kept_apart(spark, tmp_path):
+    text = json.dumps([{"id": "a"}, {"id": "b"}, {"id": "c"}], indent=2).replace('"b"', '"b" oops')
+    (tmp_path / "raw").write_text(text)
+    found = json_items.read_items(spark, str(tmp_path / "raw"), schemas.RAW_ITEMS["video"], json_items.ARRAY)
+    good, bad = json_items.split_corrupt(found)
+    assert sorted(r.id for r in good.select("id").collect()) == ["a", "c"]
+    assert "oops" in bad.select(schemas.CORRUPT).first()[0]
+
+
 # --- snapshots and lineage ---------------------------------------------------------
 
 
