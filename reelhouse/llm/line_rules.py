@@ -21,9 +21,9 @@ from reelhouse.llm.text import SPACE, ascii_lower, stored, trimmed, words
 
 SYMBOLS = "#*$%&|<>"
 
-#: A line is over the limit in more than this many documents of a host ...
-LEAST_DOCS = 100
-#: ... and in more than this share of the host's documents.
+#: A line is over the limit in more than this share of its host's distinct documents;
+#: in so few documents as this it may be chance, whatever their share.
+LEAST_DOCS = 5
 SHARE_OF_HOST = 0.005
 #: A document is depleted when removed lines held more than this share of its words.
 MOST_REMOVED = 0.5
@@ -117,7 +117,8 @@ def frequent_lines(
         .groupBy("host", "line").agg(F.count("one").alias("n_docs"))
         .where(F.col("n_docs") > least_docs)
     )
-    hosts = table.groupBy(F.col("host").alias("_of")).agg(F.count("row").alias("_all"))
+    copies = table.groupBy("host", "copy").agg(F.lit(1).alias("one"))
+    hosts = copies.groupBy(F.col("host").alias("_of")).agg(F.count("one").alias("_all"))
     return (
         per_line.join(hosts, F.col("host").eqNullSafe(F.col("_of")))
         .where(F.col("n_docs") > F.col("_all") * share_of_host)
