@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from reelhouse.llm.text import stored
 
 BLOCK = 256
+#: Order of the turns of a conversation: by number, then, where one number holds several
+#: texts, by role, the start of the text and a hash; null comes first.
+ORDER = ("turn", "role", "head", "content")
 _PARTS = ("h0", "h1", "h2")
 _UNKNOWN = -(1 << 62)
 
@@ -28,6 +31,25 @@ def _marked(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("+"), F.col(column).cast("string")), F.lit("-"))
 
 
+def _key() -> Column:
+    """The conversation of a row; one without conv_id is a conversation of its own, and
+    equal ones are one."""
+    alone = F.concat(F.lit("-"), F.md5(F.concat(_marked("role"), F.lit("\x1f"), _marked("text")).cast("binary")))
+    return F.when(F.col("conv_id").isNull(), alone).otherwise(F.concat(F.lit("+"), F.col("conv_id").cast("string")))
+
+
+def _turn() -> Column:
+    return F.when(F.col("conv_id").isNotNull(), F.col("turn").cast("long"))
+
+
+def _content() -> Column:
+    return F.unhex(F.md5(F.concat(_marked("role"), F.lit("\x1f"), _marked("text")).cast("binary")))
+
+
+def _head() -> Column:
+    return F.substring("text", 1, 64)
+
+
 def rendered_turn() -> Column:
     """How one turn is written; a null role is ``unknown``, a null text is empty."""
     return F.concat(
@@ -38,19 +60,20 @@ def rendered_turn() -> Column:
 def prefixes(turns: DataFrame) -> DataFrame:
     """(key, id, position, h0, h1, h2): rolling hash of the first turns of every conversation.
 
-    Turns are ordered by number, null first, then by a hash of role and text; rows
-    that repeat number, role and text count once. Positions count from 1, so gaps in
-    the numbers do not matter. Rows without conv_id are one conversation.
+    Turns are in the order ``ORDER``; rows that repeat number, role and text count once.
+    Positions count from 1, so gaps in the numbers do not matter. A row without conv_id
+    is a conversation of one turn, so such rows never come together.
     """
-    content = F.unhex(F.md5(F.concat(_marked("role"), F.lit("\x1f"), _marked("text")).cast("binary")))
     rows = turns.select(
-        _marked("conv_id").alias("key"),
+        _key().alias("key"),
         F.col("conv_id").alias("id"),
-        F.coalesce(F.col("turn").cast("long"), F.lit(_UNKNOWN)).alias("turn"),
-        content.alias("content"),
+        F.coalesce(_turn(), F.lit(_UNKNOWN)).alias("turn"),
+        "role",
+        _head().alias("head"),
+        _content().alias("content"),
     ).distinct().withColumn("block", F.floor(F.col("turn") / BLOCK))
     rows = stored(rows, "turns")
-    inside = Window.partitionBy("key", "block").orderBy("turn", "content")
+    inside = Window.partitionBy("key", "block").orderBy(*ORDER)
     over_blocks = Window.partitionBy("key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     started = rows.groupBy("key", "block").agg(F.count("turn").alias("k")).select(
         "key", "block", F.coalesce(F.sum("k").over(over_blocks), F.lit(0)).alias("before")
@@ -101,8 +124,10 @@ def formatted(turns: DataFrame) -> DataFrame:
     """
     kept = stored(maximal(turns), "conversations")
     written = turns.select(
-        _marked("conv_id").alias("key"),
-        F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), rendered_turn().alias("line")).alias("turn"),
+        _key().alias("key"),
+        F.struct(
+            _turn().alias("turn"), "role", _head().alias("head"), _content().alias("content"), rendered_turn().alias("line")
+        ).alias("turn"),
     )
     texts = (
         written.join(kept.select("key"), "key", "left_semi").groupBy("key")

@@ -150,7 +150,7 @@ SQL = {
         ),
         worded as (select * from lines where plain <> ''),
         dup as (select doc_id, count(*) - count(distinct line) as n_dup_lines from worded group by doc_id),
-        hosts as (select source, count(*) as n from documents group by source),
+        hosts as (select source, count(distinct coalesce(text, '')) as n from documents group by source),
         often as (
             select w.source, plain from worded w join hosts h on w.source is not distinct from h.source
             group by w.source, plain, h.n
@@ -175,17 +175,26 @@ SQL = {
         select *, not base_failed and n_removed <= {line_rules.MOST_REMOVED} * n_words as kept from judged
     """,
     "op2_chat_format": r"""
-        with t as (select distinct conv_id, turn, role, text from conversations),
+        with t as (
+            select distinct conv_id, case when conv_id is null then coalesce('+' || role, '-') || chr(31) || coalesce('+' || text, '-') end as alone,
+                case when conv_id is not null then turn end as turn, role, text
+            from conversations
+        ),
+        o as (
+            select *, unhex(md5(coalesce('+' || role, '-') || chr(31) || coalesce('+' || text, '-'))) as content from t
+        ),
         c as (
-            select conv_id, list({'r': role, 't': text} order by turn nulls first, role, text) as l,
+            select conv_id, alone,
+                list({'r': role, 't': text} order by turn nulls first, role nulls first, left(text, 64) nulls first, content) as l,
                 string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10), ''
-                    order by turn nulls first, role, text) as text
-            from t group by conv_id
+                    order by turn nulls first, role nulls first, left(text, 64) nulls first, content) as text
+            from o group by conv_id, alone
         ),
-        w as (select l, min(conv_id) as conv_id, count(*) as n_logged from c group by l)
+        w as (
+            select l, min(conv_id) as conv_id, any_value(text) as text, count(*) as n_logged from c group by l
+        )
         select w.conv_id, len(w.l)::bigint as n_turns, n_logged, text
-        from w join c using (conv_id)
-        where not exists (select 1 from c as o where len(o.l) > len(w.l) and o.l[1:len(w.l)] = w.l)
+        from w where not exists (select 1 from c as o where len(o.l) > len(w.l) and o.l[1:len(w.l)] = w.l)
     """,
     "op3_mixing": rf"""
         with d as (select doc_id, source, len({_WORDS})::bigint as size from documents),

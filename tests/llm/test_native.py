@@ -98,6 +98,28 @@ def test_snapshots_collapse(spark):
     assert found[7]["text"] == "<|unknown|>\n<|end|>\n"
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_ties_and_lost_turns_agree_with_sql(spark, tmp_path, seed):
+    """Several texts of one number, a third of the rows without conv_id, nulls anywhere."""
+    import duckdb
+
+    from checks import compare
+    from reelhouse.llm import queries
+
+    rng = random.Random(seed)
+    said = ["hi", "a", "b", "", None, "é" * 64 + "1", "é" * 64 + "2"]
+    rows = [(1, 0, "u", "hi"), (1, 1, "u", "a"), (2, 0, "u", "hi"), (2, 1, "u", "a"), (2, 1, "u", "b")]
+    for c in range(3, 60):
+        for t in range(rng.randrange(1, 4)):
+            for _ in range(rng.randrange(1, 3)):
+                rows.append((c, rng.choice([t, t, None]), rng.choice(["u", "a", None]), rng.choice(said)))
+    rows += [(None, rng.choice([0, None]), rng.choice(["u", None]), rng.choice(said)) for _ in range(len(rows) // 2)]
+    _conversations(spark, *rows).repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    assert compare.differences(queries.op2_chat_format(spark, str(tmp_path)), con, queries.SQL["op2_chat_format"]) == []
+
+
 def test_long_conversations_and_none(spark):
     rows = [(c, t, "user", f"t{t}") for c, n in ((1, 700), (2, 1000), (3, 999)) for t in range(n)]
     assert [r["conv_id"] for r in dicts(conversations.maximal(_conversations(spark, *rows)))] == [2]
