@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm.text import stored
+from reelhouse.llm.text import Scratch
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -27,19 +27,28 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     )
 
 
-def smallest_reachable(links: DataFrame) -> DataFrame:
-    """(row, class) of every end of ``links`` (a, b): the smallest row it reaches."""
+def smallest_reachable(links: DataFrame, keep: Scratch | None = None) -> DataFrame:
+    """(row, class) of every end of ``links`` (a, b): the smallest row it reaches.
+
+    The result is a table of ``keep``; those of the rounds are deleted.
+    """
     def told(edges: DataFrame):
         return edges.agg(F.count("u"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
+    rounds = Scratch()
     greater, least = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-    edges = stored(links.where("a != b").select(greater, least).distinct(), "links")
+    edges = rounds.stored(links.where("a != b").select(greater, least).distinct(), "links")
     state = told(edges)
-    while True:
+    while state[0]:
         # repeated edges between the two stars do no harm
-        edges = stored(_star(_star(edges, True).where("u != v"), False).where("u != v").distinct(), "links")
+        after = _star(_star(edges, True).where("u != v"), False).where("u != v").distinct()
+        edges = rounds.stored(after, "links")
+        rounds.drop(edges)
         before, state = state, told(edges)
         if state == before:
             break
     heads = edges.select(F.col("v").alias("row")).distinct().withColumn("class", F.col("row"))
-    return stored(edges.select(F.col("u").alias("row"), F.col("v").alias("class")).unionByName(heads).distinct(), "classes")
+    found = edges.select(F.col("u").alias("row"), F.col("v").alias("class")).unionByName(heads).distinct()
+    found = (keep or Scratch()).stored(found, "classes")
+    rounds.drop()
+    return found

@@ -50,12 +50,38 @@ def short_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder.
 
     Cuts the lineage: a lost executor costs no more than the tasks that read the
     table, and what was chosen while writing (row numbers, sizes) stays chosen.
     """
-    path = storage.scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _written(df, storage.scratch(df.sparkSession, name))
+
+
+class Scratch:
+    """Tables of one computation, which are deleted when nothing reads them any more."""
+
+    def __init__(self) -> None:
+        self._tables: list[tuple[str, DataFrame]] = []
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = storage.scratch(df.sparkSession, name)
+        table = _written(df, path)
+        self._tables.append((path, table))
+        return table
+
+    def drop(self, *kept: DataFrame) -> None:
+        """Delete all tables but these."""
+        left = []
+        for path, table in self._tables:
+            if any(table is one for one in kept):
+                left.append((path, table))
+            else:
+                storage.delete(table.sparkSession, path)
+        self._tables = left
