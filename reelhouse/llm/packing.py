@@ -1,8 +1,8 @@
 """Packing token sequences: cutting stock by column generation.
 
 Documents become token ids and are cut into full sequences and one remainder.
-Lengths are rounded up to units of ``length / CLASSES``, so the corpus is a
-histogram of at most ``CLASSES`` lengths, whatever its size. On that histogram
+Short lengths count as they are, longer ones are rounded up to units of ``length /
+CLASSES``, so the corpus is a histogram of bounded size. On that histogram
 the driver solves the cutting-stock linear program: a simplex basis of patterns
 (how many pieces of each length share a sequence), with a knapsack dynamic
 program pricing new patterns. Usage of each pattern is rounded down; what is left
@@ -32,12 +32,15 @@ from reelhouse.llm.text import short_batches, stored
 
 LENGTH = 2048
 END_ID = 1
-#: Lengths are told apart in so many steps; bounds the linear program.
+#: Lengths are told apart in so many steps; bounds the linear program. Lengths of up to
+#: ``EXACT`` steps are each a class of their own.
 CLASSES = 256
+EXACT = 4
 SALTS = 256
 #: Words whose ids a Python worker remembers.
 REMEMBERED = 300_000
 _SLICE = 500
+_TOGETHER = 1 << 20
 _BETWEEN = re.compile(r"[^ \t\n\r]+")
 _APART = re.compile(r"[a-zªµºß-öø-ÿ]+|[^ \t\n\ra-zªµºß-öø-ÿ]+")
 _BOUND = re.compile(r"[^ \t\n\r']*'[^ \t\n\r]*|[a-zªµºß-öø-ÿ]+|[^ \t\n\r'a-zªµºß-öø-ÿ]+")
@@ -81,26 +84,35 @@ def _stretches(text: str) -> list[str]:
 def encode(texts: list[str | None], tokenizer: str | None = None) -> list[bytes]:
     """Token ids of each text as little-endian 32-bit numbers.
 
-    Each stretch is looked up, and encoded when it was not met before.
+    Each stretch is looked up, and encoded when it was not met before, once for texts
+    of about ``_TOGETHER`` characters.
     """
     model, known, before = _tokenizer(tokenizer)
-    if len(known) > REMEMBERED:
-        before.clear()
-        before.update(known)
-        known.clear()
-    out = []
+    out: list[bytes] = []
+    held: list[list[str]] = []
+    full = 0
+
+    def look_up() -> None:
+        if len(known) > REMEMBERED:
+            before.clear()
+            before.update(known)
+            known.clear()
+        new = set().union(*held).difference(known)
+        again = new.intersection(before)
+        known.update((word, before[word]) for word in again)
+        fresh = list(new - again)
+        for word, coded in zip(fresh, model.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+            ids = coded.ids
+            known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        out.extend(b"".join(map(known.__getitem__, words)) for words in held)
+
     for text in texts:
-        words = _stretches(text or "")
-        found = list(map(known.get, words))
-        if None in found:
-            new = list({w for w, ids in zip(words, found, strict=True) if ids is None})
-            known.update((w, before[w]) for w in new if w in before)
-            new = [w for w in new if w not in known]
-            for word, coded in zip(new, model.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                ids = coded.ids
-                known[word] = struct.pack(f"<{len(ids)}I", *ids)
-            found = [known[w] for w in words]
-        out.append(b"".join(found))
+        held.append(_stretches(text or ""))
+        full += len(text or "")
+        if full > _TOGETHER:
+            look_up()
+            held, full = [], 0
+    look_up()
     return out
 
 
@@ -273,16 +285,19 @@ def solve(
     return basis.round().astype(np.int64), usage
 
 
-def patterns_for(counts: np.ndarray) -> list[tuple[np.ndarray, int]]:
-    """Whole-number plan for a histogram: ``counts[k]`` pieces of k units.
+def patterns_for(
+    counts: np.ndarray, sizes: np.ndarray | None = None, room: int | None = None
+) -> list[tuple[np.ndarray, int]]:
+    """Whole-number plan for a histogram: ``counts[k]`` pieces of ``sizes[k]`` (or k).
 
     Gives (pieces of each length, number of sequences) pairs that use every piece.
     """
-    room = len(counts) - 1
-    size = np.flatnonzero(counts)
-    if not len(size):
+    sizes = np.arange(len(counts)) if sizes is None else sizes
+    room = len(counts) - 1 if room is None else room
+    there = np.flatnonzero(counts)
+    if not len(there):
         return []
-    demand = counts[size].astype(np.int64)
+    size, demand = sizes[there], counts[there].astype(np.int64)
     basis, usage = solve(size, demand.astype(float), room)
     plan, left = [], demand.copy()
     for column in np.argsort(-usage, kind="stable"):
@@ -295,12 +310,21 @@ def patterns_for(counts: np.ndarray) -> list[tuple[np.ndarray, int]]:
     plan += _first_fit(size, left, room)
     wide = []
     for pattern, times in plan:
-        row = np.zeros(room + 1, np.int64)
-        row[size] = pattern
+        row = np.zeros(len(counts), np.int64)
+        row[there] = pattern
         wide.append((row, times))
     return wide
 
 
+def _classes(length: int) -> tuple[int, int, np.ndarray]:
+    """Unit, longest exact length, and the size each class of lengths counts as."""
+    unit = -(-length // CLASSES)
+    exact = min(length, EXACT * unit)
+    above = -(-(length - exact) // unit)
+    sizes = np.concatenate([np.arange(exact + 1), exact + unit * np.arange(1, above + 1)])
+    return unit, exact, np.minimum(sizes, length)
+
+
 def _deal(plan: list[tuple[np.ndarray, int]], classes: int) -> dict[str, np.ndarray]:
     """Which ranks of each length class go to which sequences, as sorted ranges."""
     taken, first = np.zeros(classes + 1, np.int64), 0
@@ -329,7 +353,7 @@ def pack(
     ``cut`` is what ``pieces`` gives; of ids, ``carry`` names what the result holds
     (by default the ids themselves), so that it alone is stored and moved.
     """
-    unit = -(-length // CLASSES)
+    unit, exact, sizes = _classes(length)
     carry = {"ids": F.col("ids")} if carry is None else carry
     table = stored(
         cut.select(
@@ -345,15 +369,18 @@ def pack(
     slim = table.select(
         "_piece",
         "length",
-        F.ceil(F.col("length") / unit).cast("int").alias("_class"),
+        F.when(F.col("length") <= exact, F.col("length"))
+        .otherwise(exact + F.ceil((F.col("length") - exact) / unit))
+        .cast("int")
+        .alias("_class"),
         F.pmod(F.xxhash64("_piece"), F.lit(SALTS)).cast("int").alias("_salt"),
     )
-    # at most CLASSES x SALTS rows
+    # a row per class and salt at most
     found = slim.groupBy("_class", "_salt").count().toPandas()
-    counts = np.zeros((-(-length // unit) + 1, SALTS), np.int64)
+    counts = np.zeros((len(sizes), SALTS), np.int64)
     counts[found["_class"].to_numpy(int), found["_salt"].to_numpy(int)] = found["count"]
     before = counts.cumsum(axis=1) - counts
-    dealt = _deal(patterns_for(counts.sum(axis=1)), len(counts) - 1)
+    dealt = _deal(patterns_for(counts.sum(axis=1), sizes, length), len(counts) - 1)
 
     @F.pandas_udf("long")
     def sequence(kind: pd.Series, salt: pd.Series, local: pd.Series) -> pd.Series:

@@ -263,3 +263,30 @@ def test_stages_keep_columns_of_odd_tables(spark, docs):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, table, SF_DIR)
         assert out.columns == table.columns and out.select(F.count("*")).first()[0] <= 8
+
+
+@pytest.mark.parametrize(("word", "n"), [("", 5000), ("the the the the the the the the", 3000)])
+def test_short_texts_leave_little_padding(docs, word, n):
+    """Tables of documents of one token, and of nine."""
+    spark_rows = [(i, word, "s") for i in range(n)]
+    packed = packing.pack(packing.pieces(docs(*spark_rows)), carry={})
+    used, last = packed.agg(F.sum("length"), F.max("sequence_id")).first()
+    assert used in (n, 9 * n)
+    assert used > 0.99 * 2048 * last  # all sequences but the last one are full
+
+
+def test_rows_that_stay_of_near_copies(docs):
+    text = " ".join(f"w{i}" for i in range(100))
+    near_one = text.replace("w99", "v99")
+    table = docs(
+        (5, text, "s"), (3, near_one, "s"), (3, "alone " + text[::-1], "s"), (None, text, "s"),
+        (None, "k " * 3 + "lost words of no id", "s"), (None, "k " * 3 + "lost words of no id", "t"),
+        (7, None, "s"), (8, " ", "s"), (9, text + " x", "s"), (9, text + " x", "s"), (2, "b c", "s"), (2, "b c", "s"),
+    )
+    kept = near.without_near_copies(table)
+    assert kept.columns == table.columns
+    stay = Counter((r["doc_id"], r["text"]) for r in dicts(kept))
+    assert stay == Counter({
+        (3, near_one): 1, (3, "alone " + text[::-1]): 1, (None, "k " * 3 + "lost words of no id"): 1,
+        (7, None): 1, (8, " "): 1, (2, "b c"): 1,
+    })
