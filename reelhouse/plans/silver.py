@@ -8,6 +8,7 @@ from datetime import date, datetime, time
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelhouse import schemas, settings
 from reelhouse.operators import flatten, quality
@@ -185,7 +186,8 @@ def refine(
         carried: dict[str, list[str]] = {}
         if before is not None:
             # at most one number per bucket
-            touched = {states.bucket_name(r[0]) for r in good.select(states.BUCKET).distinct().collect()}
+            numbers = good.agg(F.collect_set(states.BUCKET)).first()[0]
+            touched = {states.bucket_name(number) for number in numbers}
             carried = {part: places for part, places in before.parts.items() if part not in touched}
             old = states.scan(spark, roots.silver, spec.table, before, layers.schema_of(spec.table), touched)
             good = old.withColumn(states.BUCKET, states.bucket_of(key, n)).unionByName(good)
