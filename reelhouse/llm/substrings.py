@@ -3,7 +3,8 @@
 A window of ``window`` words that two documents share begins as a shared window of
 half the length, so halves are judged first and only repeated ones are extended:
 
-* Half length. Each full window stands for its half window of smallest hash. Equal
+* Half length. Halves are counted before anything else of a run is moved; only runs
+  whose half two documents hold go on. Each full window stands for its half window of smallest hash. Equal
   full windows choose equal halves, so it is enough to judge the chosen ones, one
   position in about thirteen. Neighbouring full windows that chose the same half
   are one run.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelhouse.llm import shingles
-from reelhouse.llm.text import short_batches, stored
+from reelhouse.llm.text import Scratch, short_batches, stored
 
 WINDOW = 50
 _SLICE = 500
@@ -188,18 +189,23 @@ def repeated(
     each other. Null texts have no words; shorter texts than a window lose nothing.
     """
     rows = _described(docs, id_col, text_col, window)
+    keep = Scratch()
     doc = F.coalesce(F.col("id").cast("long"), F.lit(_LAST)).alias("doc")
+    # halves alone first: the rest of a run follows where two documents hold its half
+    halves = (
+        rows.select(doc, F.explode("half").alias("half"))
+        .groupBy("half").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi")
+    )
+    halves = keep.stored(halves.select("half"), "passage-halves")
     listed = F.explode(F.arrays_zip("half", "content", "begin", "length")).alias("run")
     held = rows.select("row", doc, listed).select("row", "doc", "run.*")
+    held = keep.stored(held.join(halves, "half", "left_semi"), "passage-runs")
     whole = held.groupBy("half", "content").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    halves = (
-        whole.groupBy("half")
-        .agg(F.min("first").alias("lo"), F.max("last").alias("hi"), F.count("content").alias("kinds"))
-        .where("lo < hi")
-    )
-    candidates = whole.join(halves, "half").select(
-        "half", "content", "first", (F.col("kinds") > 1).alias("differs")
-    ).where("differs or first < last")
+    kinds = whole.groupBy("half").agg(F.count("content").alias("kinds")).where("kinds > 1")
+    differs = F.col("kinds").isNotNull()
+    candidates = whole.join(kinds, "half", "left").where(differs | (F.col("first") < F.col("last"))).select(
+        "half", "content", "first", differs.alias("differs")
+    )
     behind = F.col("doc") > F.col("first")
     spans = (
         held.join(candidates, ["half", "content"]).where(behind | F.col("differs"))
@@ -211,11 +217,16 @@ def repeated(
     same = source["_id"].eqNullSafe(marked["id"]) & (source["_key"] == marked["text_key"])
     # rows that repeat id and text are found several times over, with the same content
     table = stored(source.join(marked, same).select("row", "doc", "text", "spans"), "passage-candidates")
+    keep.drop()
 
     single = _full_windows(table, window)
     first = single.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
     hits = single.join(first, "hash").where("doc > first").groupBy("row").agg(F.collect_set("hash").alias("hits"))
-    found = _cut(table.join(hits, "row", "left"), window, texts)
+    # texts whose runs are judged as wholes need no windows and do not travel again
+    partly = F.exists("spans", lambda s: ~s["whole"])
+    by_window = table.where(partly).join(hits, "row", "left")
+    whole_only = table.where(~partly).withColumn("hits", F.array().cast("array<long>"))
+    found = _cut(by_window.unionByName(whole_only), window, texts)
     return rows, found.dropDuplicates(["row"])
 
 
