@@ -381,8 +381,11 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
             links = keep.stored(links.unionByName(found), "near-links")
             break
         # smaller nodes are compared in place next
-        links = keep.stored(links.unionByName(found).unionByName(to_pivots(crowd.where(F.col("n") > SMALL))), "near-links")
-        classes = smallest_reachable(links, keep)
+        pivotal = to_pivots(crowd.where(F.col("n") > SMALL))
+        links = keep.stored(links.unionByName(found).unionByName(pivotal), "near-links")
+        # classes so far are stars already; what is new joins them
+        stars = classes.select(F.col("row").alias("a"), F.col("class").alias("b"))
+        classes = smallest_reachable(stars.unionByName(found).unionByName(pivotal), keep)
         keep.drop(reps, crowd, texts, links, classes, apart)
         level += 1
     keep.drop(links)
