@@ -100,6 +100,34 @@ def test_components_of_a_long_chain(spark):
     assert found == {**dict.fromkeys(range(51), 0), 80: 80, 90: 80}
 
 
+def test_links_over_many_tasks(spark):
+    """A hub, a chain and chance links, dealt over tasks that each see some of them."""
+    rng = random.Random(3)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
+    links += [(1000 + k, 1001 + k) for k in range(200)] + [(3000 + k, 2000) for k in range(200)]
+    links += links[:50]
+    rng.shuffle(links)
+    least = {x: x for pair in links for x in pair if pair[0] != pair[1]}
+    for _ in range(len(least)):
+        before = dict(least)
+        for a, b in links:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+        if least == before:
+            break
+    table = spark.createDataFrame(links, "a long, b long").repartition(12)
+    found = [(r["row"], r["class"]) for r in dicts(components.smallest_reachable(table))]
+    assert len(found) == len(least) and dict(found) == least
+    assert components.smallest_reachable(table.limit(0)).count() == 0
+
+
+def test_links_within_a_task():
+    u, v = np.array([5, 9, 7, 30, 9]), np.array([3, 5, 6, 20, 3])
+    hung, on = components.contracted(u, v)
+    assert dict(zip(hung.tolist(), on.tolist(), strict=True)) == {5: 3, 9: 3, 7: 6, 30: 20}
+    assert len(components.contracted(u[:0], v[:0])[0]) == 0
+
+
 # -- repeated passages
 
 
