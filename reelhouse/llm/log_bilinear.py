@@ -1,29 +1,37 @@
 """Language model scores: log-bilinear model with noise-contrastive estimation.
 
-The model predicts a token from the two before it, in two steps. The most frequent
-words are classes of their own, all others share classes by ending; the logit of a
-class is a bilinear form of its vector with a weighted sum of context vectors, plus
-a bias. Within a shared class, a Huffman tree of binary decisions leads to the word:
-each node has a vector and a bias. Every word counted ``LEAST_OWN`` times, up to the
-bound ``FREQUENT``, has a leaf and a context vector of its own, so the vectors follow
-the training texts. The words below share one leaf and context vector per class, and
-have their smoothed shares of that leaf. Scores are normalised: over all classes, at
-each node, and within such a leaf over the words counted plus one for unknown words.
+The model predicts a token from the two before it, in steps. The most frequent
+words are classes of their own, all others share classes by ending; the words of a
+shared class lie in groups of about as many words as the class has groups. A class,
+a group within its class and a word within its group are each predicted by a bilinear
+form of its vector with a weighted sum of context vectors, plus a bias. Every word
+counted ``LEAST_OWN`` times, up to the bound ``FREQUENT``, has a vector and a context
+vector of its own, so the vectors follow the training texts. The words below share a
+group and a context vector per class, and have their smoothed shares of that group.
+Scores are normalised: over all classes, the groups of a class, the words of a group,
+and the words without own vectors plus one for unknown words.
 
 Counts of words come from all training documents, by one distributed aggregation.
-So does the model: it starts from a short driver run on a bounded sample, every
-task of a pass over all training documents then trains its own copy, classes with
-noise samples and nodes exactly, and an aggregation averages each vector over the
-copies by how often they used it.
-
-Scoring multiplies the vectors of distinct contexts with those of all classes, in
-batches, and remembers the normalisers of pairs of classes. Only the words beyond ``FREQUENT`` need
-their counts by a join; the more frequent ones, a bounded table, are broadcast.
+So does the model: it starts from a short driver run on at most ``WARM_TEXTS`` texts of
+up to 20,000 characters, every task of a pass over all training documents then trains
+its own copy, by noise-contrastive estimation at all three steps, and an aggregation in
+rounds of ``MERGED`` copies averages each vector by how often they used it. Scores thus
+depend, slightly, on how the input is split into tasks; with the same split they repeat.
+
+Scoring multiplies the vectors of distinct contexts with those of all classes, and the
+contexts before a group's words with those words, in batches; it remembers the
+normalisers of pairs of classes. Only the words beyond ``FREQUENT`` need their counts by
+a join; the more frequent ones, a bounded table, are broadcast.
+
+Null texts are empty and have one token, the end. Repeated rows are learned from and
+scored as often as they occur; rows of one doc_id are scored each. Without training texts
+every token is the unknown one; without documents there are no rows. Columns of ``docs``
+other than doc_id and text are not looked at and not returned. A long text is scored as a
+whole; its tokens are in memory at once, in one task.
 """
 
 from __future__ import annotations
 
-import heapq
 import itertools
 import zlib
 from collections import Counter
@@ -46,6 +54,8 @@ SINGLE, SHARED = 447, 64
 CLASSES = 1 + SINGLE + SHARED  # the first is the end of a text
 VECTOR = 16
 NOISE = 32
+#: Noise samples for the groups of a class, and for the words of a group, in a batch.
+WITHIN = 4
 BATCH = 2048
 #: Texts the driver starts from.
 WARM_TEXTS = 200
@@ -53,6 +63,10 @@ WARM_TEXTS = 200
 COUNTED = 300_000
 #: Vectors that tasks pass on together to be averaged; below 257.
 BLOCK = 256
+#: Copies of a block that are averaged together before the next round.
+MERGED = 64
+#: Tokens below shared classes that are scored together.
+INNER = 1 << 18
 _SLICE = 500
 END = ""  # no word is empty
 
@@ -62,13 +76,18 @@ def shared_class(word: str) -> int:
     return 1 + SINGLE + zlib.crc32(word.rstrip(".,;:!?")[-2:].encode("utf-8", "surrogatepass")) % SHARED
 
 
+def _split(text: str | None) -> list[bytes]:
+    """Words in UTF-8; of bytes, ``lower`` and ``split`` know A-Z and the ASCII separators only."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def _named(word: bytes) -> str:
+    return word.decode("utf-8", "surrogatepass")
+
+
 def tokens(text: str | None) -> list[str]:
     """Words between ASCII separators, A-Z in lower case."""
-    low = (text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-    for sign in "\n\t\r\x0b\x0c":
-        if sign in low:
-            low = low.replace(sign, " ")
-    return [w for w in low.split(" ") if w]
+    return [_named(word) for word in _split(text)]
 
 
 class Vocabulary(NamedTuple):
@@ -84,8 +103,8 @@ class Vocabulary(NamedTuple):
     rest_tokens: np.ndarray  # of each class, without the words that have their own
     rest_words: np.ndarray
 
-    def lookup(self) -> dict[str, int]:
-        return {w: k for k, w in enumerate(self.words)}
+    def lookup(self) -> dict[bytes, int]:
+        return {w.encode("utf-8", "surrogatepass"): k for k, w in enumerate(self.words)}
 
     def classes(self) -> np.ndarray:
         """Class of each frequent word; the end of a text has class 0."""
@@ -125,13 +144,13 @@ def count_words(docs: DataFrame) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=["word", "c"]
+                [pa.array(map(_named, seen), pa.string()), pa.array(seen.values(), pa.int64())], names=["word", "c"]
             )
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                seen.update(tokens(text))
-                seen[END] += 1
+                seen.update(_split(text))
+                seen[b""] += 1  # END
                 if len(seen) > COUNTED:
                     yield out()
                     seen.clear()
@@ -174,49 +193,44 @@ def vocabulary(counts: DataFrame, frequent: int = FREQUENT) -> Vocabulary:
     return Vocabulary([END, *top["word"]], number, total["n"] or 0, total["v"], held, kinds, own, rest, others)
 
 
-class Tree(NamedTuple):
-    """The nodes above each leaf, and the direction taken there: 1 or -1."""
-
-    start: np.ndarray  # leaves + 1
-    nodes: np.ndarray
-    signs: np.ndarray
-    bias: np.ndarray  # of each node: the log odds of its sides
-
-    def paths(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(position in ``leaves``, node, sign) of all decisions on the way to ``leaves``."""
-        begin, steps = self.start[leaves], self.start[leaves + 1] - self.start[leaves]
-        at = np.arange(steps.sum()) + np.repeat(begin - (steps.cumsum() - steps), steps)
-        return np.repeat(np.arange(len(leaves)), steps), self.nodes[at], self.signs[at]
-
-
-def huffman(words: Vocabulary) -> Tree:
-    """A tree for each shared class: its words with own vectors, and one leaf for the rest."""
-    kinds = words.classes()[SINGLE + 1 : words.own]
-    weights = [*words.counts[SINGLE + 1 : words.own].tolist(), *words.rest()[SINGLE + 1 :].tolist()]
-    n = len(weights)
-    member = np.append(kinds - (SINGLE + 1), np.arange(SHARED))
-    up, sign, odds = np.full(2 * n, -1), np.zeros(2 * n, np.int8), []
-    for k in range(SHARED):
-        heap = [(weights[leaf], leaf) for leaf in np.flatnonzero(member == k).tolist()]
-        heapq.heapify(heap)
-        while len(heap) > 1:
-            (light, a), (heavy, b) = heapq.heappop(heap), heapq.heappop(heap)
-            node = n + len(odds)
-            up[a] = up[b] = node
-            sign[a], sign[b] = -1, 1
-            odds.append(np.log(heavy / light))
-            heapq.heappush(heap, (light + heavy, node))
-    found, at = [], np.arange(n)
-    leaf = at
-    while len(at):
-        go = up[at] >= 0
-        leaf, at = leaf[go], at[go]
-        found.append((leaf, up[at] - n, sign[at]))
-        at = up[at]
-    leaf, nodes, signs = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.argsort(leaf, kind="stable")
-    start = np.concatenate([[0], np.bincount(leaf, minlength=n).cumsum()])
-    return Tree(start.astype(np.int32), nodes[order].astype(np.int32), signs[order].astype(np.int8), np.array(odds, np.float32))
+class Sets(NamedTuple):
+    """What is chosen from below shared classes.
+
+    Sets are the shared classes, whose members are groups, and then the groups, whose
+    members are leaves: words with own vectors, or the rest of a class. Members are
+    numbered set by set, groups first.
+    """
+
+    group: np.ndarray  # of each leaf
+    place: np.ndarray  # number of each leaf as a member
+    owner: np.ndarray  # set of each member
+    begin: np.ndarray  # first member of each set, and the end
+    bias: np.ndarray  # log of each member's share of its set
+
+    def size(self, sets: np.ndarray) -> np.ndarray:
+        return self.begin[sets + 1] - self.begin[sets]
+
+
+def grouped(words: Vocabulary) -> Sets:
+    """The words of each shared class by frequency, in groups of equal length; the rest is a group."""
+    kinds = words.classes()[SINGLE + 1 : words.own] - (SINGLE + 1)
+    weights = np.append(words.counts[SINGLE + 1 : words.own], words.rest()[SINGLE + 1 :]).astype(np.float64)
+    held = np.bincount(kinds, minlength=SHARED)
+    width = np.maximum(np.ceil(np.sqrt(held)), 1).astype(np.int64)
+    by_class = np.argsort(kinds, kind="stable")
+    rank = np.empty(len(kinds), np.int64)
+    rank[by_class] = np.arange(len(kinds)) - np.repeat(held.cumsum() - held, held)
+    groups = 1 + -(-held // width)
+    first, n = groups.cumsum() - groups, int(groups.sum())
+    group = np.append(first[kinds] + 1 + rank // width[kinds], first)
+    order = np.argsort(group, kind="stable")
+    place = np.empty(len(group), np.int64)
+    place[order] = n + np.arange(len(group))
+    inside, mass = np.bincount(group, minlength=n), np.bincount(group, weights, n)
+    kind = np.repeat(np.arange(SHARED), groups)
+    bias = np.append(np.log(mass / np.bincount(kind, mass, SHARED)[kind]), np.log(weights / mass[group])[order])
+    begin = np.concatenate([first, n + inside.cumsum() - inside, [n + len(group)]])
+    return Sets(group, place, np.append(kind, SHARED + group[order]), begin, bias.astype(np.float32))
 
 
 # -- the model
@@ -228,28 +242,50 @@ class Model(NamedTuple):
     near: np.ndarray  # weight of the last token's vector, per dimension
     far: np.ndarray
     bias: np.ndarray
-    node: np.ndarray  # nodes x vector
+    node: np.ndarray  # members of sets x vector
     node_bias: np.ndarray
 
+    def hidden(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        return self.context.take(one, 0) * self.near + self.context.take(two, 0) * self.far
+
     def log_normaliser(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        scores = (self.context[one] * self.near + self.context[two] * self.far) @ self.target.T + self.bias
-        top = scores.max(1)
-        scores -= top[:, None]
-        return top + np.log(np.exp(scores, out=scores).sum(1))
+        return _log_sum(self.hidden(one, two) @ self.target.T + self.bias)
 
     def logit(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        hidden = self.context[one] * self.near + self.context[two] * self.far
-        return (hidden * self.target[token]).sum(1) + self.bias[token]
+        return np.einsum("ij,ij->i", self.hidden(one, two), self.target.take(token, 0)) + self.bias[token]
 
-    def log_path(self, tree: Tree, leaves: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    def log_path(self, sets: Sets, leaves: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Log probability of each leaf within its class."""
-        hidden = self.context[one] * self.near + self.context[two] * self.far
-        owner, node, sign = tree.paths(leaves)
-        score = np.einsum("ij,ij->i", hidden[owner], self.node[node]) + self.node_bias[node]
-        return np.bincount(owner, -np.log1p(np.exp(np.clip(-sign * score, -30, 30))), len(leaves))
+        hidden = self.hidden(one, two)
+        return sum(self._log_share(sets, number[leaves], hidden) for number in (sets.group, sets.place))
+
+    def _log_share(self, sets: Sets, members: np.ndarray, hidden: np.ndarray) -> np.ndarray:
+        """Log probability of each member within its set."""
+        owner, out = sets.owner[members], np.zeros(len(members), np.float32)
+        order = np.argsort(owner)
+        order = order[sets.size(owner[order]) > 1]  # the only member is certain
+        owner, members, hidden = owner[order], members[order], hidden.take(order, 0)
+        score = np.einsum("ij,ij->i", hidden, self.node.take(members, 0)) + self.node_bias[members]
+        cuts = np.flatnonzero(np.diff(owner, prepend=-1, append=-1))
+        low, high = sets.begin[owner[cuts[:-1]]].tolist(), sets.begin[owner[cuts[:-1]] + 1].tolist()
+        for a, b, c, d in zip(cuts[:-1].tolist(), cuts[1:].tolist(), low, high, strict=True):
+            score[a:b] -= _log_sum(hidden[a:b] @ self.node[c:d].T + self.node_bias[c:d])
+        out[order] = score
+        return out
+
+
+def _log_sum(scores: np.ndarray) -> np.ndarray:
+    """Log of the sum of exponentials of each row."""
+    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+        out = np.log(np.exp(scores) @ np.ones(scores.shape[1], np.float32))
+    far = ~(np.abs(out) < 60)  # out of range without a shift
+    if far.any():
+        top = scores[far].max(1)
+        out[far] = top + np.log(np.exp(scores[far] - top[:, None]).sum(1))
+    return out
 
 
-def fresh(words: Vocabulary, tree: Tree, seed: int = 0) -> Model:
+def fresh(words: Vocabulary, sets: Sets, seed: int = 0) -> Model:
     """A model that knows the frequencies of classes and words only."""
     class_tokens = words.class_tokens
     rng = np.random.default_rng(seed)
@@ -259,36 +295,45 @@ def fresh(words: Vocabulary, tree: Tree, seed: int = 0) -> Model:
     below = max(words.own - SINGLE - 1, 0)
     return Model(
         draw(CLASSES, VECTOR), draw(CLASSES + 1 + below, VECTOR), ones, ones * 0.5, np.log(share).astype(np.float32),
-        np.zeros((len(tree.bias), VECTOR), np.float32), tree.bias.copy(),
+        np.zeros((len(sets.bias), VECTOR), np.float32), sets.bias.copy(),
     )
 
 
 def _summed(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each index once, the sum of its rows, and their number."""
     order = np.argsort(index)
-    sorted_index = index[order]
-    begin = np.flatnonzero(np.concatenate([[True], sorted_index[1:] != sorted_index[:-1]]))
-    return sorted_index[begin], np.add.reduceat(rows[order], begin, axis=0), np.diff(begin, append=len(index))
+    found = index[order]
+    new = np.concatenate([[True], found[1:] != found[:-1]])
+    run = np.empty(len(index), np.int64)
+    run[order] = new.cumsum() - 1
+    found = found[new]
+    return found, _gathered(run, rows, len(found)), np.bincount(run)
 
 
 def _gathered(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sum of the rows of each index."""
-    at, sums, _ = _summed(index, rows)
-    out = np.zeros((n, rows.shape[1]), rows.dtype)
-    out[at] = sums
+    """Sum of the rows of each index; column by column, which numpy does fastest."""
+    out = np.empty((n, rows.shape[1]), np.float32)
+    for k, column in enumerate(np.ascontiguousarray(rows.T)):
+        out[:, k] = np.bincount(index, column, n)
     return out
 
 
+def _gap(score: np.ndarray) -> np.ndarray:
+    """1 minus the logistic function of ``score``."""
+    return 1 / (1 + np.exp(np.clip(score, -30, 30)))
+
+
 class Trainer:
-    """Steps by AdaGrad, noise-contrastive for classes; a batch shares its noise samples.
+    """Steps by AdaGrad, noise-contrastive at every level.
 
-    Of contexts and nodes, a batch touches only the rows it uses, with one step size
-    per row; ``used`` counts how often.
+    A batch shares its noise samples: those of classes follow their frequencies, those of
+    the members of a set are even. Of contexts and members, a batch touches only the rows
+    it uses, with one step size per row; ``used`` counts how often.
     """
 
-    def __init__(self, model: Model, tree: Tree, noise: np.ndarray, seed: int, rate: float = 0.1):
+    def __init__(self, model: Model, sets: Sets, noise: np.ndarray, seed: int, rate: float = 0.1):
         self.parts = Model(*[x.astype(np.float32).copy() for x in model])
-        self.tree = tree
+        self.sets = sets
         self.dense = [self.parts.target, self.parts.near, self.parts.far, self.parts.bias]
         self.squares = [np.full_like(x, 1e-2) for x in self.dense]
         self.sparse = {k: np.full(len(getattr(model, k)), 0.1, np.float32) for k in ("context", "node")}
@@ -299,42 +344,29 @@ class Trainer:
     def _touch(self, kind: str, index: np.ndarray, grads: np.ndarray) -> None:
         """A step for the rows of ``kind``; a further column of ``grads`` is for the bias."""
         rows, grad, times = _summed(index, grads)
-        self.sparse[kind][rows] += np.einsum("ij,ij->i", grad, grad) / grad.shape[1]
-        step = self.rate * grad / np.sqrt(self.sparse[kind][rows])[:, None]
-        getattr(self.parts, kind)[rows] += step[:, :VECTOR]
+        square = self.sparse[kind][rows] + np.einsum("ij,ij->i", grad, grad) / grad.shape[1]
+        self.sparse[kind][rows] = square
+        grad *= (self.rate / np.sqrt(square))[:, None]
+        part = getattr(self.parts, kind)
+        part[rows] = part.take(rows, 0) + grad[:, :VECTOR]
         if kind == "node":
-            self.parts.node_bias[rows] += step[:, VECTOR]
+            self.parts.node_bias[rows] += grad[:, VECTOR]
         self.used[kind][rows] += times
 
     def step(self, token: np.ndarray, leaves: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
-        target, context, near, far, bias, nodes, node_bias = self.parts
+        target, context, near, far, bias, *_ = self.parts
         n = len(token)
         drawn = self.rng.choice(CLASSES, NOISE, p=self.noise)
-        first, second = context[one], context[two]
-        hidden = first * near + second * far
-        true = (hidden * target[token]).sum(1) + bias[token] - self.log_noise[token]
-        false = hidden @ target[drawn].T + (bias[drawn] - self.log_noise[drawn])
-        up = 1 / (1 + np.exp(np.clip(true, -30, 30)))
-        down = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
-        d_hidden = up[:, None] * target[token] + down @ target[drawn]
+        first, second = context.take(one, 0), context.take(two, 0)
+        hidden, own, others = first * near + second * far, target.take(token, 0), target[drawn]
+        up = _gap(np.einsum("ij,ij->i", hidden, own) + (bias - self.log_noise)[token])
+        down = -_gap(-(hidden @ others.T + (bias - self.log_noise)[drawn]))
+        d_hidden = up[:, None] * own + down @ others
         d_target = _gathered(token, up[:, None] * hidden, CLASSES)
         np.add.at(d_target, drawn, down.T @ hidden)
         d_bias = np.bincount(token, up, CLASSES).astype(np.float32)
         np.add.at(d_bias, drawn, down.sum(0))
-        shared = np.flatnonzero(leaves >= 0)
-        owner, node, sign = self.tree.paths(leaves[shared])
-        if len(node):
-            owner = shared[owner]
-            own, seen = nodes[node], hidden[owner]
-            score = np.einsum("ij,ij->i", seen, own) + node_bias[node]
-            pull = sign / (1 + np.exp(np.clip(sign * score, -30, 30)))
-            begin = np.flatnonzero(np.diff(owner, prepend=-1))
-            own *= pull[:, None]
-            d_hidden[owner[begin]] += np.add.reduceat(own, begin, axis=0)
-            push = np.empty((len(node), VECTOR + 1), np.float32)
-            np.multiply(seen, pull[:, None], out=push[:, :VECTOR])
-            push[:, VECTOR] = pull
-            self._touch("node", node, push)
+        self._within(leaves, hidden, d_hidden)
         grads = [d_target, (d_hidden * first).sum(0), (d_hidden * second).sum(0), d_bias]
         both = np.concatenate([d_hidden * near, d_hidden * far])
         for part, square, grad in zip(self.dense, self.squares, grads, strict=True):
@@ -344,6 +376,41 @@ class Trainer:
         self._touch("context", np.concatenate([one, two]), both)
         self.tokens += n
 
+    def _within(self, leaves: np.ndarray, hidden: np.ndarray, d_hidden: np.ndarray) -> None:
+        """The steps of groups and words; adds what they ask of the contexts to ``d_hidden``."""
+        sets, (*_, node, bias) = self.sets, self.parts
+        at = np.flatnonzero(leaves >= 0)
+        leaf = leaves[at]
+        members, at = np.concatenate([sets.group[leaf], sets.place[leaf]]), np.concatenate([at, at])
+        owner = sets.owner[members]
+        order = np.argsort(owner)
+        order = order[sets.size(owner[order]) > 1]
+        if not len(order):
+            return
+        members, at, owner = members[order], at[order], owner[order]
+        new = np.concatenate([[True], owner[1:] != owner[:-1]])
+        run, size = new.cumsum() - 1, sets.size(owner[new])
+        log_noise = np.log(WITHIN / size).astype(np.float32)[run]
+        seen, own = hidden.take(at, 0), node.take(members, 0)
+        up = _gap(np.einsum("ij,ij->i", seen, own) + bias[members] - log_noise)
+        own *= up[:, None]
+        push = np.empty((len(members), VECTOR + 1), np.float32)
+        np.multiply(seen, up[:, None], out=push[:, :VECTOR])
+        push[:, VECTOR] = up
+        touched, pushes = [members], [push]
+        for chance in self.rng.random((WITHIN, len(size))):
+            drawn = sets.begin[owner[new]] + (chance * size).astype(np.int64)
+            other = node.take(drawn, 0).take(run, 0)
+            down = -_gap(log_noise - np.einsum("ij,ij->i", seen, other) - bias[drawn][run])
+            own += down[:, None] * other
+            push = np.empty((len(members), VECTOR + 1), np.float32)
+            np.multiply(seen, down[:, None], out=push[:, :VECTOR])
+            push[:, VECTOR] = down
+            touched.append(drawn)
+            pushes.append(_gathered(run, push, len(drawn)))
+        d_hidden += _gathered(at, own, len(hidden))
+        self._touch("node", np.concatenate(touched), np.concatenate(pushes))
+
     def learn(self, words: Vocabulary, rows: np.ndarray, kinds: np.ndarray, sizes: np.ndarray) -> None:
         leaves = words.leaves(rows, kinds)
         one, two = contexts(words.before(rows, kinds), sizes)
@@ -360,14 +427,15 @@ class Coder:
 
     def code(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
         """Row of each token (-1: not frequent), its class, the others' words, tokens per text."""
-        split = [tokens(text) for text in texts]
+        split = [_split(text) for text in texts]
         sizes = np.array([len(words) + 1 for words in split], np.int64)
-        get = self.rows.get
-        rows = np.array([x for words in split for x in (*map(get, words, _MINUS), 0)], np.int64)
+        get, flat = self.rows.get, itertools.chain.from_iterable((*words, b"") for words in split)
+        rows = np.fromiter(map(get, flat, _MINUS), np.int64, int(sizes.sum()))
         kinds = self.kinds[rows]
         other = np.flatnonzero(rows < 0)
-        flat = [w for words in split for w in (*words, END)]
-        names = [flat[k] for k in other]
+        first = sizes.cumsum() - sizes
+        text = np.searchsorted(first, other, "right") - 1
+        names = [_named(split[t][k]) for t, k in zip(text.tolist(), (other - first[text]).tolist(), strict=True)]
         kinds[other] = [shared_class(w) for w in names]
         return rows, kinds, names, sizes
 
@@ -389,28 +457,29 @@ def contexts(kinds: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def train(docs: DataFrame, words: Vocabulary, seed: int = 0) -> Model:
     """A model from all texts of ``docs``; with none, class frequencies alone."""
-    tree = huffman(words)
-    start = fresh(words, tree, seed)
+    sets = grouped(words)
+    start = fresh(words, sets, seed)
     if not words.total:
         return start
     noise = (words.class_tokens + 0.5) / (words.class_tokens + 0.5).sum()
     sample = docs.where(F.length("text") <= 20_000).orderBy(F.xxhash64("doc_id"), "doc_id").select("text").limit(WARM_TEXTS)
-    first, coder = Trainer(start, tree, noise, seed), Coder(words)
+    first, coder = Trainer(start, sets, noise, seed), Coder(words)
     texts = [r["text"] for r in sample.collect()]
     for _ in range(3):
         rows, kinds, _, sizes = coder.code(texts)
         if len(kinds):
             first.learn(words, rows, kinds, sizes)
     warm = first.parts
-    shared = docs.sparkSession.sparkContext.broadcast((words, tree, warm))
+    shared = docs.sparkSession.sparkContext.broadcast((words, sets, warm))
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, paths, model = shared.value
-        own, coder = Trainer(model, paths, noise, seed + 1, rate=0.05), Coder(known)
+        known, choices, model = shared.value
+        own, coder, task = Trainer(model, choices, noise, seed + 1, rate=0.05), Coder(known), -1
         for batch in batches:
             for at in range(0, batch.num_rows, _SLICE):
-                rows, kinds, _, sizes = coder.code(batch.column(0).slice(at, _SLICE).to_pylist())
+                rows, kinds, _, sizes = coder.code(batch.column(1).slice(at, _SLICE).to_pylist())
                 own.learn(known, rows, kinds, sizes)
+                task = batch.column(0)[0].as_py()
         if not own.tokens:
             return
         moved, weight = _table(own.parts) - _table(model), np.full(_fixed(), own.tokens)
@@ -418,31 +487,47 @@ def train(docs: DataFrame, words: Vocabulary, seed: int = 0) -> Model:
         touched = np.flatnonzero(weight)
         block = touched // BLOCK
         for part in np.array_split(touched, np.flatnonzero(np.diff(block)) + 1):
-            packed = b"".join(x.tobytes() for x in ((part % BLOCK).astype(np.uint8), weight[part], moved[part]))
-            yield pa.RecordBatch.from_pydict({"block": pa.array([int(part[0]) // BLOCK]), "rows": pa.array([len(part)]), "packed": [packed]})
+            yield _packed(int(part[0]) // BLOCK, task, part % BLOCK, weight[part], moved[part])
 
     def average(batches: pa.Table) -> pa.Table:
         weight, total = np.zeros(BLOCK), np.zeros((BLOCK, VECTOR + 1))
-        for n, packed in zip(batches["rows"].to_pylist(), batches["packed"].to_pylist(), strict=True):
-            at = np.frombuffer(packed, np.uint8, n)
-            times = np.frombuffer(packed[n : 5 * n], np.float32)
+        batches = batches.sort_by("task")  # sums that do not depend on who comes first
+        for packed in batches["packed"].to_pylist():
+            at, times, move = _unpacked(packed)
             weight[at] += times
-            total[at] += times[:, None] * np.frombuffer(packed[5 * n :], np.float32).reshape(n, -1)
-        mean = (total / np.maximum(weight, 1)[:, None]).astype(np.float32)
-        return pa.table({"block": [batches["block"][0].as_py()], "packed": pa.array([mean.tobytes()], pa.binary())})
-
-    # as many rows as the model has blocks of vectors, whatever the corpus
-    moves = docs.select("text").mapInArrow(refine, "block long, rows long, packed binary").groupBy("block").applyInArrow(
-        average, "block long, packed binary"
-    ).toArrow()
-    shared.destroy()
+            total[at] += times[:, None] * move
+        at = np.flatnonzero(weight)
+        block, task = (batches[name][0].as_py() for name in ("block", "task"))
+        return pa.Table.from_batches([_packed(block, task, at, weight[at], total[at] / weight[at][:, None])])
+
+    form = "block long, task long, packed binary"
+    moves = docs.select(F.spark_partition_id().cast("long").alias("task"), "text").mapInArrow(refine, form)
+    # as many rows at the end as the model has blocks of vectors, whatever the corpus; no
+    # group of the first two rounds holds more than MERGED copies
+    for width in (MERGED, MERGED**2, None):
+        near = F.floor(F.col("task") / width) if width else F.lit(0)
+        moves = moves.groupBy("block", near.cast("long").alias("near")).applyInArrow(average, form)
     table = _table(warm)
-    for block, packed in zip(moves["block"].to_pylist(), moves["packed"].to_pylist(), strict=True):
-        part = table[block * BLOCK : (block + 1) * BLOCK]
-        part += np.frombuffer(packed, np.float32).reshape(BLOCK, -1)[: len(part)]
+    found = moves.toArrow()
+    shared.destroy()
+    for block, packed in zip(found["block"].to_pylist(), found["packed"].to_pylist(), strict=True):
+        at, _, move = _unpacked(packed)
+        table[block * BLOCK + at.astype(np.int64)] += move
     return _model(table, len(warm.context))
 
 
+def _packed(block: int, task: int, at: np.ndarray, weight: np.ndarray, moved: np.ndarray) -> pa.RecordBatch:
+    """One row: places in the block, and the weight and the move of each."""
+    packed = b"".join((at.astype(np.uint8).tobytes(), weight.astype(np.float32).tobytes(), moved.astype(np.float32).tobytes()))
+    return pa.RecordBatch.from_pydict({"block": [block], "task": [task], "packed": pa.array([packed], pa.binary())})
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(packed) // (1 + 4 + 4 * (VECTOR + 1))
+    move = np.frombuffer(packed[5 * n :], np.float32).reshape(n, VECTOR + 1)
+    return np.frombuffer(packed[:n], np.uint8), np.frombuffer(packed[n : 5 * n], np.float32), move
+
+
 def _fixed() -> int:
     """Rows of a model's table that every task uses: targets and the two weights."""
     return CLASSES + 2
@@ -472,11 +557,11 @@ def scored(docs: DataFrame, training: DataFrame) -> DataFrame:
     counts = count_words(training)
     words = vocabulary(counts)
     model = train(training, words)
-    shared = docs.sparkSession.sparkContext.broadcast((words, huffman(words), model))
+    shared = docs.sparkSession.sparkContext.broadcast((words, grouped(words), model))
     log_total = float(np.log10(words.total + 0.5 * (words.distinct + 1)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, tree, lbl = shared.value
+        known, sets, lbl = shared.value
         coder, within = Coder(known), known.within()
         logs = np.append(np.log10(known.counts + 0.5), 0.0)  # row -1: added later, from the join
         seen = np.append(known.counts > 0, False)
@@ -503,9 +588,9 @@ def scored(docs: DataFrame, training: DataFrame) -> DataFrame:
                 chance = (lbl.logit(kinds, one, two) - norm).astype(np.float64)
                 leaves = known.leaves(rows, kinds)
                 inner = np.flatnonzero(leaves >= 0)
-                for at_leaf in range(0, len(inner), 8192):
-                    part = inner[at_leaf : at_leaf + 8192]
-                    chance[part] += lbl.log_path(tree, leaves[part], one[part], two[part])
+                for at_leaf in range(0, len(inner), INNER):
+                    part = inner[at_leaf : at_leaf + INNER]
+                    chance[part] += lbl.log_path(sets, leaves[part], one[part], two[part])
                 chance /= np.log(10)
                 plain = logs[rows]
                 is_rest = (kinds > SINGLE) & ~known.below(rows)

@@ -8,6 +8,7 @@ from itertools import product
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reelhouse.llm import language_crf, log_bilinear, quality_gam, queries
 from tests.llm.conftest import SF_DIR, dicts
@@ -165,7 +166,7 @@ def test_every_counted_word_has_vectors_of_its_own(docs):
     training = docs(*rows)
     words = log_bilinear.vocabulary(log_bilinear.count_words(training))
     assert words.own == 1201 and words.rest_tokens[log_bilinear.SINGLE + 1 :].sum() == 0
-    model, tree = log_bilinear.train(training, words), log_bilinear.huffman(words)
+    model, tree = log_bilinear.train(training, words), log_bilinear.grouped(words)
     start = log_bilinear.fresh(words, tree)
     assert len(model.context) == log_bilinear.CLASSES + 1201 - log_bilinear.SINGLE
     coder = log_bilinear.Coder(words)
@@ -184,7 +185,7 @@ def test_words_of_a_class_sum_to_one(docs):
     rows = [(i, " ".join(f"w{k}" for k in range(500 + 3 * i)), "s") for i in range(40)]
     training = docs(*rows)
     words = log_bilinear.vocabulary(log_bilinear.count_words(training))
-    model, tree = log_bilinear.train(training, words), log_bilinear.huffman(words)
+    model, tree = log_bilinear.train(training, words), log_bilinear.grouped(words)
     # the last words are counted less than LEAST_OWN times and share their class's leaf
     assert 449 < words.own < len(words.words) and words.rest_words.sum() > 448
     n, kinds = words.own - log_bilinear.SINGLE - 1, words.classes()
@@ -194,6 +195,62 @@ def test_words_of_a_class_sum_to_one(docs):
         assert np.exp(model.log_path(tree, leaves, one, one)).sum() == pytest.approx(1, rel=1e-4)
 
 
+def test_scores_are_products_of_plain_softmaxes(spark, docs):
+    rows = [(i, " ".join(f"w{k * (i % 7 + 1) % 900}" for k in range(400 + i)), "s") for i in range(60)]
+    rows += [(100, "unseen w1 W2\x0bw800 \x1c", "s"), (101, None, "s")]
+    training, table = docs(*rows[:60]), docs(*rows)
+    found = {r["doc_id"]: r["score"] for r in dicts(log_bilinear.scored(table, training))}
+    words = log_bilinear.vocabulary(log_bilinear.count_words(training))
+    model, sets = log_bilinear.train(training, words), log_bilinear.grouped(words)
+    single, number = log_bilinear.SINGLE, {w: k for k, w in enumerate(words.words)}
+    rest, kinds = words.rest(), words.classes()
+    assert words.own < len(words.words)  # some words share a leaf
+
+    def chosen(scores, k):
+        return scores[k] - np.log(np.exp(scores).sum())
+
+    for i, text, _ in rows[::9] + rows[60:]:
+        score, one, two = 0.0, log_bilinear.CLASSES, log_bilinear.CLASSES
+        for word in [*log_bilinear.tokens(text), log_bilinear.END]:
+            row = number.get(word, -1)
+            kind = kinds[row] if row >= 0 else log_bilinear.shared_class(word)
+            hidden = model.context[one].astype(float) * model.near + model.context[two] * model.far
+            score += chosen(model.target @ hidden + model.bias, kind)
+            own = single < row < words.own
+            if kind > single:
+                leaf = row - single - 1 if own else len(sets.group) - log_bilinear.SHARED + kind - single - 1
+                for member in (sets.group[leaf], sets.place[leaf]):
+                    low, high = sets.begin[sets.owner[member]], sets.begin[sets.owner[member] + 1]
+                    score += chosen(model.node[low:high] @ hidden + model.node_bias[low:high], member - low)
+                if not own:
+                    score += np.log(((words.counts[row] if row >= 0 else 0) + 0.5) / rest[kind])
+            one, two = (row + log_bilinear.CLASSES - single if own else kind), one
+        assert found[i] == pytest.approx(score / np.log(10), rel=1e-4)
+
+
+def test_copies_of_many_tasks_are_averaged_in_rounds(spark, docs, monkeypatch):
+    rows = [(i, f"the cat sat on mat w{i % 20} the end", "s") for i in range(90)]
+    training = docs(*rows).repartition(9, "doc_id")
+    words = log_bilinear.vocabulary(log_bilinear.count_words(training))
+    at_once = log_bilinear.train(training, words)
+    monkeypatch.setattr(log_bilinear, "MERGED", 2)
+    for one, other in zip(at_once, log_bilinear.train(training, words), strict=True):
+        assert np.allclose(one, other, atol=1e-5)
+
+
+def test_extra_columns_do_not_reach_the_scores(docs):
+    table = docs(*ODD)
+    clash = table.withColumn("score", F.lit("x")).withColumn("word", F.lit(1)).withColumn("row", F.lit(2))
+    plain = sorted(dicts(log_bilinear.scored(table, table)), key=str)
+    assert sorted(dicts(log_bilinear.scored(clash, clash)), key=str) == plain
+
+
+def test_a_very_long_text_is_scored_whole(docs):
+    text = "the cat sat on the mat " * 60_000
+    found = dicts(log_bilinear.scored(docs((1, text, "s")), docs((2, "the cat sat on the mat", "s"))))
+    assert found[0]["n_tokens"] == found[0]["n_known"] == 360_001 and np.isfinite(found[0]["score"])
+
+
 def test_languages_of_long_texts_only_are_learned(spark):
     english = "the small house stands near the old river and the people walk there every morning "
     german = "das kleine haus steht nahe dem alten fluss und die leute gehen dort jeden morgen "
