@@ -6,8 +6,9 @@ nothing changes, every node hangs on the smallest of its component. Both are a
 minimum per node and a join, so a node with very many links is pre-aggregated in
 the scanning tasks and its join is one AQE can split.
 
-Before each round a scanning task joins what its own links, ``CHUNK`` at a time, say
-about components, which moves nothing and leaves fewer links and fewer rounds.
+Before each round every task joins what its own links, ``CHUNK`` of them, say about
+components, which moves nothing and leaves fewer links and fewer rounds. Links that are
+no more than one task's share are done with that.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from pyspark.sql import functions as F
 
 from reelhouse.llm.text import Scratch
 
-
 #: Links a task joins at a time.
 CHUNK = 1_000_000
 
@@ -86,17 +86,19 @@ def smallest_reachable(links: DataFrame, keep: Scratch | None = None) -> DataFra
     rounds = Scratch()
     greater, least = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     edges = rounds.stored(_within_tasks(links.where("a != b").select(greater, least)), "links")
-    state = told(edges)
-    while state[0]:
+    while n := edges.count():
+        tasks = -(-n // CHUNK)
+        edges = rounds.stored(_within_tasks(edges.coalesce(tasks)), "links")
+        rounds.drop(edges)
+        if tasks == 1:  # which has seen all links
+            break
+        state = told(edges)
         # repeated edges between the two stars do no harm
         after = _star(_star(edges, True).where("u != v"), False).where("u != v").distinct()
         edges = rounds.stored(after, "links")
         rounds.drop(edges)
         if told(edges) == state:
             break
-        edges = rounds.stored(_within_tasks(edges), "links")
-        rounds.drop(edges)
-        state = told(edges)
     heads = edges.select(F.col("v").alias("row")).distinct().withColumn("class", F.col("row"))
     found = edges.select(F.col("u").alias("row"), F.col("v").alias("class")).unionByName(heads)
     found = (keep or Scratch()).stored(found, "classes")

@@ -94,14 +94,18 @@ def test_near_copies_of_odd_rows(docs):
     assert near.components(table.limit(0)).count() == 0
 
 
-def test_components_of_a_long_chain(spark):
+@pytest.mark.parametrize("chunk", [components.CHUNK, 30])
+def test_components_of_a_long_chain(spark, monkeypatch, chunk):
+    monkeypatch.setattr(components, "CHUNK", chunk)  # with the smaller one stars are needed
     links = spark.range(50).selectExpr("id + 1 as a", "id as b").unionByName(spark.createDataFrame([(90, 80)], "a long, b long"))
     found = {r["row"]: r["class"] for r in dicts(components.smallest_reachable(links))}
     assert found == {**dict.fromkeys(range(51), 0), 80: 80, 90: 80}
 
 
-def test_links_over_many_tasks(spark):
+@pytest.mark.parametrize("chunk", [components.CHUNK, 30])
+def test_links_over_many_tasks(spark, monkeypatch, chunk):
     """A hub, a chain and chance links, dealt over tasks that each see some of them."""
+    monkeypatch.setattr(components, "CHUNK", chunk)
     rng = random.Random(3)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
     links += [(1000 + k, 1001 + k) for k in range(200)] + [(3000 + k, 2000) for k in range(200)]
