@@ -43,6 +43,16 @@ def test_array_layout_is_json(spark, tmp_path):
     assert [item["id"] for item in json.loads(text)] == ["a", "b"]
 
 
+def test_landed_lines_are_small_files_for_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "FILE_ITEMS", 1000)
+    items = _items(spark, *[f"v{i}" for i in range(3000)]).coalesce(1)
+    files = list(Path(landing.write_items(items, str(tmp_path / "x"))).glob("part-*"))
+    assert len(files) == 3
+    plain = sum(len(row) for row in items.toJSON().collect())
+    assert sum(f.stat().st_size for f in files) * 5 < plain
+    assert json_items.read_items(spark, str(tmp_path / "x"), VIDEO).select("id").distinct().count() == 3000
+
+
 def test_indented_array_of_an_api_dump(spark, tmp_path):
     path = tmp_path / "raw.json"
     path.write_text(json.dumps([{"id": "a", "statistics": {"viewCount": "12"}}, {"id": "b"}], indent=2))
