@@ -37,7 +37,8 @@ def _some(videos: DataFrame, digit: int) -> DataFrame:
 def build(spark: SparkSession, sf_dir: str) -> Roots:
     base = storage.scratch(spark, "days")
     roots = Roots.under(base)
-    videos = inputs.videos(spark, sf_dir)
+    inputs.videos(spark, sf_dir).write.parquet(storage.join(base, "videos"))
+    videos = spark.read.parquet(storage.join(base, "videos"))
     stats = next(s for s in settings.SOURCES if s.table == "bronze_video_stats")
 
     def append(items: DataFrame, table: str, run_ts: datetime) -> None:

@@ -103,6 +103,32 @@ def test_bronze_is_scanned_once(spark, roots):
     assert not list(Path(spark.conf.get("spark.checkpoint.dir")).glob("judged-*"))
 
 
+def test_silver_shuffles_wide_rows_once(spark, roots, monkeypatch):
+    plans = {}
+    overwrite = tables.overwrite
+
+    def noted(rows, path, own, by, together):
+        plans[path.rsplit("/", 1)[1]] = (rows._jdf.queryExecution().executedPlan().toString(), together)
+        return overwrite(rows, path, own, by, together)
+
+    monkeypatch.setattr(tables, "overwrite", noted)
+    append(roots, videos(spark, 0, 50), DAYS[0])
+    append(roots, videos(spark, 20, 30, 5), DAYS[1])
+    refine(spark, roots, DAYS[1])
+    plan, together = plans[STATS.table]
+    assert plan.count("Exchange ") == 1 and not together
+    one_shuffle = content(spark, roots)
+    assert len(one_shuffle) == 50 and [r[9] for r in one_shuffle].count(5) == 10
+    build_gold(spark, roots, DAYS[1])
+    plan, together = plans["gold_video_engagement"]
+    assert "Exchange hash" not in plan and not together
+    # a key of many rows is reduced before it is moved; the rows are the same
+    monkeypatch.setattr(silver, "HOT_ROWS", 1)
+    refine(spark, roots, DAYS[2], from_scratch=True)
+    assert plans[STATS.table][1]
+    assert content(spark, roots) == one_shuffle
+
+
 def test_a_day_without_a_commit_is_reported(spark, roots):
     append(roots, videos(spark, 0, 3), DAYS[0])
     stray = f"{roots.bronze}/{STATS.bronze}/ingestion_date=2025-05-02"
