@@ -53,6 +53,27 @@ def test_landed_lines_are_small_files_for_many_tasks(spark, tmp_path, monkeypatc
     assert json_items.read_items(spark, str(tmp_path / "x"), VIDEO).select("id").distinct().count() == 3000
 
 
+def test_written_arrays_are_split_at_items(spark, tmp_path):
+    ids = [f"v{i}" for i in range(500)]
+    confs = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.execution.arrow.maxRecordsPerBatch": "70"}
+    for name, value in confs.items():
+        spark.conf.set(name, value)
+    try:
+        path = landing.write_items(_items(spark, *ids).coalesce(1), str(tmp_path / "x"), json_items.ARRAY)
+        file, = Path(path).glob("part-*")
+        assert [item["id"] for item in json.loads(file.read_text())] == ids
+        found = json_items.read_items(spark, path, VIDEO, json_items.ARRAY)
+        tasks = found.select(F.spark_partition_id()).distinct().count()
+        good, bad = json_items.split_corrupt(found)
+        read = [(r.id, r.title) for r in good.select("id", "snippet.title").collect()]
+        assert bad.collect() == []
+    finally:
+        for name in confs:
+            spark.conf.unset(name)
+    assert tasks > 5
+    assert sorted(read) == sorted((i, 'ü, "q"') for i in ids)
+
+
 def test_indented_array_of_an_api_dump(spark, tmp_path):
     path = tmp_path / "raw.json"
     path.write_text(json.dumps([{"id": "a", "statistics": {"viewCount": "12"}}, {"id": "b"}], indent=2))
