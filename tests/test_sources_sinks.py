@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import date, datetime
 from pathlib import Path
 
@@ -383,3 +384,43 @@ def test_a_stream_batch_repeated_on_another_day(spark, tmp_path):
     stream = bronze_stream.with_stream(spark, f"{base}/bronze", spec.table)
     tables.replace_partition(stream.limit(1), f"{base}/bronze", spec.table, RUN_TS.date())
     assert bronze_stream.with_stream(spark, f"{base}/bronze", spec.table).count() == 3
+
+
+def _shuffled(spark) -> set[str]:
+    """Names of the shuffle files that lie on disk."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (found.apply(k).getName() for k in range(found.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_shuffles_of_a_job_end_with_it(spark, tmp_path):
+    rows = spark.range(0, 5000, 1, 4).withColumn("day", F.col("id") % 3)
+    before, cleanup = _shuffled(spark), spark.conf.get(storage._CLEANUP, None)
+    with storage.shuffles_dropped(spark):
+        tables.overwrite(rows, str(tmp_path), "t", ["day"])
+    assert spark.conf.get(storage._CLEANUP, None) == cleanup
+    for _ in range(100):  # executors are told to delete, and do so on their own
+        if not _shuffled(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not _shuffled(spark) - before
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 5000
+
+
+def test_tables_are_stored_small(spark, tmp_path):
+    rows = spark.range(100).withColumn("day", F.lit("2025-01-01").cast("date"))
+    tables.overwrite(rows, str(tmp_path), "a", ["day"])
+    tables.replace_partition(rows, str(tmp_path), "b", date(2025, 1, 1), "day")
+    files = list(tmp_path.glob("[ab]/*/part-*"))
+    assert len(files) >= 2 and all(f.name.endswith(".zstd.parquet") for f in files)
+
+
+def test_a_built_lakehouse_keeps_what_its_jobs_keep(spark):
+    from checks import workspace
+
+    roots = workspace.roots_for(spark, "/root/testdata/sf0.001")
+    base = Path(roots.raw).parent
+    assert {p.name for p in base.iterdir()} == {
+        "raw_json", "bronze", "silver", "gold", "warehouse", "quarantine", "watermark", "lineage"
+    }
+    assert not list(Path(spark.conf.get("spark.checkpoint.dir")).glob("answered-*"))
