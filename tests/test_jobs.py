@@ -269,6 +269,18 @@ def test_a_quiet_day(spark, roots):
     assert [(r.id, r.dq_issue) for r in unasked] == [("x", "not requested")]
 
 
+def test_a_day_whose_items_were_dropped_takes_no_second_run(spark, roots):
+    answer = Pages(trending=pages(spark, "video", {"items": [video("a")], "_source_category": "0"}))
+    run_all(spark, roots, DAY1, pages=answer, keep_landed=["raw_video_stats"])
+    assert landing.storage.child_folders(spark, bronze.run_folder(roots, DAY1)) == ["raw_video_stats"]
+    run_all(spark, roots, DAY1)  # a repeat leaves bronze as it is
+    assert spark.read.parquet(f"{roots.bronze}/bronze_trending").count() == 1
+    later = DAY1.replace(minute=59)
+    with pytest.raises(RunFailed, match="dropped"):
+        run_all(spark, roots, later, pages=answer)
+    assert spark.read.parquet(f"{roots.bronze}/bronze_trending").count() == 1
+
+
 def test_statistics_without_a_search_are_kept(spark, roots):
     answer = Pages(video_stats=pages(spark, "video", {"items": [video("x")]}, {"items": []}))
     assert status_of(landing.land(spark, roots, answer, DAY1))["video_stats"][0] == WRITTEN

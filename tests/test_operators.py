@@ -172,6 +172,15 @@ def test_first_seen_follows_the_sequence(rows):
     assert _facts(dedup.first_seen([df], "id", "seq")) == [("a", 1)]
 
 
+def test_first_seen_of_known_keys(rows):
+    one = rows("id string, v int", ("a", 1), ("a", 0), (None, 9))
+    two = rows("id string, v int, extra array<string>", ("a", 2, ["x"]), ("b", 3, None), ("b", 4, []))
+    last = rows("id string, v int", ("a", 5), ("b", 6), ("c", 8), ("c", 7), ("d", 9), (None, 9))
+    known = rows("id string", ("a",), ("c",), ("c",), ("e",), (None,))
+    got = dedup.first_seen_of([one, two, last], "id", known).select("id", "v", "extra")
+    assert _facts(got) == [("a", 0, None), ("b", 3, None), ("c", 7, None)]
+
+
 # --- columns ---------------------------------------------------------------------
 
 

@@ -59,6 +59,13 @@ def test_first_seen_shuffles_one_row_per_task_and_key(hot):
     assert max(records_shuffled(first)) <= 2 * TASKS * (KEYS + 1)
 
 
+def test_first_seen_of_known_keys_shuffles_once(hot):
+    first = dedup.first_seen_of([hot, hot], "k", hot)
+    assert len(first.collect()) == KEYS + 1
+    shuffled = records_shuffled(first)
+    assert len(shuffled) == 1 and shuffled[0] <= 3 * TASKS * (KEYS + 1)
+
+
 def test_check_counts_total_before_the_shuffle(hot):
     counts = quality.check_counts(hot, QualityRules("k", ("k",), ("v",)))
     row = counts.first()

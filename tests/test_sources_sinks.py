@@ -415,6 +415,15 @@ def test_tables_are_stored_small(spark, tmp_path):
     assert len(files) >= 2 and all(f.name.endswith(".zstd.parquet") for f in files)
 
 
+def test_landed_items_go_once_bronze_has_them(spark):
+    from checks import workspace
+
+    roots = workspace.roots_for(spark, "/root/testdata/sf0.001")
+    landed = {p.parent.name for p in Path(roots.raw).glob("*/run-*/*/part-*")}
+    assert landed == {"raw_video_stats"}
+    assert {p.name for p in Path(roots.bronze).iterdir()} == {s.table for s in settings.SOURCES}
+
+
 def test_a_built_lakehouse_keeps_what_its_jobs_keep(spark):
     from checks import workspace
 
