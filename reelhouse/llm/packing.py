@@ -45,6 +45,10 @@ _BETWEEN = re.compile(r"[^ \t\n\r]+")
 _APART = re.compile(r"[a-zªµºß-öø-ÿ]+|[^ \t\n\ra-zªµºß-öø-ÿ]+")
 _BOUND = re.compile(r"[^ \t\n\r']*'[^ \t\n\r]*|[a-zªµºß-öø-ÿ]+|[^ \t\n\r'a-zªµºß-öø-ÿ]+")
 
+_LETTERS = re.compile(r"[a-zªµºß-öø-ÿ]+")
+#: New words that are encoded as one text.
+_JOINED = 256
+
 _tokenizers: dict[str, tuple] = {}
 
 
@@ -60,10 +64,45 @@ def _tokenizer(path: str | None):
             file = public_tokenizers.path("word_bpe_49k.json")
         else:
             file = path
-        _tokenizers[path] = (Tokenizer.from_file(file), {}, {})
+        model = Tokenizer.from_file(file)
+        _tokenizers[path] = (model, {}, {}, _word_ends(model))
     return _tokenizers[path]
 
 
+def _word_ends(model) -> np.ndarray | None:
+    """Which ids end a word, where the tokenizer marks that."""
+    suffix = getattr(model.model, "end_of_word_suffix", None)
+    if not suffix:
+        return None
+    ends = np.zeros(model.get_vocab_size(), bool)
+    vocab = model.get_vocab(with_added_tokens=False)
+    ends[[number for token, number in vocab.items() if token.endswith(suffix)]] = True
+    return ends
+
+
+def _coded(model, ends: np.ndarray | None, words: list[str]) -> Iterator[tuple[str, bytes]]:
+    """Each word with its ids. A call costs more than a word, so words of letters are
+    encoded many in a text, whose ids are cut where a word ends."""
+    apart = words
+    if ends is not None:
+        apart, plain = [], []
+        for word in words:
+            (plain if _LETTERS.fullmatch(word) else apart).append(word)
+        groups = [plain[at : at + _JOINED] for at in range(0, len(plain), _JOINED)]
+        texts = [" ".join(group) for group in groups]
+        for group, coded in zip(groups, model.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(coded.ids, "<u4")
+            cuts = [0, *(4 * np.flatnonzero(ends[ids]) + 4).tolist()]
+            if len(cuts) != len(group) + 1:
+                apart += group
+                continue
+            raw = ids.tobytes()
+            yield from zip(group, (raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)), strict=True)
+    for word, coded in zip(apart, model.encode_batch_fast(apart, add_special_tokens=False), strict=True):
+        ids = coded.ids
+        yield word, struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _stretches(text: str) -> list[str]:
     """Parts of a text that the tokenizer never joins: their ids follow each other.
 
@@ -87,7 +126,7 @@ def encode(texts: list[str | None], tokenizer: str | None = None) -> list[bytes]
     Each stretch is looked up, and encoded when it was not met before, once for texts
     of about ``_TOGETHER`` characters.
     """
-    model, known, before = _tokenizer(tokenizer)
+    model, known, before, ends = _tokenizer(tokenizer)
     out: list[bytes] = []
     held: list[list[str]] = []
     full = 0
@@ -100,10 +139,7 @@ def encode(texts: list[str | None], tokenizer: str | None = None) -> list[bytes]
         new = set().union(*held).difference(known)
         again = new.intersection(before)
         known.update((word, before[word]) for word in again)
-        fresh = list(new - again)
-        for word, coded in zip(fresh, model.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            ids = coded.ids
-            known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        known.update(_coded(model, ends, list(new - again)))
         out.extend(b"".join(map(known.__getitem__, words)) for words in held)
 
     for text in texts:

@@ -322,3 +322,20 @@ def test_rows_that_stay_of_near_copies(docs):
         (3, near_one): 1, (3, "alone " + text[::-1]): 1, (None, "k " * 3 + "lost words of no id"): 1,
         (7, None): 1, (8, " "): 1, (2, "b c"): 1,
     })
+
+
+def test_new_words_are_encoded_many_in_a_text():
+    model, _, _, ends = packing._tokenizer(None)
+    words = ["".join(chr(97 + (k * d) % 26) for d in range(1, 2 + k % 9)) + "éß"[k % 2] for k in range(3000)]
+    words = [*dict.fromkeys(words), "ª", "µ", "don't", "...", "42", "<|endoftext|>", "Upper", "x" * 5000]
+    asked = []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return model.encode_batch_fast(texts, **options)
+
+    alone = {w: np.array(model.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words}
+    assert dict(packing._coded(Counted(), ends, words)) == alone
+    assert len(asked) < len(words) / 20
+    assert dict(packing._coded(model, None, words)) == alone
