@@ -287,6 +287,25 @@ def test_statistics_without_a_search_are_kept(spark, roots):
     assert [r.id for r in landed(spark, roots, "video_stats", "video", DAY1)] == ["x"]
 
 
+def test_statistics_are_landed_in_rounds(spark, roots, monkeypatch):
+    ids = [f"v{n}" for n in range(40)]
+    answer = Pages(
+        trending=pages(spark, "video", {"items": [video(i) for i in ids[:10]], "_source_category": "0"}),
+        channel_videos=pages(spark, "search", {"items": [found(i, "2025-02-01T00:00:00Z") for i in ids]}),
+        video_stats=pages(spark, "video", {"items": [video(i) for i in [*ids, "x"]]}, {"items": [video("v1")]}),
+    )
+    rounds = []
+    write = landing.landing.write_lines
+    monkeypatch.setattr(landing.tables, "ROUND_BYTES", 1)
+    monkeypatch.setattr(
+        landing.landing, "write_lines", lambda df, path, *more: (rounds.append((path, df.count())), write(df, path, *more))[1]
+    )
+    assert status_of(landing.land(spark, roots, answer, DAY1))["video_stats"][0] == WRITTEN
+    assert sorted(r.id for r in landed(spark, roots, "video_stats", "video", DAY1)) == sorted(ids)
+    sizes = [n for path, n in rounds if path.endswith("raw_video_stats")]
+    assert len(sizes) == 4 and sum(sizes) == 40 and max(sizes) < 25
+
+
 def test_a_second_run_of_a_day_adds_to_the_first(spark, roots):
     def search(*ids):
         return pages(spark, "search", {"items": [found(n, f"2025-02-0{day}T00:00:00Z") for n, day in ids]}, {"items": []})
