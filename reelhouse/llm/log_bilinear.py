@@ -35,7 +35,7 @@ from __future__ import annotations
 import itertools
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -43,6 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelhouse.llm import shingles
 from reelhouse.llm.text import fold, short_batches, stored
 
 #: At most so many words, the most frequent ones, are broadcast with their counts.
@@ -65,7 +66,9 @@ COUNTED = 300_000
 BLOCK = 256
 #: Copies of a block that are averaged together before the next round.
 MERGED = 64
-#: Tokens below shared classes that are scored together.
+#: Normalisers of pairs of contexts that a task remembers; a power of two.
+REMEMBERED = 1 << 20
+#: Tokens that are scored together.
 INNER = 1 << 18
 _SLICE = 500
 END = ""  # no word is empty
@@ -249,14 +252,24 @@ class Model(NamedTuple):
         return self.context.take(one, 0) * self.near + self.context.take(two, 0) * self.far
 
     def log_normaliser(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return _log_sum(self.hidden(one, two) @ self.target.T + self.bias)
+        hidden, out = self.hidden(one, two), np.empty(len(one), np.float32)
+        weight = np.exp(self.bias)
+        for at in range(0, len(one), _CHUNK):
+            part = slice(at, at + _CHUNK)
+            out[part] = _exp_sum(hidden[part], self.target, weight)
+        return _log(out, hidden, lambda far: (self.target, self.bias))
 
     def logit(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return np.einsum("ij,ij->i", self.hidden(one, two), self.target.take(token, 0)) + self.bias[token]
+        return self.logit_of(token, self.hidden(one, two))
+
+    def logit_of(self, token: np.ndarray, hidden: np.ndarray) -> np.ndarray:
+        return np.einsum("ij,ij->i", hidden, self.target.take(token, 0)) + self.bias[token]
 
     def log_path(self, sets: Sets, leaves: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Log probability of each leaf within its class."""
-        hidden = self.hidden(one, two)
+        return self.log_path_of(sets, leaves, self.hidden(one, two))
+
+    def log_path_of(self, sets: Sets, leaves: np.ndarray, hidden: np.ndarray) -> np.ndarray:
         return sum(self._log_share(sets, number[leaves], hidden) for number in (sets.group, sets.place))
 
     def _log_share(self, sets: Sets, members: np.ndarray, hidden: np.ndarray) -> np.ndarray:
@@ -268,23 +281,67 @@ class Model(NamedTuple):
         score = np.einsum("ij,ij->i", hidden, self.node.take(members, 0)) + self.node_bias[members]
         cuts = np.flatnonzero(np.diff(owner, prepend=-1, append=-1))
         low, high = sets.begin[owner[cuts[:-1]]].tolist(), sets.begin[owner[cuts[:-1]] + 1].tolist()
+        weight, total = np.exp(self.node_bias), np.empty(len(score), np.float32)
         for a, b, c, d in zip(cuts[:-1].tolist(), cuts[1:].tolist(), low, high, strict=True):
-            score[a:b] -= _log_sum(hidden[a:b] @ self.node[c:d].T + self.node_bias[c:d])
-        out[order] = score
+            total[a:b] = _exp_sum(hidden[a:b], self.node[c:d], weight[c:d])
+
+        def members_of(row: int) -> tuple[np.ndarray, np.ndarray]:
+            part = slice(sets.begin[owner[row]], sets.begin[owner[row] + 1])
+            return self.node[part], self.node_bias[part]
+
+        out[order] = score - _log(total, hidden, members_of)
         return out
 
 
-def _log_sum(scores: np.ndarray) -> np.ndarray:
-    """Log of the sum of exponentials of each row."""
+#: Contexts whose products with all classes are held at once.
+_CHUNK = 256
+
+
+def _exp_sum(hidden: np.ndarray, vectors: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weighted sum of the exponentials of each row's products with all vectors."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        scores = hidden @ vectors.T
+        return np.exp(scores, out=scores) @ weight
+
+
+def _log(total: np.ndarray, hidden: np.ndarray, choices: Callable) -> np.ndarray:
+    """Logs of the sums of ``_exp_sum``; those out of range are worked out again with a
+    shift, from the vectors and biases that ``choices`` gives for a row."""
     with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
-        out = np.log(np.exp(scores) @ np.ones(scores.shape[1], np.float32))
-    far = ~(np.abs(out) < 60)  # out of range without a shift
-    if far.any():
-        top = scores[far].max(1)
-        out[far] = top + np.log(np.exp(scores[far] - top[:, None]).sum(1))
+        out = np.log(total)
+    for row in np.flatnonzero(~(np.abs(out) < 60)).tolist():
+        vectors, bias = choices(row)
+        scores = hidden[row] @ vectors.T + bias
+        out[row] = scores.max() + np.log(np.exp(scores - scores.max()).sum())
     return out
 
 
+class Normalisers:
+    """Logs of the normalisers of pairs of contexts, of which the last ones are remembered:
+    those of pairs of classes all, of others one for each of ``REMEMBERED`` places."""
+
+    def __init__(self, model: Model):
+        self.model, self.width = model, len(model.context)
+        self.classes = np.full((CLASSES + 1) ** 2, np.nan, np.float32)
+        self.pairs, self.logs = np.full(REMEMBERED, -1, np.int64), np.empty(REMEMBERED, np.float32)
+
+    def of(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        out, both = np.empty(len(one), np.float32), (one <= CLASSES) & (two <= CLASSES)
+        at = one[both] * (CLASSES + 1) + two[both]
+        new = np.unique(at[np.isnan(self.classes[at])])
+        self.classes[new] = self.model.log_normaliser(new // (CLASSES + 1), new % (CLASSES + 1))
+        out[both] = self.classes[at]
+        pairs, where = np.unique(one[~both] * self.width + two[~both], return_inverse=True)
+        place = (shingles.mixed(pairs.astype(np.uint64)) & np.uint64(REMEMBERED - 1)).astype(np.int64)
+        logs, missing = self.logs[place], np.flatnonzero(self.pairs[place] != pairs)
+        new = pairs[missing]
+        logs[missing] = self.model.log_normaliser(new // self.width, new % self.width)
+        place = place[missing]  # of two pairs with one place the last stays, as pair and as log
+        self.pairs[place], self.logs[place] = new, logs[missing]
+        out[~both] = logs[where]
+        return out
+
+
 def fresh(words: Vocabulary, sets: Sets, seed: int = 0) -> Model:
     """A model that knows the frequencies of classes and words only."""
     class_tokens = words.class_tokens
@@ -381,17 +438,17 @@ class Trainer:
         sets, (*_, node, bias) = self.sets, self.parts
         at = np.flatnonzero(leaves >= 0)
         leaf = leaves[at]
-        members, at = np.concatenate([sets.group[leaf], sets.place[leaf]]), np.concatenate([at, at])
+        members = np.concatenate([sets.group[leaf], sets.place[leaf]])
         owner = sets.owner[members]
         order = np.argsort(owner)
         order = order[sets.size(owner[order]) > 1]
         if not len(order):
             return
-        members, at, owner = members[order], at[order], owner[order]
+        members, owner = members[order], owner[order]
         new = np.concatenate([[True], owner[1:] != owner[:-1]])
         run, size = new.cumsum() - 1, sets.size(owner[new])
         log_noise = np.log(WITHIN / size).astype(np.float32)[run]
-        seen, own = hidden.take(at, 0), node.take(members, 0)
+        seen, own = hidden.take(at.take(order, mode="wrap"), 0), node.take(members, 0)
         up = _gap(np.einsum("ij,ij->i", seen, own) + bias[members] - log_noise)
         own *= up[:, None]
         push = np.empty((len(members), VECTOR + 1), np.float32)
@@ -408,7 +465,9 @@ class Trainer:
             push[:, VECTOR] = down
             touched.append(drawn)
             pushes.append(_gathered(run, push, len(drawn)))
-        d_hidden += _gathered(at, own, len(hidden))
+        asked = np.zeros((2 * len(at), VECTOR), np.float32)  # by the groups, then by the words
+        asked[order] = own
+        d_hidden[at] += asked[: len(at)] + asked[len(at) :]
         self._touch("node", np.concatenate(touched), np.concatenate(pushes))
 
     def learn(self, words: Vocabulary, rows: np.ndarray, kinds: np.ndarray, sizes: np.ndarray) -> None:
@@ -565,32 +624,20 @@ def scored(docs: DataFrame, training: DataFrame) -> DataFrame:
         coder, within = Coder(known), known.within()
         logs = np.append(np.log10(known.counts + 0.5), 0.0)  # row -1: added later, from the join
         seen = np.append(known.counts > 0, False)
-        norms = np.full((CLASSES + 1, CLASSES + 1), np.nan, np.float32)
+        normalisers = Normalisers(lbl)
         for whole in batches:
             for at in range(0, whole.num_rows, _SLICE):
                 batch = whole.slice(at, _SLICE)
                 rows, kinds, names, sizes = coder.code(batch.column(1).to_pylist())
                 one, two = contexts(known.before(rows, kinds), sizes)
-                norm, pair = np.empty(len(kinds), np.float32), (one <= CLASSES) & (two <= CLASSES)
-                codes = np.unique(one[pair] * (CLASSES + 1) + two[pair])
-                codes = codes[np.isnan(norms.ravel()[codes])]
-                for part in np.array_split(codes, max(1, len(codes) // 256)):
-                    a, b = part // (CLASSES + 1), part % (CLASSES + 1)
-                    norms[a, b] = lbl.log_normaliser(a, b)
-                norm[pair] = norms[one[pair], two[pair]]
-                width = len(lbl.context)
-                codes, where = np.unique(one[~pair] * width + two[~pair], return_inverse=True)
-                new = np.empty(len(codes), np.float32)
-                for at_code in range(0, len(codes), 256):
-                    part = codes[at_code : at_code + 256]
-                    new[at_code : at_code + 256] = lbl.log_normaliser(part // width, part % width)
-                norm[~pair] = new[where]
-                chance = (lbl.logit(kinds, one, two) - norm).astype(np.float64)
+                chance = -normalisers.of(one, two).astype(np.float64)
                 leaves = known.leaves(rows, kinds)
-                inner = np.flatnonzero(leaves >= 0)
-                for at_leaf in range(0, len(inner), INNER):
-                    part = inner[at_leaf : at_leaf + INNER]
-                    chance[part] += lbl.log_path(sets, leaves[part], one[part], two[part])
+                for at_token in range(0, len(kinds), INNER):
+                    part = slice(at_token, at_token + INNER)
+                    hidden = lbl.hidden(one[part], two[part])
+                    chance[part] += lbl.logit_of(kinds[part], hidden)
+                    inner = np.flatnonzero(leaves[part] >= 0)
+                    chance[part][inner] += lbl.log_path_of(sets, leaves[part][inner], hidden.take(inner, 0))
                 chance /= np.log(10)
                 plain = logs[rows]
                 is_rest = (kinds > SINGLE) & ~known.below(rows)

@@ -260,3 +260,34 @@ def test_languages_of_long_texts_only_are_learned(spark):
     assert sorted(model.langs) == ["de", "en"]
     asked = spark.createDataFrame([(1, german), (2, english)], "doc_id long, text string")
     assert {r["doc_id"]: r["lang_pred"] for r in dicts(language_crf.identified(asked, model))} == {1: "de", 2: "en"}
+
+
+def test_normalisers_of_pairs_are_remembered(monkeypatch):
+    rng = np.random.default_rng(1)
+    n, width = log_bilinear.CLASSES, log_bilinear.CLASSES + 400
+    part = lambda *shape: rng.standard_normal(shape).astype(np.float32)
+    model = log_bilinear.Model(
+        part(n, 16), part(width, 16), part(16), part(16), part(n) * 30, part(3, 16), part(3)
+    )
+    worked_out, plain = [], log_bilinear.Model.log_normaliser
+
+    def counted(self, one, two):
+        worked_out.append(len(one))
+        return plain(self, one, two)
+
+    monkeypatch.setattr(log_bilinear.Model, "log_normaliser", counted)
+    one, two = rng.integers(0, width, (2, 3000))
+    hidden = model.hidden(one, two).astype(float)
+    scores = hidden @ model.target.T.astype(float) + model.bias
+    top = scores.max(1)
+    exact = top + np.log(np.exp(scores - top[:, None]).sum(1))
+    assert (np.abs(exact) > 60).any()  # some are out of range without a shift
+    found = log_bilinear.Normalisers(model)
+    for _ in range(2):
+        assert np.allclose(found.of(one, two), exact, rtol=1e-4, atol=1e-3)
+    assert sum(worked_out) < 3010
+    # with few places, pairs push each other out and are worked out again
+    monkeypatch.setattr(log_bilinear, "REMEMBERED", 8)
+    small = log_bilinear.Normalisers(model)
+    for _ in range(2):
+        assert np.allclose(small.of(one, two), exact, rtol=1e-4, atol=1e-3)
