@@ -306,6 +306,76 @@ def test_statistics_are_landed_in_rounds(spark, roots, monkeypatch):
     assert len(sizes) == 4 and sum(sizes) == 40 and max(sizes) < 25
 
 
+def _unrequested_looked_for(monkeypatch):
+    """Whether statistics nobody asked for are looked for, run by run."""
+    looked, quarantine = [], landing.tables.quarantine
+
+    def noted(rows, root, table, *args, **more):
+        if table == "quarantine_unrequested_video_stats":
+            looked.append(more.get("any_rows", True))
+        return quarantine(rows, root, table, *args, **more)
+
+    monkeypatch.setattr(landing.tables, "quarantine", noted)
+    return looked
+
+
+def test_unrequested_statistics_are_looked_for_only_when_some_came(spark, roots, monkeypatch):
+    looked = _unrequested_looked_for(monkeypatch)
+
+    def answer(*ids, trending=("t",)):
+        return Pages(
+            trending=pages(spark, "video", {"items": [video(i) for i in trending], "_source_category": "0"}),
+            channel_videos=pages(spark, "search", {"items": [found(i, "2025-02-01T00:00:00Z") for i in ("a", "b")]}),
+            video_stats=pages(spark, "video", {"items": [video(i) for i in ids]}),
+        )
+
+    bad = lambda: spark.read.parquet(f"{roots.quarantine}/quarantine_unrequested_video_stats")
+    landing.land(spark, roots, answer("a", "b", "b"), DAY1)
+    assert looked == [False]
+    assert sorted(r.id for r in landed(spark, roots, "video_stats", "video", DAY1)) == ["a", "b", "t"]
+    # ids without a plain text are none that a search gives; trending does not ask for a video
+    odd = [None, "", json.dumps({"videoId": "a"}), "x", "x", "t"]
+    landing.land(spark, roots, answer("a", *odd), DAY1)
+    assert looked == [False, True]
+    assert sorted(r.id for r in landed(spark, roots, "video_stats", "video", DAY1)) == ["a", "t"]
+    assert sorted(map(repr, (r.id for r in bad().collect()))) == sorted(map(repr, odd))
+    # a repeat without them takes back what the run had put there
+    landing.land(spark, roots, answer("a", "b"), DAY1)
+    assert looked == [False, True, False] and bad().count() == 0
+    # one that the choice does not come across, as its id is no text of its own
+    landing.land(spark, roots, answer("a", None), DAY2)
+    assert looked[-1] is True and [r.id for r in bad().collect()] == [None]
+
+
+def test_chosen_statistics_are_landed_as_their_texts(spark, roots, monkeypatch):
+    """Texts are not read and written again: the lines are those the choice was made of."""
+    kept = []
+    write = landing.landing.write_lines
+    monkeypatch.setattr(
+        landing.landing, "write_lines",
+        lambda df, path, *more: (kept.append((path.rsplit("/", 1)[1], df)), write(df, path, *more))[1],
+    )
+    odd = video("a", title='q"\\ \n\t\u2028 \u00e9 \U0001f600') | {"contentDetails": {}}
+    answer = Pages(
+        channel_videos=pages(spark, "search", {"items": [found(i, "2025-02-01T00:00:00Z") for i in "ab"]}),
+        video_stats=pages(spark, "video", {"items": [odd, video("b", views=None)]}),
+    )
+    landing.land(spark, roots, answer, DAY1)
+    frames = [df for name, df in kept if name == "raw_video_stats"]
+    assert frames and all("JsonToStructs" not in df._jdf.queryExecution().toString() and "from_json" not in df._jdf.queryExecution().toString() for df in frames)
+    a, b = sorted(landed(spark, roots, "video_stats", "video", DAY1), key=lambda r: r.id)
+    assert (a.snippet.title, a.contentDetails.duration) == (odd["snippet"]["title"], None)
+    assert (b.statistics.viewCount, b.statistics.likeCount, b._ingestion_ts) == (None, "10", "2025-05-01T01:00:00Z")
+
+
+def test_without_marks_searches_are_not_shuffled(spark, roots):
+    rows = spark.range(9).selectExpr("cast(id as string) as k", "timestamp'2025-02-01' as at")
+    fresh = landing.marks.rows_since_marks(rows, landing.read_marks(spark, roots), "channel", "k", "at")
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert fresh.count() == 9
+
+
 def test_a_second_run_of_a_day_adds_to_the_first(spark, roots):
     def search(*ids):
         return pages(spark, "search", {"items": [found(n, f"2025-02-0{day}T00:00:00Z") for n, day in ids]}, {"items": []})
